@@ -1,0 +1,45 @@
+"""Datasets that are replaced as a whole while their old content is still being read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cartlens.operators.brands import merge_brand_event_counts
+from cartlens.schema import BRAND_EVENT_COUNT_DDL
+from cartlens.sinks.files import write_files
+
+PREFIX = "version="
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the finished versions: those whose write left its success mark."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(base)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    finished = (
+        name for name in names
+        if name.startswith(PREFIX) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/_SUCCESS"))
+    )
+    return sorted(int(name[len(PREFIX):]) for name in finished)
+
+
+def read_latest(spark: SparkSession, base: str, ddl: str) -> DataFrame:
+    versions = _versions(spark, base)
+    if not versions:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(f"{base}/{PREFIX}{versions[-1]}")
+
+
+def write_next(frame: DataFrame, base: str) -> None:
+    """Write the next version. Readers keep the one before until this one is complete."""
+    versions = _versions(frame.sparkSession, base)
+    write_files(frame, f"{base}/{PREFIX}{versions[-1] + 1 if versions else 0}")
+
+
+def add_brand_event_counts(spark: SparkSession, base: str, new: DataFrame) -> None:
+    """Add new counts to the kept ones. Each call adds, so call it once for each batch of events;
+    counts kept by period (``write_files`` with ``replace_period``) can be recomputed at will instead."""
+    write_next(merge_brand_event_counts(read_latest(spark, base, BRAND_EVENT_COUNT_DDL), new), base)
