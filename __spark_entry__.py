@@ -19,14 +19,13 @@ from cartlens.functions import (
 )
 from cartlens.operators import brands, events, funnel, labels, listings, sales, visits
 from cartlens.plans import views
-from cartlens.plans.published import keep_monthly_index, total_index
-from cartlens.schema import CART, PURCHASE, VIEW
+from cartlens.plans.published import total_index
+from cartlens.schema import BRAND_EVENT_COUNT_DDL, CART, EVENT_COLUMNS, PURCHASE, VIEW
 from cartlens.session import shared_folder
 from cartlens.sinks import files as sinks
 from cartlens.sinks.versions import add_brand_event_counts, read_latest
 from cartlens.sources import files as sources
 from cartlens.sources import tables
-from cartlens.schema import BRAND_EVENT_COUNT_DDL, EVENT_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +34,9 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["brand_revenue_rank"](spark, "/root/testdata/sf0.001")
 
 
-def _on_clicks(metric: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: metric(views.click_events(spark, folder))
+def _on_clicks(metric: Callable[[DataFrame], DataFrame], *types: str) -> Query:
+    """The metric over click events; the types it needs are selected where the table is read."""
+    return lambda spark, folder: metric(views.click_events(spark, folder, *types))
 
 
 def _rounded(frame: DataFrame, column: str, digits: int = 4) -> DataFrame:
@@ -143,10 +143,10 @@ def _published_twice(mode: str) -> Query:
     """The same period published again after another one."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        path = shared_folder(spark)
-        clicks = views.click_events(spark, folder)
+        once, path = shared_folder(spark), shared_folder(spark)
+        sinks.write_files(sales.brand_units_sold_rank(views.click_events(spark, folder, PURCHASE)), once)
         for period in ("2024-Jan", "2024-Feb", "2024-Feb"):
-            sinks.write_files(sales.brand_units_sold_rank(clicks, period=period), path, mode=mode)
+            sinks.write_files(events.labelled(spark.read.parquet(once), period), path, mode=mode)
         return spark.read.parquet(path).select("rank_brand_name", "units_sold", "batch_processing")
 
     return run
@@ -191,12 +191,12 @@ def _ten_days(clicks: DataFrame) -> DataFrame:
 
 
 def _merged_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts of each third of the month added one after the other to kept counts."""
-    base = shared_folder(spark)
+    """Counts of each third of the month, made in one pass, added one after the other to kept counts."""
+    parts, base = shared_folder(spark), shared_folder(spark)
     clicks = _ten_days(views.click_events(spark, folder))
+    sinks.write_files(brands.brand_event_count(clicks, period_column="period"), parts, partition_by=["period"])
     for third in range(3):
-        part = clicks.where(F.col("period") == f"2024-Jan-{third}")
-        add_brand_event_counts(spark, base, brands.brand_event_count(part))
+        add_brand_event_counts(spark, base, spark.read.parquet(f"{parts}/period=2024-Jan-{third}"))
     return read_latest(spark, base, BRAND_EVENT_COUNT_DDL)
 
 
@@ -206,11 +206,10 @@ def _popularity_full_join(clicks: DataFrame) -> DataFrame:
 
 
 def _popularity_total(spark: SparkSession, folder: str) -> DataFrame:
-    """Each period's index is kept in a folder of its own, and all folders are summed."""
+    """Each period's index, made in one pass, lies in a folder of its own, and all folders are summed."""
     base = shared_folder(spark)
-    clicks = _ten_days(views.click_events(spark, folder))
-    for period in ("2024-Jan-0", "2024-Jan-1", "2024-Jan-2"):
-        keep_monthly_index(clicks.where(F.col("period") == period), period, base)
+    clicks = _ten_days(views.click_events(spark, folder, VIEW, CART, PURCHASE))
+    sinks.write_files(brands.brand_popularity(clicks, period_column="period"), base, partition_by=["period"])
     return total_index(spark, base)
 
 
@@ -283,28 +282,32 @@ def queries() -> dict[str, Query]:
         "parse_event_time": _parse_event_time,
         "normalise_brand": on(_brand_names),
         "normalise_category": on(_category_names),
-        "purchase_events": on(events.purchase_events),
-        "cart_events": on(events.cart_events),
-        "view_events": on(events.view_events),
-        "electronics_purchase_events": on(events.electronics_purchase_events),
-        "category_revenue_rank": on(lambda c: _rounded(sales.category_revenue_rank(c), "total_revenue")),
+        "purchase_events": on(events.purchase_events, PURCHASE),
+        "cart_events": on(events.cart_events, CART),
+        "view_events": on(events.view_events, VIEW),
+        "electronics_purchase_events": on(events.electronics_purchase_events, PURCHASE),
+        "category_revenue_rank": on(
+            lambda c: _rounded(sales.category_revenue_rank(c), "total_revenue"), PURCHASE
+        ),
         "category_revenue_rank_top_level": on(
-            lambda c: _rounded(sales.category_revenue_rank(c, level="top"), "total_revenue")
+            lambda c: _rounded(sales.category_revenue_rank(c, level="top"), "total_revenue"), PURCHASE
         ),
         "daily_sales_metrics": on(
-            lambda c: _rounded_mean(sales.daily_sales_metrics(c, period="2024-Jan"), "average_daily_revenue")
+            lambda c: _rounded_mean(sales.daily_sales_metrics(c, period="2024-Jan"), "average_daily_revenue"),
+            PURCHASE,
         ),
         "daily_metrics_join": on(
             lambda c: _rounded_mean(
                 sales.join_daily_metrics(sales.daily_average_price(c), sales.daily_units_sold(c)),
                 "average_daily_revenue",
-            )
+            ),
+            PURCHASE,
         ),
-        "brand_units_sold_rank": on(sales.brand_units_sold_rank),
+        "brand_units_sold_rank": on(sales.brand_units_sold_rank, PURCHASE),
         "brand_revenue_rank": on(
-            lambda c: _rounded(sales.brand_revenue_rank(c, period="2024-Jan"), "total_revenue")
+            lambda c: _rounded(sales.brand_revenue_rank(c, period="2024-Jan"), "total_revenue"), PURCHASE
         ),
-        "electronics_brand_units_rank": on(sales.category_brand_units_rank),
+        "electronics_brand_units_rank": on(sales.category_brand_units_rank, PURCHASE),
         "distinct_user_sessions": on(visits.distinct_user_sessions),
         "site_visits_by_user": on(visits.site_visits_by_user),
         "avg_site_visits_per_user": on(
@@ -312,26 +315,32 @@ def queries() -> dict[str, Query]:
         ),
         "event_count_by_session": on(visits.event_count_by_session),
         "avg_events_per_session": on(lambda c: _rounded(visits.avg_events_per_session(c), "avg_events_per_session")),
-        "event_counts_by_user": on(lambda c: funnel.event_counts_by_user(c, CART, "cart_event_count")),
-        "cart_purchase_diff_by_user": on(funnel.cart_purchase_diff_by_user),
-        "cart_purchase_diff_join": on(_cart_purchase_join),
+        "event_counts_by_user": on(lambda c: funnel.event_counts_by_user(c, CART, "cart_event_count"), CART),
+        "cart_purchase_diff_by_user": on(funnel.cart_purchase_diff_by_user, CART, PURCHASE),
+        "cart_purchase_diff_join": on(_cart_purchase_join, CART, PURCHASE),
         "avg_cart_purchase_diff": on(
-            lambda c: _rounded(funnel.avg_cart_purchase_diff(c), "avg_cart_purchase_count_diff")
+            lambda c: _rounded(funnel.avg_cart_purchase_diff(c), "avg_cart_purchase_count_diff"), CART, PURCHASE
         ),
-        "cart_conversion_rate": on(lambda c: _rounded(funnel.cart_conversion_rate(c), "cart_conversion_rate")),
-        "hourly_product_views": on(visits.hourly_product_views),
+        "cart_conversion_rate": on(
+            lambda c: _rounded(funnel.cart_conversion_rate(c), "cart_conversion_rate"), CART, PURCHASE
+        ),
+        "hourly_product_views": on(visits.hourly_product_views, VIEW),
         "avg_hourly_product_views": on(
-            lambda c: _rounded(visits.avg_hourly_product_views(c), "avg_hourly_product_views")
+            lambda c: _rounded(visits.avg_hourly_product_views(c), "avg_hourly_product_views"), VIEW
         ),
         "brand_event_count": on(brands.brand_event_count),
         "brand_event_count_merge": _merged_counts,
         "brand_points": on(lambda c: brands.brand_points(brands.brand_event_count(c))),
-        "views_by_brand": on(brands.views_by_brand),
-        "views_by_brand_top20": on(lambda c: brands.views_by_brand(c).limit(20)),
-        "event_counts_by_brand": on(lambda c: brands.event_counts_by_brand(c, VIEW)),
-        "brand_popularity_monthly": on(lambda c: brands.brand_popularity(c, period="2024-Jan")),
-        "brand_popularity_by_period": on(lambda c: brands.brand_popularity(_ten_days(c), period_column="period")),
-        "brand_popularity_full_join": on(_popularity_full_join),
+        "views_by_brand": on(brands.views_by_brand, VIEW),
+        "views_by_brand_top20": on(lambda c: brands.views_by_brand(c).limit(20), VIEW),
+        "event_counts_by_brand": on(lambda c: brands.event_counts_by_brand(c, VIEW), VIEW),
+        "brand_popularity_monthly": on(
+            lambda c: brands.brand_popularity(c, period="2024-Jan"), VIEW, CART, PURCHASE
+        ),
+        "brand_popularity_by_period": on(
+            lambda c: brands.brand_popularity(_ten_days(c), period_column="period"), VIEW, CART, PURCHASE
+        ),
+        "brand_popularity_full_join": on(_popularity_full_join, VIEW, CART, PURCHASE),
         "brand_popularity_total": _popularity_total,
         "sale_brand_revenue_rank": lambda spark, folder: _rounded(
             sales.brand_revenue_rank(views.sale_events(spark, folder, with_orders=False)), "total_revenue", 2

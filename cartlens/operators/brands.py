@@ -31,10 +31,12 @@ def _count_name(event_type: str) -> str:
     return f"{event_type}_events_count"
 
 
-def brand_event_count(events: DataFrame, *, normalise: bool = False) -> DataFrame:
-    """Events per brand and type, for events that name a brand."""
-    named = events.where(F.col("brand").isNotNull())
-    return named.groupBy(_brand(normalise), "event_type").agg(F.count("*").alias("event_count"))
+def brand_event_count(
+    events: DataFrame, *, period_column: str | None = None, normalise: bool = False
+) -> DataFrame:
+    """Events per brand and type (and period), for events that name a brand."""
+    keys = [_brand(normalise), "event_type", *([period_column] if period_column else [])]
+    return events.where(F.col("brand").isNotNull()).groupBy(*keys).agg(F.count("*").alias("event_count"))
 
 
 def merge_brand_event_counts(*counts: DataFrame) -> DataFrame:

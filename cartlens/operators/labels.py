@@ -30,6 +30,7 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 32
 # A clean label has 37 different characters, so there are at most 37 + 37**2 + 37**3 = 52,059 label heads.
 HEAD_LENGTH = 3
+BLOCK = 512
 
 
 def normalise_catalogue(catalogue: DataFrame) -> DataFrame:
@@ -53,7 +54,8 @@ class Matcher:
     """The catalogue in order of preference, as JSON, for ``in_row``."""
     broadcast_labels: bool = False
     broadcast_heads: bool = False
-    shortest_head: int = 1
+    shortest: int = 1
+    longest: int = 0
     like_labels: bool = False
     whole_words: bool = False
 
@@ -99,7 +101,8 @@ def prepare_matcher(
         F.count("*").alias("labels"),
         F.coalesce(F.sum(F.octet_length(F.concat("label", "item_label_upper", "brand_upper"))), F.lit(0)).alias("bytes"),
         F.count_distinct(_head(F.col("label")), F.length("label")).alias("cuts"),
-        F.coalesce(F.min(F.length("label")), F.lit(HEAD_LENGTH)).alias("shortest"),
+        F.coalesce(F.min(F.length("label")), F.lit(1)).alias("shortest"),
+        F.coalesce(F.max(F.length("label")), F.lit(1)).alias("longest"),
     ).first()
     # A broadcast row costs its text and some 64 bytes of row and hash table.
     return Matcher(
@@ -107,7 +110,8 @@ def prepare_matcher(
         "by_position",
         broadcast_labels=size["bytes"] + 64 * size["labels"] <= broadcast_bytes,
         broadcast_heads=64 * size["cuts"] <= broadcast_bytes,
-        shortest_head=min(size["shortest"], HEAD_LENGTH),
+        shortest=size["shortest"],
+        longest=size["longest"],
         **options,
     )
 
@@ -127,12 +131,15 @@ def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -
 def _match_in_row(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
     catalogue = F.from_json(F.lit(matcher.in_row), "ARRAY<STRUCT<l: STRING, i: STRING, b: STRING>>")
     searched = matcher.searched_text(F.col(text))
-    best = F.get(F.filter(catalogue, lambda entry: F.contains(F.col("_searched"), entry["l"])), F.lit(0))
+
+    def named(entry: Column) -> Column:
+        return F.contains(F.col("_searched"), entry["l"])
+
+    # ``exists`` stops at the first label, so rows without a match are searched once and others little more.
     return (
-        comments.where(F.col(text).isNotNull())
-        .withColumn("_searched", searched)
-        .withColumn("_best", best)
-        .where(F.col("_best").isNotNull())
+        comments.withColumn("_searched", searched)
+        .where(F.exists(catalogue, named))
+        .withColumn("_best", F.get(F.filter(catalogue, named), F.lit(0)))
         .withColumns({"matched_item_label": F.col("_best.i"), "matched_brand": F.col("_best.b")})
         .drop("_searched", "_best")
     )
@@ -142,33 +149,43 @@ def _head(label: Column) -> Column:
     return F.substring(label, 1, HEAD_LENGTH)
 
 
+def _windows(text: Column, step: int, width: int, places: int | None = None) -> Column:
+    """Pieces of the text that start every ``step`` characters, within the first ``places`` if given."""
+    last = F.length(text) if places is None else F.least(F.length(text), F.lit(places))
+    return F.transform(
+        F.sequence(F.lit(1), last, F.lit(step)), lambda start: F.substring(text, start, F.lit(width))
+    )
+
+
 def _sized(frame: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(frame) if small else frame
 
 
 def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
     searched = matcher.searched_text(F.col(text))
-    identity = F.sha2(F.col("_searched"), 256)
+    identity = F.unhex(F.sha2(F.col("_searched"), 256))
     # Equal texts have one winner: search each once. The map-side half of distinct removes copies before the shuffle.
     texts = comments.select(searched.alias("_searched")).where(F.col("_searched") != "").distinct()
 
+    # Cut in two steps, blocks and then windows as long as the longest label, one for each place where a
+    # label may start. Rows carry a window, never the text, and finding a place never scans a long text.
+    windows = (
+        texts.withColumn("_text_id", identity)
+        .withColumn("block", F.explode(_windows(F.col("_searched"), BLOCK, BLOCK + matcher.longest - 1)))
+        .select("_text_id", F.explode(_windows(F.col("block"), 1, matcher.longest, places=BLOCK)).alias("window"))
+    )
     heads = matcher.labels.groupBy(_head(F.col("label")).alias("head")).agg(
         F.collect_set(F.length("label")).alias("lengths")
     )
-    reach = F.length("_searched") - F.col("start") + 1
-    sizes = F.sequence(F.lit(matcher.shortest_head), F.lit(HEAD_LENGTH))
-    starts = (
-        texts.withColumn("_text_id", identity)
-        .withColumn("start", F.explode(F.sequence(F.lit(1), F.length("_searched"))))
-        .withColumn("size", F.explode(sizes))
-        .where(F.col("size") <= reach)
-        .withColumn("head", F.col("_searched").substr(F.col("start"), F.col("size")))
-    )
+    head_sizes = F.sequence(F.lit(min(matcher.shortest, HEAD_LENGTH)), F.lit(HEAD_LENGTH))
     cuts = (
-        starts.join(_sized(heads, matcher.broadcast_heads), "head")
+        windows.withColumn("size", F.explode(head_sizes))
+        .where(F.col("size") <= F.length("window"))
+        .withColumn("head", F.substring("window", F.lit(1), F.col("size")))
+        .join(_sized(heads, matcher.broadcast_heads), "head")
         .withColumn("length", F.explode("lengths"))
-        .where(F.col("length") <= reach)
-        .select("_text_id", F.col("_searched").substr(F.col("start"), F.col("length")).alias("label"))
+        .where(F.col("length") <= F.length("window"))
+        .select("_text_id", F.substring("window", F.lit(1), F.col("length")).alias("label"))
     )
 
     labels = matcher.labels

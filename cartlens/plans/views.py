@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlens.schema import CART
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -18,24 +20,32 @@ def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def _logged_parts(spark: SparkSession, folder: str) -> DataFrame:
+def _logged_parts(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     """The event log, each event beside the part it names.
 
     The join carries no hint: Spark broadcasts parts while they are small by its own estimate, else it
     shuffles, and AQE splits a part that a large share of the events name.
     """
     part_key = F.regexp_extract("props", "[0-9]+", 0).try_cast("long")
-    events = table(spark, folder, "events").withColumn("part_key", part_key)
+    events = table(spark, folder, "events")
+    if types:
+        events = events.where(F.col("event_type").isin(*types))
+    events = events.withColumn("part_key", part_key)
     return events.join(table(spark, folder, "part"), F.col("part_key") == F.col("p_partkey"), "left")
 
 
-def click_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Shop events with null, blank, padded and lower-case fields spread over them by ``event_id``."""
+def click_events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
+    """Shop events with null, blank, padded and lower-case fields spread over them by ``event_id``.
+
+    Clicks stand in for carts. Named types are selected under their logged names, so that the Parquet
+    reader can skip the others; a filter on the derived type would not reach it.
+    """
+    logged = [name for kind in types for name in ((kind, "click") if kind == CART else (kind,))]
     family = F.when(F.col("p_type").isin("ECONOMY", "PROMO"), "electronics").otherwise(F.lower("p_type"))
     category = F.concat_ws(".", family, F.replace("p_name", F.lit(" "), F.lit(".")))
     session = F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))
     known_part = F.col("p_partkey").isNotNull()
-    return _logged_parts(spark, folder).select(
+    return _logged_parts(spark, folder, *logged).select(
         "event_id",
         F.col("ts").alias("event_time"),
         F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type")).alias("event_type"),
