@@ -3,34 +3,38 @@
 A comment names a label when the label is a substring of its text; the longest label wins, then the
 first by name. Two plans give the same winner:
 
-* ``in_row``: the whole catalogue travels as one constant inside the plan and each row filters it. No join
-  and no shuffle, and it runs on a stream. The work per row grows with the catalogue, so it is used up to
-  ``IN_ROW_LABELS`` labels and ``IN_ROW_BYTES``, both measured before the plan is made.
-* ``by_position``: any catalogue. Each distinct text is cut at the positions where some label could start
-  and the cuts meet the labels in an equi-join, so the work per text grows with its length, not with
-  the catalogue. Labels are broadcast only when measured to be within ``BROADCAST_BYTES``; beyond that
-  both sides are shuffled, with salted cuts.
+* ``in_row``: the catalogue travels inside the plan as one regular expression, shaped as a prefix tree, that
+  each row applies at every place of its text. No shuffle, and it runs on a stream. The work at a place does
+  not grow with the catalogue but the expression does, so this is used up to ``IN_ROW_LABELS`` labels and
+  ``IN_ROW_BYTES``, both measured before the plan is made.
+* ``by_position``: any catalogue. A regular expression of the first few characters of the labels, of which
+  there is a bounded number, cuts each distinct text at the places where some label could start, and the cuts
+  meet the labels in an equi-join. Labels are broadcast only when measured to be within
+  ``BROADCAST_BYTES``; beyond that both sides are shuffled, with salted cuts.
 """
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from itertools import groupby
+from os.path import commonprefix
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import clean_label, normalise_text
 from cartlens.functions.scoring import COMMENT_POINTS
 from cartlens.operators.brands import TOTAL_INDEX
 
-IN_ROW_LABELS = 2_000
+IN_ROW_LABELS = 10_000
 IN_ROW_BYTES = 1 << 20
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
-# A clean label has 37 different characters, so there are at most 37 + 37**2 + 37**3 = 52,059 label heads.
-HEAD_LENGTH = 3
-BLOCK = 512
+# Label starts are as long as they can be while there are no more than MOST_HEADS. The shortest size needs no
+# check: a clean label has 37 different characters, so there are at most 37 + 37**2 + 37**3 = 52,059 of it.
+HEAD_SIZES = (3, 4, 6, 8, 12)
+MOST_HEADS = 10_000
 
 
 def normalise_catalogue(catalogue: DataFrame) -> DataFrame:
@@ -50,12 +54,15 @@ class Matcher:
     labels: DataFrame
     """One row per label: ``label`` as searched, ``item_label_upper``, ``brand_upper``."""
     strategy: str
-    in_row: str | None = None
-    """The catalogue in order of preference, as JSON, for ``in_row``."""
+    pattern: str
+    """A regular expression: the labels for ``in_row``, their heads for ``by_position``."""
+    brands: str | None = None
+    """The labels and their brands as JSON, for ``in_row``."""
+    head_size: int = 0
+    shortest: int = 0
+    longest: int = 0
     broadcast_labels: bool = False
     broadcast_heads: bool = False
-    shortest: int = 1
-    longest: int = 0
     like_labels: bool = False
     whole_words: bool = False
 
@@ -73,6 +80,7 @@ def prepare_matcher(
     in_row_labels: int = IN_ROW_LABELS,
     in_row_bytes: int = IN_ROW_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    most_heads: int = MOST_HEADS,
 ) -> Matcher:
     """Measure a clean catalogue and choose the plan for it (or take ``strategy``).
 
@@ -91,34 +99,49 @@ def prepare_matcher(
     if strategy != "by_position":
         # A probe: one row more than allowed shows that the catalogue is too large, and then none is used.
         rows = labels.limit(in_row_labels + 1).collect()
-        entries = json.dumps([{"l": r["label"], "i": r["item_label_upper"], "b": r["brand_upper"]} for r in _preferred(rows)])
+        entries = json.dumps([row.asDict() for row in rows])
         if len(rows) <= in_row_labels and len(entries.encode()) <= in_row_bytes:
-            return Matcher(labels, "in_row", in_row=entries, **options)
+            return Matcher(labels, "in_row", _prefix_tree([row["label"] for row in rows]), brands=entries, **options)
         if strategy == "in_row":
             raise ValueError("the catalogue is too large to travel inside the plan")
 
+    length = F.length("label")
+    text_bytes = F.octet_length(F.concat("label", "item_label_upper", "brand_upper"))
     size = labels.agg(
         F.count("*").alias("labels"),
-        F.coalesce(F.sum(F.octet_length(F.concat("label", "item_label_upper", "brand_upper"))), F.lit(0)).alias("bytes"),
-        F.count_distinct(_head(F.col("label")), F.length("label")).alias("cuts"),
-        F.coalesce(F.min(F.length("label")), F.lit(1)).alias("shortest"),
-        F.coalesce(F.max(F.length("label")), F.lit(1)).alias("longest"),
+        F.coalesce(F.sum(text_bytes), F.lit(0)).alias("bytes"),
+        F.coalesce(F.min(length), F.lit(1)).alias("shortest"),
+        F.coalesce(F.max(length), F.lit(1)).alias("longest"),
+        *(F.count_distinct(_head(n)).alias(f"heads{n}") for n in HEAD_SIZES),
+        *(F.count_distinct(_head(n), length).alias(f"cuts{n}") for n in HEAD_SIZES),
     ).first()
+    head_size = max(n for n in HEAD_SIZES if n == HEAD_SIZES[0] or size[f"heads{n}"] <= most_heads)
+    heads = labels.select(_head(head_size).alias("head")).distinct().collect()
     # A broadcast row costs its text and some 64 bytes of row and hash table.
     return Matcher(
         labels,
         "by_position",
-        broadcast_labels=size["bytes"] + 64 * size["labels"] <= broadcast_bytes,
-        broadcast_heads=64 * size["cuts"] <= broadcast_bytes,
+        _prefix_tree([row["head"] for row in heads]),
+        head_size=head_size,
         shortest=size["shortest"],
         longest=size["longest"],
+        broadcast_labels=size["bytes"] + 64 * size["labels"] <= broadcast_bytes,
+        broadcast_heads=64 * size[f"cuts{head_size}"] <= broadcast_bytes,
         **options,
     )
 
 
-def _preferred(rows: list[Row]) -> list[Row]:
-    """The order in which labels win: longest first, then by name."""
-    return sorted(rows, key=lambda row: (-len(row["label"]), row["label"]))
+def _prefix_tree(words: list[str]) -> str:
+    """A regular expression for the longest of the words at a place. Words hold A-Z, 0-9 and spaces only."""
+    branches = []
+    for _, group in groupby(sorted(word for word in words if word), key=lambda word: word[0]):
+        same_start = list(group)
+        stem = commonprefix(same_start)
+        ends = [word[len(stem) :] for word in same_start]
+        branches.append(stem + (_prefix_tree(ends) if any(ends) else ""))
+    tree = f"(?:{'|'.join(branches) or '(?!)'})"
+    # Where a word may end, a longer one is tried first.
+    return f"{tree}?" if "" in words else tree
 
 
 def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -> DataFrame:
@@ -129,32 +152,27 @@ def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -
 
 
 def _match_in_row(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
-    catalogue = F.from_json(F.lit(matcher.in_row), "ARRAY<STRUCT<l: STRING, i: STRING, b: STRING>>")
-    searched = matcher.searched_text(F.col(text))
-
-    def named(entry: Column) -> Column:
-        return F.contains(F.col("_searched"), entry["l"])
-
-    # ``exists`` stops at the first label, so rows without a match are searched once and others little more.
-    return (
-        comments.withColumn("_searched", searched)
-        .where(F.exists(catalogue, named))
-        .withColumn("_best", F.get(F.filter(catalogue, named), F.lit(0)))
-        .withColumns({"matched_item_label": F.col("_best.i"), "matched_brand": F.col("_best.b")})
-        .drop("_searched", "_best")
+    # Looking ahead consumes nothing, so labels that overlap are all found: the longest at each place.
+    found = F.regexp_extract_all(F.col("_searched"), F.lit(f"(?=({matcher.pattern}))"), F.lit(1))
+    preference = F.transform(found, lambda label: F.struct((-F.length(label)).alias("shorter"), label.alias("label")))
+    hits = (
+        comments.withColumn("_searched", matcher.searched_text(F.col(text)))
+        .where(F.col("_searched").rlike(matcher.pattern))
+        .withColumn("_label", F.array_min(preference)["label"])
+        .drop("_searched")
     )
+    # Bounded by the measured size, so safe to broadcast.
+    names = F.from_json(F.lit(matcher.brands), "ARRAY<STRUCT<label: STRING, item_label_upper: STRING, brand_upper: STRING>>")
+    brands = comments.sparkSession.range(1).select(F.inline(names)).select(
+        F.col("label").alias("_label"),
+        F.col("item_label_upper").alias("matched_item_label"),
+        F.col("brand_upper").alias("matched_brand"),
+    )
+    return hits.join(F.broadcast(brands), "_label").drop("_label")
 
 
-def _head(label: Column) -> Column:
-    return F.substring(label, 1, HEAD_LENGTH)
-
-
-def _windows(text: Column, step: int, width: int, places: int | None = None) -> Column:
-    """Pieces of the text that start every ``step`` characters, within the first ``places`` if given."""
-    last = F.length(text) if places is None else F.least(F.length(text), F.lit(places))
-    return F.transform(
-        F.sequence(F.lit(1), last, F.lit(step)), lambda start: F.substring(text, start, F.lit(width))
-    )
+def _head(size: int) -> Column:
+    return F.substring("label", 1, size)
 
 
 def _sized(frame: DataFrame, small: bool) -> DataFrame:
@@ -167,19 +185,17 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
     # Equal texts have one winner: search each once. The map-side half of distinct removes copies before the shuffle.
     texts = comments.select(searched.alias("_searched")).where(F.col("_searched") != "").distinct()
 
-    # Cut in two steps, blocks and then windows as long as the longest label, one for each place where a
-    # label may start. Rows carry a window, never the text, and finding a place never scans a long text.
-    windows = (
-        texts.withColumn("_text_id", identity)
-        .withColumn("block", F.explode(_windows(F.col("_searched"), BLOCK, BLOCK + matcher.longest - 1)))
-        .select("_text_id", F.explode(_windows(F.col("block"), 1, matcher.longest, places=BLOCK)).alias("window"))
-    )
-    heads = matcher.labels.groupBy(_head(F.col("label")).alias("head")).agg(
+    # A window is what follows a place where some label may start, up to the longest label or a character
+    # that no label has. Rows carry windows, never the text.
+    tail = f"[A-Z0-9 ]{{0,{matcher.longest}}}"
+    windows = F.regexp_extract_all(F.col("_searched"), F.lit(f"(?=({matcher.pattern}{tail}))"), F.lit(1))
+    heads = matcher.labels.groupBy(_head(matcher.head_size).alias("head")).agg(
         F.collect_set(F.length("label")).alias("lengths")
     )
-    head_sizes = F.sequence(F.lit(min(matcher.shortest, HEAD_LENGTH)), F.lit(HEAD_LENGTH))
+    head_sizes = F.sequence(F.lit(min(matcher.shortest, matcher.head_size)), F.lit(matcher.head_size))
     cuts = (
-        windows.withColumn("size", F.explode(head_sizes))
+        texts.select(identity.alias("_text_id"), F.explode(windows).alias("window"))
+        .withColumn("size", F.explode(head_sizes))
         .where(F.col("size") <= F.length("window"))
         .withColumn("head", F.substring("window", F.lit(1), F.col("size")))
         .join(_sized(heads, matcher.broadcast_heads), "head")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -13,6 +14,7 @@ from cartlens.operators.labels import comment_points, comment_points_total, matc
 PLANS = {
     "in_row": {"strategy": "in_row"},
     "broadcast": {"strategy": "by_position"},
+    "short_heads": {"strategy": "by_position", "most_heads": 0},
     "salted": {"strategy": "by_position", "broadcast_bytes": 0},
 }
 
@@ -131,5 +133,16 @@ def test_points_per_comment(spark):
     assert rows(comment_points(result)) == [("A", 10), ("A", 10)]
 
 
-def test_heads_are_bounded():
-    assert sum(37**n for n in range(1, labels.HEAD_LENGTH + 1)) == 52_059
+def test_heads_grow_while_they_are_few(spark):
+    clean = catalogue_of(spark, *((f"model {i}x", "x") for i in range(1000)))
+    sizes = {most: prepare_matcher(clean, strategy="by_position", most_heads=most).head_size for most in (0, 1, 10, 100, 2000)}
+    assert sizes == {0: 3, 1: 6, 10: 6, 100: 8, 2000: 12}
+    assert sum(37**n for n in range(1, labels.HEAD_SIZES[0] + 1)) == 52_059
+
+
+def test_prefix_tree_takes_the_longest_word():
+    tree = re.compile(labels._prefix_tree(["A", "AB", "ABCD", "AXE", "B 1"]))
+    assert [tree.match(t) and tree.match(t)[0] for t in ("ABCE", "ABCDE", "AXX", "B 12", "C", "B")] == [
+        "AB", "ABCD", "A", "B 1", None, None,
+    ]
+    assert re.search(labels._prefix_tree([]), "anything") is None
