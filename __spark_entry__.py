@@ -39,6 +39,10 @@ def _on_clicks(metric: Callable[[DataFrame], DataFrame], *types: str) -> Query:
     return lambda spark, folder: metric(views.click_events(spark, folder, *types))
 
 
+def _on_sales(metric: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    return lambda spark, folder: metric(views.sale_events(spark, folder, *columns))
+
+
 def _rounded(frame: DataFrame, column: str, digits: int = 4) -> DataFrame:
     """Sums of doubles differ in their last digits between engines and between runs."""
     return frame.withColumn(column, F.round(column, digits))
@@ -213,12 +217,10 @@ def _popularity_total(spark: SparkSession, folder: str) -> DataFrame:
     return total_index(spark, base)
 
 
-def _sale_periods(spark: SparkSession, folder: str) -> DataFrame:
+def _sale_periods(sold: DataFrame) -> DataFrame:
     """Index per calendar month of the order, for all months in one pass."""
-    sold = views.sale_events(spark, folder).withColumn(
-        "period", F.substring(F.col("event_time").cast("string"), 1, 7)
-    )
-    return brands.brand_popularity(sold, period_column="period")
+    month = F.substring(F.col("event_time").cast("string"), 1, 7)
+    return brands.brand_popularity(sold.withColumn("period", month), period_column="period")
 
 
 def _cart_purchase_join(clicks: DataFrame) -> DataFrame:
@@ -342,19 +344,22 @@ def queries() -> dict[str, Query]:
         ),
         "brand_popularity_full_join": on(_popularity_full_join, VIEW, CART, PURCHASE),
         "brand_popularity_total": _popularity_total,
-        "sale_brand_revenue_rank": lambda spark, folder: _rounded(
-            sales.brand_revenue_rank(views.sale_events(spark, folder, with_orders=False)), "total_revenue", 2
+        "sale_brand_revenue_rank": _on_sales(
+            lambda s: _rounded(sales.brand_revenue_rank(s), "total_revenue", 2), "event_type", "brand", "price"
         ),
-        "sale_category_revenue_rank": lambda spark, folder: _rounded(
-            sales.category_revenue_rank(views.sale_events(spark, folder, with_orders=False)), "total_revenue", 2
+        "sale_category_revenue_rank": _on_sales(
+            lambda s: _rounded(sales.category_revenue_rank(s), "total_revenue", 2),
+            *("event_type", "category_code", "price"),
         ),
-        "sale_daily_metrics": lambda spark, folder: _rounded_mean(
-            sales.daily_sales_metrics(views.sale_events(spark, folder)), "average_daily_revenue"
+        "sale_daily_metrics": _on_sales(
+            lambda s: _rounded_mean(sales.daily_sales_metrics(s), "average_daily_revenue"),
+            *("event_type", "event_time", "product_id", "price"),
         ),
-        "sale_visits_per_user": lambda spark, folder: _rounded(
-            visits.avg_site_visits_per_user(views.sale_events(spark, folder)), "avg_site_visits_per_user"
+        "sale_visits_per_user": _on_sales(
+            lambda s: _rounded(visits.avg_site_visits_per_user(s), "avg_site_visits_per_user"),
+            *("user_id", "user_session"),
         ),
-        "sale_popularity_by_period": _sale_periods,
+        "sale_popularity_by_period": _on_sales(_sale_periods, "event_type", "event_time", "brand"),
         "parse_comments": _parsed,
         "ingest_partitions": _ingest,
         "catalog_normalise": lambda spark, folder: labels.normalise_catalogue(views.catalogue(spark, folder)),
@@ -434,7 +439,7 @@ _SALES = """
 sold AS (
   SELECT l_partkey AS product_id, lower(p_type) || '.' || replace(p_name, ' ', '.') AS category_code,
     p_brand AS brand, l_extendedprice AS price, o_orderdate AS event_time, o_custkey AS user_id, l_orderkey
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey
 )
 """
 

@@ -220,14 +220,16 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
         found.groupBy("_text_id")
         .agg(F.min(preference).alias("best"))
         .select(
-            "_text_id",
+            F.hex("_text_id").alias("_key"),
             F.col("best.item_label_upper").alias("matched_item_label"),
             F.col("best.brand_upper").alias("matched_brand"),
         )
     )
-    # One winner per text, so rows never multiply; AQE splits the comment side of a much repeated text.
-    keyed = comments.withColumn("_searched", searched).withColumn("_text_id", identity).drop("_searched")
-    return keyed.join(winners, "_text_id").drop("_text_id")
+    # One winner per text, so rows never multiply. The key is another spelling of the grouped one on purpose:
+    # it makes Spark shuffle the winners for this join, and AQE splits the comments of a much repeated text
+    # only where both sides come straight from a shuffle.
+    keyed = comments.withColumn("_searched", searched).withColumn("_key", F.hex(identity)).drop("_searched")
+    return keyed.join(winners, "_key").drop("_key")
 
 
 def comment_points(matched: DataFrame) -> DataFrame:

@@ -38,6 +38,7 @@ TABLES = {
     "long_term_brand_popularity_index_10": Published(brands.brand_popularity, "overwrite"),
 }
 TOTAL_TABLE = "long_term_brand_popularity_index_total"
+LIVE_TABLE = "live_long_term_brand_popularity_index_total"
 MONTHLY_INDEX = "monthly_long_term_brand_popularity_index"
 
 
@@ -74,6 +75,17 @@ def total_index(spark: SparkSession, folder: str) -> DataFrame:
     return brands.total_popularity(read_recursive(spark, folder))
 
 
+def publish_total(
+    spark: SparkSession, folder: str, *, files: str | None = None, database: JdbcTarget | None = None
+) -> None:
+    """Replace the total table by the sum over every period kept in the folder: CSV files, a database or both."""
+    total = total_index(spark, folder)
+    if files is not None:
+        write_files(total, f"{files.rstrip('/')}/{TOTAL_TABLE}", fmt="csv")
+    if database is not None:
+        write_jdbc(total, TOTAL_TABLE, database, mode="overwrite")
+
+
 def run_period(spark: SparkSession, raw: str, staged: str, out: str, period: str, mode: str | None = None) -> None:
     """One period from its raw file to all published tables, as files. The text is parsed once."""
     stage_events(read_period(spark, raw, period), staged, period)
@@ -81,7 +93,7 @@ def run_period(spark: SparkSession, raw: str, staged: str, out: str, period: str
     publish(events, period, files=out, mode=mode)
     monthly = f"{out.rstrip('/')}/{MONTHLY_INDEX}"
     keep_monthly_index(events, period, monthly)
-    write_files(total_index(spark, monthly), f"{out.rstrip('/')}/{TOTAL_TABLE}", fmt="csv")
+    publish_total(spark, monthly, files=out)
 
 
 def main() -> None:

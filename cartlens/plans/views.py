@@ -1,7 +1,7 @@
 """Shop events, comments and a label catalogue derived from order-management tables.
 
 Two sources of shop events: ``click_events`` (an event log whose ``props`` name a part) and ``sale_events``
-(one purchase per order line). Only columns a caller uses are read; what is not used is not joined.
+(one purchase per order line).
 """
 
 from __future__ import annotations
@@ -11,27 +11,59 @@ from pyspark.sql import functions as F
 
 from cartlens.schema import CART
 
+_CLICK_EVENT = (
+    "event_id",
+    "ts AS event_time",
+    "CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END AS event_type",
+    "CASE WHEN event_id % 97 <> 0 THEN p_partkey END AS product_id",
+    "CAST(p_size AS BIGINT) AS category_id",
+    """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN '  '
+       ELSE concat(CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'electronics' ELSE lower(p_type) END,
+                   '.', replace(p_name, ' ', '.')) END AS category_code""",
+    """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '  '
+       WHEN event_id % 5 = 0 THEN concat(' ', lower(p_brand), ' ') ELSE p_brand END AS brand""",
+    "value AS price",
+    "CASE WHEN event_id % 101 <> 0 THEN user_id END AS user_id",
+    "CASE WHEN event_id % 103 <> 0 THEN concat('s', user_id, '-', to_date(ts)) END AS user_session",
+)
+_COMMENT = (
+    "concat('p', event_id % 50) AS post_id",
+    "concat('c', event_id) AS comment_id",
+    "CASE WHEN event_id % 19 <> 0 THEN concat('u', user_id) END AS author",
+    """CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 6 = 0 THEN ''
+       WHEN event_id % 4 = 0 THEN concat('Nothing about ', event_type)
+       WHEN event_id % 5 = 0 THEN concat('any ', split_part(p_name, ' ', 2), ' will do ')
+       ELSE concat('  My ', p_name, ' is a ', event_type) END AS text""",
+    "1704067200 + event_id AS created_utc",
+)
+# Each column of a sale, by the table it needs beside the order lines.
+_SALE = {
+    "lineitem": {
+        "event_type": "'purchase'",
+        "product_id": "l_partkey",
+        "price": "l_extendedprice",
+        "user_session": "CAST(l_orderkey AS STRING)",
+    },
+    "part": {"category_code": "concat(lower(p_type), '.', replace(p_name, ' ', '.'))", "brand": "p_brand"},
+    "orders": {"event_time": "o_orderdate", "user_id": "o_custkey"},
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
 def _logged_parts(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     """The event log, each event beside the part it names.
 
     The join carries no hint: Spark broadcasts parts while they are small by its own estimate, else it
     shuffles, and AQE splits a part that a large share of the events name.
     """
-    part_key = F.regexp_extract("props", "[0-9]+", 0).try_cast("long")
     events = table(spark, folder, "events")
     if types:
         events = events.where(F.col("event_type").isin(*types))
-    events = events.withColumn("part_key", part_key)
-    return events.join(table(spark, folder, "part"), F.col("part_key") == F.col("p_partkey"), "left")
+    events = events.selectExpr("*", "try_cast(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS part_key")
+    return events.join(table(spark, folder, "part"), F.expr("part_key = p_partkey"), "left")
 
 
 def click_events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
@@ -41,76 +73,36 @@ def click_events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     reader can skip the others; a filter on the derived type would not reach it.
     """
     logged = [name for kind in types for name in ((kind, "click") if kind == CART else (kind,))]
-    family = F.when(F.col("p_type").isin("ECONOMY", "PROMO"), "electronics").otherwise(F.lower("p_type"))
-    category = F.concat_ws(".", family, F.replace("p_name", F.lit(" "), F.lit(".")))
-    session = F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))
-    known_part = F.col("p_partkey").isNotNull()
-    return _logged_parts(spark, folder, *logged).select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type")).alias("event_type"),
-        F.when(~_every(97), F.col("p_partkey")).alias("product_id"),
-        F.col("p_size").cast("long").alias("category_id"),
-        F.when(_every(11), None).when(_every(13), "  ").when(known_part, category).alias("category_code"),
-        F.when(_every(7), None)
-        .when(_every(17), "  ")
-        .when(_every(5), F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" ")))
-        .otherwise(F.col("p_brand"))
-        .alias("brand"),
-        F.col("value").alias("price"),
-        F.when(~_every(101), F.col("user_id")).alias("user_id"),
-        F.when(~_every(103), session).alias("user_session"),
-    )
+    return _logged_parts(spark, folder, *logged).selectExpr(*_CLICK_EVENT)
 
 
-def sale_events(spark: SparkSession, folder: str, *, with_orders: bool = True) -> DataFrame:
-    """Every order line as a purchase. Without orders there is no time, user or session, and no join for them."""
-    lines = table(spark, folder, "lineitem")
-    sales = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    columns = [
-        F.lit("purchase").alias("event_type"),
-        F.col("l_partkey").alias("product_id"),
-        F.concat_ws(".", F.lower("p_type"), F.replace("p_name", F.lit(" "), F.lit("."))).alias("category_code"),
-        F.col("p_brand").alias("brand"),
-        F.col("l_extendedprice").alias("price"),
-    ]
-    if with_orders:
-        sales = sales.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        columns += [
-            F.col("o_orderdate").alias("event_time"),
-            F.col("o_custkey").alias("user_id"),
-            F.col("l_orderkey").cast("string").alias("user_session"),
-        ]
-    return sales.select(*columns)
+def sale_events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Every order line as a purchase, with the named columns of a shop event.
+
+    Parts and orders are each joined only when a named column comes from them. Their keys are unique and
+    the joins are outer, so lines are neither lost nor repeated and leaving a join out changes nothing else.
+    """
+    sales = table(spark, folder, "lineitem")
+    if not _SALE["part"].keys().isdisjoint(columns):
+        sales = sales.join(table(spark, folder, "part"), F.expr("l_partkey = p_partkey"), "left")
+    if not _SALE["orders"].keys().isdisjoint(columns):
+        sales = sales.join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"), "left")
+    texts = {name: text for group in _SALE.values() for name, text in group.items()}
+    return sales.selectExpr(*(f"{texts[name]} AS {name}" for name in columns))
 
 
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Comments that name the part of their event, or only its last word, or nothing."""
-    second_word = F.split_part("p_name", F.lit(" "), F.lit(2))
-    text = (
-        F.when(_every(23), None)
-        .when(_every(6), "")
-        .when(_every(4), F.concat(F.lit("Nothing about "), "event_type"))
-        .when(_every(5), F.concat(F.lit("any "), second_word, F.lit(" will do ")))
-        .otherwise(F.concat(F.lit("  My "), "p_name", F.lit(" is a "), "event_type"))
-    )
-    return _logged_parts(spark, folder).select(
-        F.concat(F.lit("p"), (F.col("event_id") % 50).cast("string")).alias("post_id"),
-        F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("comment_id"),
-        F.when(~_every(19), F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("author"),
-        text.alias("text"),
-        (F.col("event_id") + 1704067200).alias("created_utc"),
-    )
+    return _logged_parts(spark, folder).selectExpr(*_COMMENT)
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """Part names as labels, their last words as shorter labels, one that cleans to nothing, one null."""
-    part = table(spark, folder, "part")
-    second_word = F.split_part("p_name", F.lit(" "), F.lit(2))
-    full = part.groupBy(F.col("p_name").alias("item_label")).agg(F.min("p_brand").alias("brand"))
-    short = part.groupBy(second_word.alias("item_label")).agg(F.min("p_brand").alias("brand"))
+    named = table(spark, folder, "part").selectExpr(
+        "explode(array(p_name, split_part(p_name, ' ', 2))) AS item_label", "p_brand AS brand"
+    )
     odd = spark.sql("SELECT * FROM VALUES ('--', 'Brand#0'), (NULL, 'Brand#0') AS odd (item_label, brand)")
-    return full.unionByName(short).unionByName(odd)
+    return named.groupBy("item_label").agg(F.min("brand").alias("brand")).unionByName(odd)
 
 
 def messages(comments: DataFrame) -> DataFrame:

@@ -13,10 +13,11 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # AQE starts from many small shuffle partitions and merges them by their measured size.
+    # Start from many shuffle partitions (spark.sql.shuffle.partitions) and let AQE merge them to this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Rows filed under a few folders, such as event types, are written without sorting them first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

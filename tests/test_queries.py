@@ -95,6 +95,7 @@ def test_metric_reads_only_its_columns(spark):
     plan = plan_of(QUERIES["sale_brand_revenue_rank"](spark, FOLDER))
     assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double>" in plan
     assert "orders.parquet" not in plan
+    assert "part.parquet" not in plan_of(QUERIES["sale_visits_per_user"](spark, FOLDER))
 
 
 def test_large_catalogue_plan_broadcasts_only_what_is_bounded(spark):

@@ -4,7 +4,7 @@ import pytest
 from conftest import GOLDEN, rows
 
 from cartlens.operators import brands
-from cartlens.plans.published import TABLES, keep_monthly_index, publish, run_period, total_index
+from cartlens.plans.published import TABLES, keep_monthly_index, publish, publish_total, run_period, total_index
 from cartlens.schema import BRAND_EVENT_COUNT_DDL, EVENT_COLUMNS
 from cartlens.session import shared_folder
 from cartlens.sinks.files import convert_format, stage_events, write_files
@@ -208,7 +208,7 @@ def test_jdbc_options_and_modes(monkeypatch):
         write_jdbc(frame, "t", target, mode="replace_period")
 
 
-def test_publish_to_a_database_keeps_each_table_mode(golden, monkeypatch):
+def test_publish_to_a_database_keeps_each_table_mode(spark, golden, tmp_path, monkeypatch):
     written = []
     monkeypatch.setattr(
         "cartlens.plans.published.write_jdbc",
@@ -216,6 +216,9 @@ def test_publish_to_a_database_keeps_each_table_mode(golden, monkeypatch):
     )
     publish(golden, "2020-Apr", database=JdbcTarget("u", "d"))
     assert written == [(name, table.mode, True) for name, table in TABLES.items()]
+    keep_monthly_index(golden, "2020-Apr", str(tmp_path / "monthly"))
+    publish_total(spark, str(tmp_path / "monthly"), database=JdbcTarget("u", "d"))
+    assert written[-1] == ("long_term_brand_popularity_index_total", "overwrite", False)
 
 
 def test_whole_period(spark, raw_folder, tmp_path):

@@ -11,7 +11,7 @@ from conftest import rows
 from cartlens.operators.brands import combined_popularity
 from cartlens.operators.labels import normalise_catalogue, prepare_matcher
 from cartlens.operators.listings import flatten_listing, parse_comments, since, with_ingest_columns
-from cartlens.sources.comments import kafka_options, message_stream
+from cartlens.sources.comments import kafka_options, message_stream, read_archive
 from cartlens.sources.files import read_recursive
 from cartlens.streaming import archive_comments, jdbc_points, parquet_points, stream_brand_points
 
@@ -156,6 +156,17 @@ def test_batch_and_live_points_together(spark):
     assert rows(combined_popularity(batch, live, fold_case=True)) == [("ACME", 17), ("BOLT", 11)]
 
 
+def test_archived_texts_read_back_whole(spark, inbox):
+    texts = ["two\nlines", 'a "quote", a comma', "ends in \\", 'all \\" of\n,"it"', "  pad ", "é漢"]
+    arrive(inbox, "1.json", *(message(i, text) for i, text in enumerate(texts)))
+    stream = message_stream(spark, "text", {}, str(inbox / "in"))
+    run(archive_comments(stream, str(inbox / "raw"), str(inbox / "mark"), trigger=ONCE))
+    archive = read_archive(spark, str(inbox / "raw"))
+    assert sorted(rows(archive, "text")) == sorted((text,) for text in texts)
+    assert rows(archive.select("created_utc").distinct()) == [(100,)]
+    assert archive.where("ingest_ts IS NULL OR ingest_date IS NULL").count() == 0
+
+
 def test_recursive_read_of_the_archive(spark, inbox):
     arrive(inbox, "1.json", message(1, "x"))
     stream = message_stream(spark, "text", {}, str(inbox / "in"))
