@@ -524,7 +524,8 @@ def oracle_sql() -> dict[str, str]:
         "managed_text_table": clicks(
             f"SELECT {seconds} AS event_time, event_type, CAST(product_id AS VARCHAR) AS product_id, "
             "CAST(category_id AS VARCHAR) AS category_id, category_code, brand, "
-            "CAST(CAST(price AS FLOAT) AS DOUBLE) AS price, CAST(user_id AS VARCHAR) AS user_id, user_session FROM clicks"
+            "CAST(CAST(price AS FLOAT) AS DOUBLE) AS price, CAST(user_id AS VARCHAR) AS user_id, user_session "
+            "FROM clicks"
         ),
         "partitioned_by_category": clicks(
             f"SELECT category_code, {seconds} AS event_time, event_type, CAST(product_id AS VARCHAR) AS product_id, "
@@ -589,7 +590,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "event_count_by_session": clicks(session_counts),
         "avg_events_per_session": clicks(
-            f"SELECT event_type, round(avg(events_count), 4) AS avg_events_per_session FROM ({session_counts}) GROUP BY 1"
+            "SELECT event_type, round(avg(events_count), 4) AS avg_events_per_session "
+            f"FROM ({session_counts}) GROUP BY 1"
         ),
         "event_counts_by_user": clicks(
             "SELECT user_id, count(*) AS cart_event_count FROM clicks WHERE event_type = 'cart' GROUP BY 1"
@@ -618,7 +620,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT brand, CAST(sum(event_count * CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 "
             f"WHEN 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS total_points FROM ({brand_counts}) GROUP BY 1"
         ),
-        "views_by_brand": clicks('SELECT brand, count(*) AS "count" FROM clicks WHERE event_type = \'view\' GROUP BY 1'),
+        "views_by_brand": clicks(
+            'SELECT brand, count(*) AS "count" FROM clicks WHERE event_type = \'view\' GROUP BY 1'
+        ),
         "views_by_brand_top20": clicks(
             'SELECT brand, count(*) AS "count" FROM clicks WHERE event_type = \'view\' GROUP BY 1 '
             'ORDER BY "count" DESC, brand ASC NULLS FIRST LIMIT 20'

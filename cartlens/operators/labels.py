@@ -62,7 +62,8 @@ class Matcher:
     shortest: int = 0
     longest: int = 0
     broadcast_labels: bool = False
-    broadcast_heads: bool = False
+    lengths: tuple[int, ...] = ()
+    """All label lengths, for a catalogue whose lengths by head are too many to broadcast."""
     like_labels: bool = False
     whole_words: bool = False
 
@@ -118,6 +119,10 @@ def prepare_matcher(
     head_size = max(n for n in HEAD_SIZES if n == HEAD_SIZES[0] or size[f"heads{n}"] <= most_heads)
     heads = labels.select(_head(head_size).alias("head")).distinct().collect()
     # A broadcast row costs its text and some 64 bytes of row and hash table.
+    if 64 * size[f"cuts{head_size}"] <= broadcast_bytes:
+        lengths = ()
+    else:
+        lengths = tuple(sorted(row["n"] for row in labels.select(length.alias("n")).distinct().collect()))
     return Matcher(
         labels,
         "by_position",
@@ -126,7 +131,7 @@ def prepare_matcher(
         shortest=size["shortest"],
         longest=size["longest"],
         broadcast_labels=size["bytes"] + 64 * size["labels"] <= broadcast_bytes,
-        broadcast_heads=64 * size[f"cuts{head_size}"] <= broadcast_bytes,
+        lengths=lengths,
         **options,
     )
 
@@ -162,7 +167,8 @@ def _match_in_row(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame
         .drop("_searched")
     )
     # Bounded by the measured size, so safe to broadcast.
-    names = F.from_json(F.lit(matcher.brands), "ARRAY<STRUCT<label: STRING, item_label_upper: STRING, brand_upper: STRING>>")
+    entry = "STRUCT<label: STRING, item_label_upper: STRING, brand_upper: STRING>"
+    names = F.from_json(F.lit(matcher.brands), f"ARRAY<{entry}>")
     brands = comments.sparkSession.range(1).select(F.inline(names)).select(
         F.col("label").alias("_label"),
         F.col("item_label_upper").alias("matched_item_label"),
@@ -175,8 +181,22 @@ def _head(size: int) -> Column:
     return F.substring("label", 1, size)
 
 
-def _sized(frame: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(frame) if small else frame
+def _with_lengths(windows: DataFrame, matcher: Matcher) -> DataFrame:
+    """Each window with each length a label at its start may have: those of labels with the same head, or
+    those of all labels."""
+    if matcher.lengths:
+        return windows.withColumn("length", F.explode(F.array(*map(F.lit, matcher.lengths))))
+    heads = matcher.labels.groupBy(_head(matcher.head_size).alias("head")).agg(
+        F.collect_set(F.length("label")).alias("lengths")
+    )
+    sizes = F.sequence(F.lit(min(matcher.shortest, matcher.head_size)), F.lit(matcher.head_size))
+    return (
+        windows.withColumn("size", F.explode(sizes))
+        .where(F.col("size") <= F.length("window"))
+        .withColumn("head", F.substring("window", F.lit(1), F.col("size")))
+        .join(F.broadcast(heads), "head")
+        .withColumn("length", F.explode("lengths"))
+    )
 
 
 def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
@@ -189,17 +209,8 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
     # that no label has. Rows carry windows, never the text.
     tail = f"[A-Z0-9 ]{{0,{matcher.longest}}}"
     windows = F.regexp_extract_all(F.col("_searched"), F.lit(f"(?=({matcher.pattern}{tail}))"), F.lit(1))
-    heads = matcher.labels.groupBy(_head(matcher.head_size).alias("head")).agg(
-        F.collect_set(F.length("label")).alias("lengths")
-    )
-    head_sizes = F.sequence(F.lit(min(matcher.shortest, matcher.head_size)), F.lit(matcher.head_size))
     cuts = (
-        texts.select(identity.alias("_text_id"), F.explode(windows).alias("window"))
-        .withColumn("size", F.explode(head_sizes))
-        .where(F.col("size") <= F.length("window"))
-        .withColumn("head", F.substring("window", F.lit(1), F.col("size")))
-        .join(_sized(heads, matcher.broadcast_heads), "head")
-        .withColumn("length", F.explode("lengths"))
+        _with_lengths(texts.select(identity.alias("_text_id"), F.explode(windows).alias("window")), matcher)
         .where(F.col("length") <= F.length("window"))
         .select("_text_id", F.substring("window", F.lit(1), F.col("length")).alias("label"))
     )

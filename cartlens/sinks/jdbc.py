@@ -38,7 +38,9 @@ class JdbcTarget:
         return {name: value for name, value in given.items() if value is not None}
 
 
-def write_jdbc(frame: DataFrame, table: str, target: JdbcTarget, *, mode: str = "append", truncate: bool = False) -> None:
+def write_jdbc(
+    frame: DataFrame, table: str, target: JdbcTarget, *, mode: str = "append", truncate: bool = False
+) -> None:
     """``append`` adds rows; ``overwrite`` replaces the table, or with ``truncate`` its rows only."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"a JDBC table takes append or overwrite, not {mode!r}")

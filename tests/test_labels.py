@@ -118,9 +118,9 @@ def test_plan_follows_the_measured_size(spark):
     by_count = prepare_matcher(clean, in_row_labels=49)
     by_bytes = prepare_matcher(clean, in_row_bytes=100)
     assert by_count.strategy == by_bytes.strategy == "by_position"
-    assert by_count.broadcast_labels and by_count.broadcast_heads
+    assert by_count.broadcast_labels and not by_count.lengths
     beyond = prepare_matcher(clean, in_row_labels=49, broadcast_bytes=1000)
-    assert not beyond.broadcast_labels
+    assert not beyond.broadcast_labels and beyond.lengths == (7, 8)
     with pytest.raises(ValueError):
         prepare_matcher(clean, strategy="in_row", in_row_labels=49)
     with pytest.raises(ValueError):
