@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartlens.functions import (
     event_date,
     event_hour,
+    event_month,
     normalise_brand,
     normalise_category,
     parse_event_time,
@@ -26,6 +27,8 @@ from cartlens.sinks import files as sinks
 from cartlens.sinks.versions import add_brand_event_counts, read_latest
 from cartlens.sources import files as sources
 from cartlens.sources import tables
+from cartlens.sources.comments import message_stream, read_archive
+from cartlens.streaming import archive_comments, parquet_points, stream_brand_points
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,8 +222,7 @@ def _popularity_total(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sale_periods(sold: DataFrame) -> DataFrame:
     """Index per calendar month of the order, for all months in one pass."""
-    month = F.substring(F.col("event_time").cast("string"), 1, 7)
-    return brands.brand_popularity(sold.withColumn("period", month), period_column="period")
+    return brands.brand_popularity(sold.withColumn("period", event_month(sold)), period_column="period")
 
 
 def _cart_purchase_join(clicks: DataFrame) -> DataFrame:
@@ -265,6 +267,37 @@ def _flattened(spark: SparkSession, folder: str) -> DataFrame:
     return listings.flatten_listing(views.listing_pages(views.comments(spark, folder)))
 
 
+def _message_files(spark: SparkSession, folder: str) -> str:
+    path = shared_folder(spark)
+    sinks.write_files(views.messages(views.comments(spark, folder)), path, fmt="text")
+    return path
+
+
+def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages as a stream of files, archived as CSV and read back."""
+    arriving = message_stream(spark, "text", {}, _message_files(spark, folder))
+    archive, mark = shared_folder(spark), shared_folder(spark)
+    archive_comments(arriving, archive, mark, trigger={"availableNow": True}).awaitTermination()
+    return read_archive(spark, archive).drop("ingest_ts", "ingest_date", "ingest_time")
+
+
+def stream_points(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages as a stream of files, matched as they arrive; the stored points, added up by brand."""
+    matcher = labels.prepare_matcher(labels.normalise_catalogue(views.catalogue(spark, folder)))
+    arriving = message_stream(spark, "text", {}, _message_files(spark, folder))
+    stored, mark = shared_folder(spark), shared_folder(spark)
+    stream = stream_brand_points(arriving, matcher, parquet_points(stored), mark, trigger={"availableNow": True})
+    stream.awaitTermination()
+    points = sources.read_or_empty(spark, stored, f"brand STRING, {brands.TOTAL_INDEX} BIGINT")
+    return brands.total_popularity(points.withColumnRenamed(brands.TOTAL_INDEX, brands.INDEX))
+
+
+def catalogue_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    sinks.write_files(views.catalogue(spark, folder), path, fmt="csv")
+    return labels.normalise_catalogue(sources.read_catalogue_csv(spark, path))
+
+
 def queries() -> dict[str, Query]:
     """One entry per query; each takes (spark, folder of the Parquet tables)."""
     on = _on_clicks
@@ -362,6 +395,9 @@ def queries() -> dict[str, Query]:
         "sale_popularity_by_period": _on_sales(_sale_periods, "event_type", "event_time", "brand"),
         "parse_comments": _parsed,
         "ingest_partitions": _ingest,
+        "catalogue_csv_scan": catalogue_csv_scan,
+        "stream_archive": stream_archive,
+        "stream_brand_points": stream_points,
         "catalog_normalise": lambda spark, folder: labels.normalise_catalogue(views.catalogue(spark, folder)),
         "comment_brand_match": _label_match(),
         "comment_brand_match_by_position": _label_match(strategy="by_position"),
@@ -676,6 +712,15 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT comment_id, make_timestamp(created_utc * 1000000) AS t FROM comments)"
         ),
         "catalog_normalise": said("SELECT * FROM catalogue"),
+        "catalogue_csv_scan": said("SELECT * FROM catalogue"),
+        # CSV has no empty text beside null.
+        "stream_archive": said(
+            "SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc FROM comments"
+        ),
+        "stream_brand_points": said(
+            "SELECT matched_brand AS brand, 10 * count(*) AS total_long_term_brand_popularity_index "
+            "FROM matched GROUP BY 1"
+        ),
         "comment_brand_match": match,
         "comment_brand_match_by_position": match,
         "comment_brand_match_salted": match,

@@ -8,7 +8,7 @@ from cartlens.functions.cleaning import (
     normalise_text,
     parse_event_time,
 )
-from cartlens.functions.clock import event_date, event_hour
+from cartlens.functions.clock import event_date, event_hour, event_month
 from cartlens.functions.scoring import INDEX_WEIGHTS, POINT_WEIGHTS, weighted_counts, weighted_type
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "clean_label",
     "event_date",
     "event_hour",
+    "event_month",
     "normalise_brand",
     "normalise_category",
     "normalise_text",

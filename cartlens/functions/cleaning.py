@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from cartlens.schema import EVENT_TIME_FORMAT
 
-# Names under which events without a brand or category are reported.
+# Names under which events without a brand or category are reported, and what a label is
+# cleaned of.
 NO_BRAND = "WITHOUT BRAND"
 NO_CATEGORY = "without category"
 UNKNOWN_BRAND = "unknown_brand"
+LABEL_GAP = "[^A-Z0-9]+"
 
 
 def parse_event_time(text: Column) -> Column:
@@ -39,7 +41,7 @@ def normalise_category(code: Column, level: str = "full") -> Column:
 
 def clean_label(label: Column) -> Column:
     """Upper case, every run of other characters than A-Z and 0-9 as one space."""
-    return F.trim(F.regexp_replace(F.upper(label), "[^A-Z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.upper(label), LABEL_GAP, " "))
 
 
 def normalise_text(text: Column, *, like_labels: bool = False) -> Column:

@@ -1,4 +1,4 @@
-"""Date and hour of an event in UTC, whatever the session time zone is."""
+"""Date, hour and month of an event in UTC, whatever the session time zone is."""
 
 from __future__ import annotations
 
@@ -32,3 +32,8 @@ def event_hour(events: DataFrame, column: str = "event_time") -> Column:
     if wall is not None:
         return F.hour(wall)
     return F.floor(F.pmod(epoch, F.lit(86400)) / 3600).cast("int")
+
+
+def event_month(events: DataFrame, column: str = "event_time") -> Column:
+    """The calendar month as ``2020-04``, the usual period of a metric."""
+    return F.substring(event_date(events, column).cast("string"), 1, 7)

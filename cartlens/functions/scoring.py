@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartlens.schema import CART, PURCHASE, VIEW
 
-# Weight of one event, by type; other types weigh nothing.
+# Weight of one event, by type (other types weigh nothing), and of one comment.
 INDEX_WEIGHTS = {VIEW: 1, CART: 2, PURCHASE: 10}
 POINT_WEIGHTS = {VIEW: 1, CART: 3, PURCHASE: 10}
 COMMENT_POINTS = 10

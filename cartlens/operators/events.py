@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import event_date, event_hour
-from cartlens.schema import CART, PURCHASE, VIEW
+from cartlens.schema import CART, ELECTRONICS, PURCHASE, VIEW
 
 
 def of_type(events: DataFrame, *types: str) -> DataFrame:
@@ -47,7 +47,7 @@ def category_purchase_events(events: DataFrame, category_prefix: str) -> DataFra
 
 
 def electronics_purchase_events(events: DataFrame) -> DataFrame:
-    return category_purchase_events(events, "electronics")
+    return category_purchase_events(events, ELECTRONICS)
 
 
 def labelled(result: DataFrame, period: str | None, column: str = "batch_processing") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.schema import COMMENT_DDL, LISTING_DDL
+from cartlens.schema import COMMENT_DDL, COMMENT_KIND, INGEST_DATE_FORMAT, INGEST_TIME_FORMAT, LISTING_DDL
 
 
 def parse_comments(messages: DataFrame, *, value: str = "value", lenient_time: bool = True) -> DataFrame:
@@ -24,17 +24,17 @@ def with_ingest_columns(comments: DataFrame, at: Column | None = None) -> DataFr
     ingest = F.current_timestamp() if at is None else at
     return comments.withColumn("ingest_ts", ingest).withColumns(
         {
-            "ingest_date": F.date_format("ingest_ts", "yyyy-MM-dd"),
-            "ingest_time": F.date_format("ingest_ts", "HH-mm-ss"),
+            "ingest_date": F.date_format("ingest_ts", INGEST_DATE_FORMAT),
+            "ingest_time": F.date_format("ingest_ts", INGEST_TIME_FORMAT),
         }
     )
 
 
 def flatten_listing(pages: DataFrame, *, post_id: str = "post_id", page: str = "page") -> DataFrame:
-    """Comments of JSON listing pages: the children of kind ``t1`` in the second element of each page."""
+    """Comments of JSON listing pages: the comments among the children in the second element of each page."""
     second = F.get(F.from_json(F.col(page), LISTING_DDL), F.lit(1))
     children = pages.select(F.col(post_id).alias("post_id"), F.explode(second["data"]["children"]).alias("child"))
-    return children.where(F.col("child.kind") == "t1").select(
+    return children.where(F.col("child.kind") == COMMENT_KIND).select(
         "post_id",
         F.col("child.data.id").alias("comment_id"),
         F.col("child.data.author").alias("author"),

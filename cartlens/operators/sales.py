@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cartlens.functions import event_date, normalise_brand, normalise_category
 from cartlens.operators.events import category_purchase_events, labelled, purchase_events
+from cartlens.schema import ELECTRONICS
 
 
 def _measure(name: str) -> Column:
@@ -38,7 +39,7 @@ def brand_revenue_rank(events: DataFrame, *, period: str | None = None) -> DataF
 
 
 def category_brand_units_rank(
-    events: DataFrame, *, category_prefix: str = "electronics", period: str | None = None
+    events: DataFrame, *, category_prefix: str = ELECTRONICS, period: str | None = None
 ) -> DataFrame:
     """Units by brand within one category; brandless purchases do not take part, blank brands do."""
     rows = category_purchase_events(events, category_prefix)

@@ -30,3 +30,7 @@ LISTING_DDL = (
     "data: STRUCT<id: STRING, author: STRING, body: STRING, created_utc: DOUBLE>>>>>>"
 )
 VIEW, CART, PURCHASE = "view", "cart", "purchase"
+ELECTRONICS = "electronics"
+COMMENT_KIND = "t1"
+INGEST_DATE_FORMAT = "yyyy-MM-dd"
+INGEST_TIME_FORMAT = "HH-mm-ss"

@@ -47,7 +47,8 @@ def test_entry(spark):
 WRITING = {
     "csv_roundtrip", "csv_dropmalformed", "parquet_roundtrip", "convert_format", "recursive_scan", "staged_events",
     "catalog_table_scan", "managed_text_table", "partitioned_by_category", "append_roundtrip", "overwrite_roundtrip",
-    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total",
+    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan", "stream_archive",
+    "stream_brand_points",
 }
 
 
@@ -91,6 +92,11 @@ def test_event_types_are_selected_by_the_reader(spark, name):
     assert "event_type" in scan[scan.index("PushedFilters"):scan.index("ReadSchema")]
 
 
+def test_top_of_a_rank_is_not_sorted_whole(spark):
+    plan = plan_of(QUERIES["views_by_brand_top20"](spark, FOLDER))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
 def test_metric_reads_only_its_columns(spark):
     plan = plan_of(QUERIES["sale_brand_revenue_rank"](spark, FOLDER))
     assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double>" in plan
