@@ -202,8 +202,14 @@ def _with_lengths(windows: DataFrame, matcher: Matcher) -> DataFrame:
 def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
     searched = matcher.searched_text(F.col(text))
     identity = F.unhex(F.sha2(F.col("_searched"), 256))
-    # Equal texts have one winner: search each once. The map-side half of distinct removes copies before the shuffle.
-    texts = comments.select(searched.alias("_searched")).where(F.col("_searched") != "").distinct()
+    every = comments.withColumn("_searched", searched)
+    # Texts in which no label can start are not worth a shuffle.
+    candidates = every.where(F.col("_searched").rlike(matcher.pattern))
+    if matcher.broadcast_labels:
+        texts = every.select("_searched")
+    else:
+        # The cuts will be shuffled: search equal texts once, or a much repeated one would be a hot key there.
+        texts = candidates.select("_searched").distinct()
 
     # A window is what follows a place where some label may start, up to the longest label or a character
     # that no label has. Rows carry windows, never the text.
@@ -239,7 +245,7 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
     # One winner per text, so rows never multiply. The key is another spelling of the grouped one on purpose:
     # it makes Spark shuffle the winners for this join, and AQE splits the comments of a much repeated text
     # only where both sides come straight from a shuffle.
-    keyed = comments.withColumn("_searched", searched).withColumn("_key", F.hex(identity)).drop("_searched")
+    keyed = candidates.withColumn("_key", F.hex(identity)).drop("_searched")
     return keyed.join(winners, "_key").drop("_key")
 
 

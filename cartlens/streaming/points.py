@@ -23,7 +23,8 @@ def parquet_points(path: str) -> BatchWriter:
     """
 
     def write(points: DataFrame, batch: int) -> None:
-        numbered = points.withColumn("batch", F.lit(batch).cast("long"))
+        # Points are few and small: gather them, or every batch would leave a file per task.
+        numbered = points.withColumn("batch", F.lit(batch).cast("long")).hint("rebalance")
         write_files(numbered, path, mode="replace_period", period_column="batch")
 
     return write

@@ -9,7 +9,7 @@ import pytest
 from conftest import rows
 
 from cartlens.operators.brands import combined_popularity
-from cartlens.operators.labels import normalise_catalogue, prepare_matcher
+from cartlens.operators.labels import match_labels, normalise_catalogue, prepare_matcher
 from cartlens.operators.listings import flatten_listing, parse_comments, since, with_ingest_columns
 from cartlens.sources.comments import kafka_options, message_stream, read_archive
 from cartlens.sources.files import read_recursive
@@ -86,6 +86,15 @@ def test_points_are_awarded_once(spark, inbox, strategy):
     assert award() == [("A", 10), ("A", 10), ("B", 10)]
 
 
+def test_labels_are_matched_on_a_stream_itself(spark, inbox, matcher):
+    arrive(inbox, "1.json", message(1, "a ring"), message(2, "Ring Pro!"), message(3, "nothing"), "{")
+    arriving = parse_comments(message_stream(spark, "text", {}, str(inbox / "in")))
+    found = match_labels(arriving, matcher).select("comment_id", "matched_item_label", "matched_brand")
+    writer = found.writeStream.format("parquet").option("checkpointLocation", str(inbox / "mark")).trigger(**ONCE)
+    run(writer.start(str(inbox / "found")))
+    assert sorted(rows(spark.read.parquet(str(inbox / "found")))) == [("c1", "RING", "A"), ("c2", "RING PRO", "B")]
+
+
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     write = parquet_points(str(tmp_path / "points"))
     points = spark.createDataFrame([("A", 10)], "brand STRING, total_long_term_brand_popularity_index BIGINT")
