@@ -38,14 +38,14 @@ def create_category_partitioned_table(spark: SparkSession, name: str) -> None:
 
 
 def insert_events(events: DataFrame, name: str) -> None:
-    """Append events, cast to the table's types; in a partitioned table each row goes to its partition.
+    """Append events, cast to the table's types (null where that fails), each row to its partition if any.
 
     Rows of a partition are gathered first, else every task would write a file into every partition. AQE
     splits the gathering of a partition that holds a large share of the rows.
     """
     spark = events.sparkSession
     target = spark.table(name)
-    rows = events.select(*(events[field.name].cast(field.dataType).alias(field.name) for field in target.schema))
+    rows = events.select(*(events[field.name].try_cast(field.dataType).alias(field.name) for field in target.schema))
     folders = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
     (rows.hint("rebalance", *folders) if folders else rows).write.insertInto(name)
 

@@ -7,8 +7,10 @@ from datetime import date
 import pytest
 from conftest import rows
 
+from cartlens.functions import event_month
 from cartlens.operators import brands, events, funnel, sales, visits
 from cartlens.schema import CART, PURCHASE, VIEW
+from cartlens.sources.files import read_event_csv
 
 BLANK, PADDED = "  ", "  Apple "
 
@@ -43,6 +45,15 @@ def test_daily_metrics_leave_out_unreadable_times(golden):
     assert rows(sales.daily_sales_metrics(golden)) == DAILY
 
 
+def test_times_may_still_be_text(spark, raw_folder):
+    text = read_event_csv(spark, f"{raw_folder}/2020-Apr.csv", parse_time=False)
+    assert rows(sales.daily_sales_metrics(text)) == DAILY
+    assert rows(visits.avg_hourly_product_views(text)) == [(0, 1.0), (1, 1.0), (5, 1.0)]
+    assert sorted(rows(text.select(event_month(text)).distinct()), key=repr) == [("2020-04",), (None,)]
+    with pytest.raises(TypeError):
+        event_month(text, "price")
+
+
 def test_daily_metrics_joined_from_two_results(golden):
     joined = sales.join_daily_metrics(sales.daily_average_price(golden), sales.daily_units_sold(golden))
     assert rows(joined) == DAILY
