@@ -24,6 +24,7 @@ from cartlens.plans.published import total_index
 from cartlens.schema import BRAND_EVENT_COUNT_DDL, CART, EVENT_COLUMNS, PURCHASE, VIEW
 from cartlens.session import shared_folder
 from cartlens.sinks import files as sinks
+from cartlens.sinks.marks import load_mark, save_mark
 from cartlens.sinks.versions import add_brand_event_counts, read_latest
 from cartlens.sources import files as sources
 from cartlens.sources import tables
@@ -267,6 +268,13 @@ def _flattened(spark: SparkSession, folder: str) -> DataFrame:
     return listings.flatten_listing(views.listing_pages(views.comments(spark, folder)))
 
 
+def _new_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run takes after one that started at the kept time."""
+    base = shared_folder(spark)
+    save_mark(spark, base, 1704070000.0)
+    return listings.since(_flattened(spark, folder), load_mark(spark, base))
+
+
 def _message_files(spark: SparkSession, folder: str) -> str:
     path = shared_folder(spark)
     sinks.write_files(views.messages(views.comments(spark, folder)), path, fmt="text")
@@ -407,7 +415,7 @@ def queries() -> dict[str, Query]:
         "comment_brand_points_total": lambda spark, folder: labels.comment_points_total(_matched(spark, folder)),
         "combined_brand_popularity": _combined,
         "flatten_listing": _flattened,
-        "incremental_since": lambda spark, folder: listings.since(_flattened(spark, folder), 1704070000.0),
+        "incremental_since": _new_comments,
     }
 
 

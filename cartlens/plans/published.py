@@ -1,6 +1,7 @@
 """The published tables: which metric fills each, and how a new period is added to it.
 
-    spark-submit -m cartlens.plans.published --data-period 2020-Apr --raw <folder> --staged <folder> --out <folder>
+    spark-submit --py-files cartlens.zip cartlens/plans/published.py \\
+        --data-period 2020-Apr --raw <folder> --staged <folder> --out <folder>
 """
 
 from __future__ import annotations

@@ -47,7 +47,7 @@ def test_entry(spark):
 WRITING = {
     "csv_roundtrip", "csv_dropmalformed", "parquet_roundtrip", "convert_format", "recursive_scan", "staged_events",
     "catalog_table_scan", "managed_text_table", "partitioned_by_category", "append_roundtrip", "overwrite_roundtrip",
-    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan", "stream_archive",
+    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan", "stream_archive", "incremental_since",
     "stream_brand_points",
 }
 

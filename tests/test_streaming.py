@@ -11,6 +11,7 @@ from conftest import rows
 from cartlens.operators.brands import combined_popularity
 from cartlens.operators.labels import match_labels, normalise_catalogue, prepare_matcher
 from cartlens.operators.listings import flatten_listing, parse_comments, since, with_ingest_columns
+from cartlens.sinks.marks import load_mark, save_mark
 from cartlens.sources.comments import kafka_options, message_stream, read_archive
 from cartlens.sources.files import read_recursive
 from cartlens.streaming import archive_comments, jdbc_points, parquet_points, stream_brand_points
@@ -157,6 +158,14 @@ def test_listing_pages_and_mark(spark):
     assert since(comments, None).count() == 2
 
 
+def test_mark_is_kept_between_runs(spark, tmp_path):
+    base = str(tmp_path / "mark")
+    assert load_mark(spark, base) == 0.0
+    for start in (1700000000.25, 1700000300.5):
+        save_mark(spark, base, start)
+        assert load_mark(spark, base) == start
+
+
 def test_batch_and_live_points_together(spark):
     ddl = "brand STRING, total_long_term_brand_popularity_index BIGINT"
     batch = spark.createDataFrame([("acme", 7), ("BOLT", 1)], ddl)
