@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cartlens.operators import brands, funnel, visits
 from cartlens.operators.labels import match_labels, normalise_catalogue, prepare_matcher
+from cartlens.plans import views
 from cartlens.sources import tables
 
 N = 30_000
@@ -81,6 +82,24 @@ def test_a_much_repeated_text_is_split(spark, settings):
         assert "skew=true" in final_plan(once)
 
 
+def test_a_part_that_a_third_of_all_events_name_is_split(spark, settings, tmp_path):
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    key = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100)
+    spark.range(N, numPartitions=16).select(
+        F.col("id").alias("event_id"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("ts"),
+        F.col("id").alias("user_id"),
+        F.lit("purchase").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.concat(F.lit('{"k": '), key, F.lit("}")).alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    clicks = views.click_events(spark, str(tmp_path)).select("event_id", "product_id", "user_session")
+    collected = clicks.collect()
+    assert len(collected) == N and len({row["event_id"] for row in collected}) == N
+    assert "skew=true" in final_plan(clicks)
+
+
 def test_a_hot_category_is_written_by_several_tasks(spark, settings, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
     tables.create_database(spark, "skew_db", str(tmp_path / "db"))
