@@ -9,7 +9,7 @@ from conftest import rows
 
 from cartlens.functions import event_month
 from cartlens.operators import brands, events, funnel, sales, visits
-from cartlens.schema import CART, PURCHASE, VIEW
+from cartlens.schema import BRAND_EVENT_COUNT_DDL, CART, PURCHASE, VIEW
 from cartlens.sources.files import read_event_csv
 
 BLANK, PADDED = "  ", "  Apple "
@@ -75,7 +75,8 @@ def test_electronics_units(golden):
 
 
 def test_visits_per_user(golden):
-    assert sorted(rows(visits.distinct_user_sessions(golden))) == [(1, "s1"), (1, "s2"), (2, "s3"), (3, "s4"), (4, "s5")]
+    pairs = [(1, "s1"), (1, "s2"), (2, "s3"), (3, "s4"), (4, "s5")]
+    assert sorted(rows(visits.distinct_user_sessions(golden))) == pairs
     assert rows(visits.avg_site_visits_per_user(golden, period="2020-Apr")) == [(1.25, "2020-Apr")]
 
 
@@ -89,7 +90,8 @@ def test_events_per_session(golden):
 
 
 def test_untyped_events_average_zero(spark):
-    untyped = spark.createDataFrame([(None, "s1"), (None, "s1"), ("view", None)], "event_type STRING, user_session STRING")
+    log = [(None, "s1"), (None, "s1"), ("view", None)]
+    untyped = spark.createDataFrame(log, "event_type STRING, user_session STRING")
     assert dict(rows(visits.avg_events_per_session(untyped))) == {None: 0.0, "view": 1.0}
 
 
@@ -180,7 +182,7 @@ def test_counts_and_points(golden):
 
 
 def test_points_of_an_unweighted_type_are_zero(spark):
-    counts = spark.createDataFrame([("x", "wish", 5), ("x", None, 5)], "brand STRING, event_type STRING, event_count BIGINT")
+    counts = spark.createDataFrame([("x", "wish", 5), ("x", None, 5)], BRAND_EVENT_COUNT_DDL)
     assert rows(brands.brand_points(counts)) == [("x", 0)]
 
 

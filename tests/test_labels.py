@@ -9,7 +9,13 @@ import pytest
 from conftest import rows
 
 from cartlens.operators import labels
-from cartlens.operators.labels import comment_points, comment_points_total, match_labels, normalise_catalogue, prepare_matcher
+from cartlens.operators.labels import (
+    comment_points,
+    comment_points_total,
+    match_labels,
+    normalise_catalogue,
+    prepare_matcher,
+)
 
 PLANS = {
     "in_row": {"strategy": "in_row"},
@@ -135,7 +141,8 @@ def test_points_per_comment(spark):
 
 def test_heads_grow_while_they_are_few(spark):
     clean = catalogue_of(spark, *((f"model {i}x", "x") for i in range(1000)))
-    sizes = {most: prepare_matcher(clean, strategy="by_position", most_heads=most).head_size for most in (0, 1, 10, 100, 2000)}
+    plan = {"strategy": "by_position"}
+    sizes = {most: prepare_matcher(clean, most_heads=most, **plan).head_size for most in (0, 1, 10, 100, 2000)}
     assert sizes == {0: 3, 1: 6, 10: 6, 100: 8, 2000: 12}
     assert sum(37**n for n in range(1, labels.HEAD_SIZES[0] + 1)) == 52_059
 

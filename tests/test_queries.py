@@ -9,7 +9,8 @@ import __spark_entry__ as contract
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
 )
 QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
@@ -47,7 +48,8 @@ def test_entry(spark):
 WRITING = {
     "csv_roundtrip", "csv_dropmalformed", "parquet_roundtrip", "convert_format", "recursive_scan", "staged_events",
     "catalog_table_scan", "managed_text_table", "partitioned_by_category", "append_roundtrip", "overwrite_roundtrip",
-    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan", "stream_archive", "incremental_since",
+    "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan",
+    "stream_archive", "incremental_since",
     "stream_brand_points",
 }
 
@@ -84,7 +86,14 @@ def test_metric_reads_events_once_and_sorts_at_most_once(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["category_revenue_rank", "brand_units_sold_rank", "views_by_brand", "cart_purchase_diff_by_user", "hourly_product_views"]
+    "name",
+    [
+        "category_revenue_rank",
+        "brand_units_sold_rank",
+        "views_by_brand",
+        "cart_purchase_diff_by_user",
+        "hourly_product_views",
+    ],
 )
 def test_event_types_are_selected_by_the_reader(spark, name):
     plan = plan_of(QUERIES[name](spark, FOLDER))

@@ -19,7 +19,7 @@ def hot_events(spark):
     """A third of the events: one user, one session, no brand."""
     hot = F.col("id") % 3 == 0
     return spark.range(N, numPartitions=8).select(
-        F.when(F.col("id") % 2 == 0, "view").when(F.col("id") % 5 == 0, "purchase").otherwise("cart").alias("event_type"),
+        F.expr("CASE WHEN id % 2 = 0 THEN 'view' WHEN id % 5 = 0 THEN 'purchase' ELSE 'cart' END").alias("event_type"),
         F.when(~hot, F.concat(F.lit("b"), F.col("id") % 100)).alias("brand"),
         F.when(hot, F.lit(-1)).otherwise(F.col("id")).alias("user_id"),
         F.when(hot, "s").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("user_session"),
@@ -50,9 +50,8 @@ def final_plan(frame):
 def test_hot_keys_are_counted_whole(hot_events):
     by_user = dict(rows(visits.site_visits_by_user(hot_events)))
     assert by_user[-1] == 1 and len(by_user) == N - N // 3 + 1
-    assert dict(rows(visits.event_count_by_session(hot_events).where("user_session = 's'"), "event_type", "events_count")) == {
-        "view": 5000, "purchase": 1000, "cart": 4000,
-    }
+    hot_session = visits.event_count_by_session(hot_events).where("user_session = 's'")
+    assert dict(rows(hot_session, "event_type", "events_count")) == {"view": 5000, "purchase": 1000, "cart": 4000}
     assert dict(rows(funnel.cart_purchase_diff_by_user(hot_events)))[-1] == 3000
     unknown = brands.brand_popularity(hot_events).where("brand = 'unknown_brand'")
     assert rows(unknown) == [("unknown_brand", 5000, 4000, 1000, 5000 + 8000 + 10000)]
@@ -106,7 +105,8 @@ def test_a_hot_category_is_written_by_several_tasks(spark, settings, tmp_path):
     try:
         tables.create_category_partitioned_table(spark, "skew_db.events")
         code = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 20))
-        empty = [F.lit(None).cast("string").alias(c) for c in ("event_time", "product_id", "category_id", "brand", "price")]
+        absent = ("event_time", "product_id", "category_id", "brand", "price")
+        empty = [F.lit(None).cast("string").alias(column) for column in absent]
         events = spark.range(N, numPartitions=16).select(
             code.alias("category_code"), F.lit("view").alias("event_type"), F.col("id").cast("string").alias("user_id"),
             F.sha2(F.col("id").cast("string"), 256).alias("user_session"), *empty,

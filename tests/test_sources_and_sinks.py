@@ -27,7 +27,12 @@ def same(left, right):
 
 
 def test_unreadable_and_empty_fields_are_null(spark, tmp_path):
-    lines = [",".join(EVENT_COLUMNS), "bad,view,x,1,,\"\",abc,7,s", "2020-04-01 10:00:00 UTC,view,5", "too,many,1,1,a,b,1.5,2,s,extra"]
+    lines = [
+        ",".join(EVENT_COLUMNS),
+        'bad,view,x,1,,"",abc,7,s',
+        "2020-04-01 10:00:00 UTC,view,5",
+        "too,many,1,1,a,b,1.5,2,s,extra",
+    ]
     (tmp_path / "e.csv").write_text("\n".join(lines) + "\n")
     first, short, long = rows(read_event_csv(spark, str(tmp_path / "e.csv")))
     assert first == (None, "view", None, 1, None, None, None, 7, "s")
@@ -147,11 +152,13 @@ def test_catalog_tables(spark, golden, raw_folder, tmp_path):
         text = golden.selectExpr("string(event_time) AS event_time", *EVENT_COLUMNS[1:])
         tables.create_managed_text_table(spark, "shop_db.text_events")
         tables.insert_events(text, "shop_db.text_events")
-        assert same(tables.read_table(spark, "shop_db.text_events").select("brand", "user_session"), text.select("brand", "user_session"))
+        managed = tables.read_table(spark, "shop_db.text_events")
+        assert same(managed.select("brand", "user_session"), text.select("brand", "user_session"))
 
         tables.create_category_partitioned_table(spark, "shop_db.by_category")
         tables.insert_events(text, "shop_db.by_category")
-        assert same(spark.table("shop_db.by_category").select("category_code", "brand"), text.select("category_code", "brand"))
+        by_category = spark.table("shop_db.by_category")
+        assert same(by_category.select("category_code", "brand"), text.select("category_code", "brand"))
         assert spark.sql("SHOW PARTITIONS shop_db.by_category").count() == 6
     finally:
         spark.sql("DROP DATABASE shop_db CASCADE")

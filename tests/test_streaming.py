@@ -20,7 +20,8 @@ ONCE = {"availableNow": True}
 
 
 def message(number, text, **other):
-    return json.dumps({"post_id": "p", "comment_id": f"c{number}", "author": "u", "text": text, "created_utc": 100, **other})
+    fields = {"post_id": "p", "comment_id": f"c{number}", "author": "u", "text": text, "created_utc": 100}
+    return json.dumps(fields | other)
 
 
 @pytest.fixture
@@ -52,7 +53,8 @@ def test_archive_files_messages_by_arrival_and_goes_on_after_a_restart(spark, in
 
     arrive(inbox, "1.json", message(1, "  padded "), message(2, 'quoted, "text"'), "no json")
     first = archive()
-    assert sorted(rows(first.where("comment_id IS NOT NULL"), "comment_id", "text")) == [("c1", "  padded "), ("c2", 'quoted, "text"')]
+    readable = first.where("comment_id IS NOT NULL")
+    assert sorted(rows(readable, "comment_id", "text")) == [("c1", "  padded "), ("c2", 'quoted, "text"')]
     assert first.count() == 3
     folders = {p.relative_to(inbox / "raw").parent.as_posix() for p in (inbox / "raw").rglob("*.csv")}
     assert all(re.fullmatch(r"ingest_date=\d{4}-\d\d-\d\d/ingest_time=\d\d-\d\d-\d\d", f) for f in folders)
@@ -77,8 +79,9 @@ def test_points_are_awarded_once(spark, inbox, strategy):
 
     def award():
         stream = message_stream(spark, "text", {}, str(inbox / "in"))
-        run(stream_brand_points(stream, chosen, parquet_points(str(inbox / "points")), str(inbox / "mark"), trigger=ONCE))
-        return sorted(rows(spark.read.parquet(str(inbox / "points")).select("brand", "total_long_term_brand_popularity_index")))
+        points = str(inbox / "points")
+        run(stream_brand_points(stream, chosen, parquet_points(points), str(inbox / "mark"), trigger=ONCE))
+        return sorted(rows(spark.read.parquet(points), "brand", "total_long_term_brand_popularity_index"))
 
     arrive(inbox, "1.json", message(1, "a ring"), message(2, "Ring Pro!"), message(3, "nothing"), message(4, None), "{")
     assert award() == [("A", 10), ("B", 10)]
@@ -108,7 +111,8 @@ def test_batches_without_a_match_are_not_written(spark, inbox, matcher):
     written = []
     arrive(inbox, "1.json", message(1, "nothing"))
     stream = message_stream(spark, "text", {}, str(inbox / "in"))
-    run(stream_brand_points(stream, matcher, lambda points, batch: written.append(batch), str(inbox / "mark"), trigger=ONCE))
+    note = lambda points, batch: written.append(batch)
+    run(stream_brand_points(stream, matcher, note, str(inbox / "mark"), trigger=ONCE))
     assert written == []
 
 
