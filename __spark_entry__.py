@@ -31,6 +31,13 @@ from cartlens.sources import tables
 from cartlens.sources.comments import message_stream, read_archive
 from cartlens.streaming import archive_comments, parquet_points, stream_brand_points
 
+try:
+    from cartlens.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out, but nothing of it may be broken
+    if missing.name != "cartlens.llm":
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -416,6 +423,7 @@ def queries() -> dict[str, Query]:
         "combined_brand_popularity": _combined,
         "flatten_listing": _flattened,
         "incremental_since": _new_comments,
+        **(llm.QUERIES if llm else {}),
     }
 
 
@@ -753,4 +761,5 @@ def oracle_sql() -> dict[str, str]:
         ),
         "flatten_listing": flat("SELECT * FROM flat"),
         "incremental_since": flat("SELECT * FROM flat WHERE created_utc > 1704070000"),
+        **(llm.SQL if llm else {}),
     }
