@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, mixing
+from cartlens.llm import decontamination, jaccard, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,32 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(_table(spark, folder, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM parts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a passage of the benchmark: the item, the overlap's length and where it starts."""
     return decontamination.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -65,8 +91,9 @@ SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM co
 """
 
 QUERIES: dict[str, Query] = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
     "op10_mix_sources": op10_mix_sources,
 }
 
-SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}
+SQL: dict[str, str] = {"op3_ngram_jaccard": OP3_SQL, "op10_mix_sources": OP10_SQL}
