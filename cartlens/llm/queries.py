@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, mixing
+from cartlens.llm import decontamination, jaccard, langid, mixing, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,29 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read_archive(spark, warc.write_archive(_table(spark, folder, "pages")))
+
+
+# SQL has no SHA-1 in base 32 of its own: the digest's 40 hexadecimal digits are rewritten 5 bits at a time.
+OP2_SQL = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+digests AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM payloads),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+    ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
+    [strpos('0123456789abcdef', hex[i])]), '') AS b FROM digests),
+named AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first,
+    array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+      CAST(b[5*i+1] AS INT) * 16 + CAST(b[5*i+2] AS INT) * 8 + CAST(b[5*i+3] AS INT) * 4
+      + CAST(b[5*i+4] AS INT) * 2 + CAST(b[5*i+5] AS INT) + 1]), '') AS payload_digest FROM bits)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END
+  AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM named
+"""
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(_table(spark, folder, "documents"))
 
@@ -47,6 +70,14 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.detect(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
@@ -91,9 +122,16 @@ SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM co
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_warc": op2_warc,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
 }
 
-SQL: dict[str, str] = {"op3_ngram_jaccard": OP3_SQL, "op10_mix_sources": OP10_SQL}
+SQL: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+    "op3_ngram_jaccard": OP3_SQL,
+    "op10_mix_sources": OP10_SQL,
+}
