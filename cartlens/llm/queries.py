@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, mixing, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, mixing, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,10 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_table(spark, folder, "documents"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_table(spark, folder, "documents"))
 
@@ -125,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
+    "op6_licences": op6_licences,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,

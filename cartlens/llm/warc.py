@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cartlens.llm.frames import find_package, shared_path, stored
 
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 DATE = "2024-01-01T00:00:00Z"
 _BEGIN = b"WARC/1.1"
 _END = "\r\n\r\n"
