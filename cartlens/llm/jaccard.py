@@ -1,22 +1,24 @@
 """Documents whose sets of word shingles have a Jaccard similarity of 0.8 or more, and their groups.
 
-A document's shingles are hashed into 64 groups; the vector of their counts is the document's point. The sum of
-the coordinates' minima of two points is at least the size of the sets' intersection, and with the largest
-coordinates of an R-tree's node it bounds all points below, so a node whose bound is under the intersection
-that 0.8 asks for is left out. The pairs that remain are verified on the sets themselves.
+A document's shingles are hashed into groups, at least one for four shingles; the vector of their counts is the
+document's point. The sum of the coordinates' minima of two points is at least the size of the sets'
+intersection, and with the largest coordinates of an R-tree's node it bounds all points below, so a node whose
+bound is under the intersection that 0.8 asks for is left out. The pairs that remain are verified on the sets
+themselves. Points of different lengths are compared on the shorter's groups, which join the longer's.
 
 No task can hold a tree over all points. The points are dealt out by their leading coordinates first: with all
 shingles in one order, two similar sets share one among the first ``n - ceil(0.8 n) + 1`` of each. Points that
-share one meet in a tree of their own. The order puts the most frequent shingles, as counted in all documents,
-last; it only decides how many points meet, not which pairs are found.
+share one meet in a tree of their own; up to ``LEAF`` points are a leaf, whose pairs are bounded one by one. The
+order puts the most frequent shingles, as counted in all documents, last; it only decides how many points
+meet, not which pairs are found.
 
 1. One pass over the texts gives each document its size, point, a digest of its set, and a few minima of its
    shingles. Documents with the same set are one class from here on.
 2. Classes that share a minimum are compared with the first of them, which joins most of a group of any size
    by few comparisons; what is linked is a component.
-3. Of the leading shingles, those are kept that two or more components have. Their points meet in trees that
-   look for pairs of different components only. A shingle of very many points is dealt out in tiles, so no
-   tree holds more than about two thousand.
+3. A second pass gives the leading shingles. Those of one class only are dropped where they meet; of the rest,
+   points of different components are paired in leaves and trees. A shingle of very many points is dealt out
+   in tiles, so no tree holds more than about two thousand.
 4. Pairs are verified on the sets, which are made anew from the texts of the classes concerned.
 
 Texts are never shuffled. Defined results: null, empty and blank texts have no shingles and link with nothing;
@@ -39,7 +41,8 @@ from cartlens.llm.graph import components
 from cartlens.llm.words import mix, shingles, slices, words
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 64  # of the smallest points, and of all points in a tree
+MOST_GROUPS = 1 << 14
 MINIMA = 6
 LEAF = 16  # points of a leaf, and children of a node
 TILE = 1024  # points of one side of a tile
@@ -49,6 +52,9 @@ SEEN = 4  # occurrences in a window from which a shingle's count is passed on
 SLOT_BITS = 25  # of the filter that finds the documents to make sets of; its size is fixed
 _AT_ONCE = 1 << 15  # pairs bounded together
 
+_FULL = 255  # a coordinate of so many or more; beside another such it bounds nothing
+_ANY = 1 << 20
+
 _SEEDS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64))
 
 
@@ -71,10 +77,32 @@ def _minima(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum.reduceat(mix(hashed ^ seed), first) + seed for seed in _SEEDS], axis=1)
 
 
-def _points(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
-    n = len(first) - 1
-    at = np.repeat(np.arange(n), np.diff(first)) * GROUPS + (hashed >> np.uint64(64 - 6)).astype(np.int64)
-    return np.bincount(at, minlength=n * GROUPS).astype(np.int32).reshape(n, GROUPS)
+def _points(hashed: np.ndarray, first: np.ndarray) -> pa.BinaryArray:
+    """The number of shingles in each group, a byte each."""
+    n = np.diff(first)
+    bits = np.clip(np.ceil(np.log2(np.maximum(n, 1) / 4)), np.log2(GROUPS), np.log2(MOST_GROUPS)).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(1 << bits)])
+    group = (hashed >> np.repeat(64 - bits, n).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(np.repeat(begin[:-1], n) + group, minlength=begin[-1])
+    data = np.minimum(counts, _FULL).astype(np.uint8)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(n), [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(data)]
+    )
+
+
+def _folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point over fewer groups; coordinates that are full stay above any bound."""
+    whole = np.where(point == _FULL, _ANY, point.astype(np.int32))
+    return whole.reshape(groups, -1).sum(axis=1)
+
+
+def may_be_similar(a: bytes, b: bytes, n_a: int, n_b: int) -> bool:
+    """Whether the points of sets of these sizes leave room for a similarity of 0.8."""
+    if 5 * min(n_a, n_b) < 4 * max(n_a, n_b):
+        return False
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    groups = min(len(x), len(y))
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum()) >= (4 * (n_a + n_b) + 8) // 9
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -116,7 +144,7 @@ def sketch(documents: DataFrame, id_column: str = "doc_id", text_column: str = "
                         pa.array(c1),
                         pa.array(c2),
                         _lists(minima.ravel(), some * MINIMA),
-                        _binary([row.tobytes() for row in _points(hashed, first)]),
+                        _points(hashed, first),
                         pa.nulls(high - low, pa.int64()),
                         pa.nulls(high - low, pa.int64()),
                     ],
@@ -203,12 +231,12 @@ def _frequent(sketched: DataFrame) -> np.ndarray:
 
 
 def leading(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Each document's leading shingles, and how many of them are frequent ones."""
+    """Each set's leading shingles with half its digest, and a number that spreads the frequent ones (others: 0)."""
     order = np.argsort(frequent)
     known = frequent[order]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, taken, sizes, last = batch.column("doc_id"), [], [], []
+        taken, owner, salt = [], [], []
         for low, high in slices(batch.column("text")):
             hashed, first = shingles(words(batch.column("text").slice(low, high - low)), SHINGLE)
             rank = np.zeros(len(hashed), np.int64)
@@ -217,52 +245,103 @@ def leading(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                 at[at == len(known)] = 0
                 rank = np.where(known[at] == hashed, order[at] + 1, 0)
             n = np.diff(first)
-            text = np.repeat(np.arange(len(n)), n)
-            sort = np.lexsort((rank, text))  # stable: equal ranks stay in the order of their hashes
-            hashed, rank = hashed[sort], rank[sort]
+            digest = np.repeat(_digests(hashed, first)[0], n)
+            if rank.any():  # stable: equal ranks stay in the order of their hashes
+                sort = np.lexsort((rank, np.repeat(np.arange(len(n)), n)))
+                hashed, rank = hashed[sort], rank[sort]
             lead = np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
             use = np.arange(len(hashed)) - np.repeat(first[:-1], n) < np.repeat(lead, n)
-            taken.append(hashed[use])
-            sizes.append(lead)
-            last.append(np.bincount(text[use], rank[use] > 0, len(n)).astype(np.int64))
-        join = lambda parts, kind: np.concatenate([*parts, np.zeros(0, kind)])
-        columns = [ids, _lists(join(taken, np.uint64).astype(np.uint64), join(sizes, np.int64).astype(np.int64))]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(join(last, np.int64).astype(np.int64))], names=["id", "lead", "last"]
-        )
+            taken.append(hashed[use].view(np.int64))
+            owner.append(digest[use])
+            salt.append(np.where(rank[use] > 0, (digest[use] & 0xFFFF) + 1, 0).astype(np.int32))
+        columns = [pa.array(np.concatenate(x)) for x in (taken, owner, salt)]
+        return pa.RecordBatch.from_arrays(columns, names=["shingle", "c1", "salt"])
+
+    return map_batches(texts.select("text"), run, "shingle long, c1 long, salt int")
 
-    return map_batches(texts, run, "id long, lead array<long>, last long")
 
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, with the number of rows at the end."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.concatenate([np.flatnonzero(new), [len(new)]])
 
-def _shared_by_components(rows: DataFrame) -> DataFrame:
-    """Rows whose shingle belongs to two components or more.
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Leading shingles that two sets or more have, once for each set.
 
     A shingle that is not among the frequent ones belongs to a small share of the documents, so its rows are
-    looked at together; rows of the others are spread, and counted where they are.
+    looked at together; rows of the others are spread, and kept.
     """
-    spread = F.when(F.col("often"), F.pmod(F.xxhash64("id"), F.lit(1 << 16))).otherwise(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
         if not parts:
             return
-        whole = pa.Table.from_batches(parts)
-        shingle, component = whole["shingle"].to_numpy(), whole["component"].to_numpy()
-        order = np.lexsort((component, shingle))
-        a, c = shingle[order], component[order]
-        begin = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-        length = np.diff(np.concatenate([begin, [len(a)]]))
-        several = np.repeat(c[begin] != c[begin + length - 1], length)
-        keep = np.zeros(len(a), bool)
-        keep[order] = several
-        yield from whole.filter(pc.or_(pa.array(keep), whole["often"])).to_batches()
-
-    dealt = rows.repartition("shingle", spread)
-    found = stored(dealt.mapInArrow(run, "shingle long, id long, component long, often boolean"), "shared")
-    counts = found.groupBy("shingle").agg(
-        F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    return found.join(counts.where("low < high").select("shingle", "rows"), "shingle")
+        shingle, c1, salt = (np.concatenate([p.column(k).to_numpy() for p in parts]) for k in ("shingle", "c1", "salt"))
+        order = np.lexsort((c1, shingle))
+        order = order[_runs(shingle[order], c1[order])[:-1]]
+        begin = _runs(shingle[order])
+        several = np.repeat(np.diff(begin) > 1, np.diff(begin))
+        order = order[several | (salt[order] > 0)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shingle[order]), pa.array(c1[order]), pa.array(salt[order] > 0)], names=["shingle", "c1", "often"]
+        )
+
+    return rows.repartition("shingle", "salt").mapInArrow(run, "shingle long, c1 long, often boolean")
+
+
+def _leaf_pairs(rows: DataFrame) -> DataFrame:
+    """Of shingles that are not frequent: pairs ``a, b`` of different components within a leaf; the points of
+    larger groups come back with their shingle (``b`` is null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not parts:
+            return
+        keys = ("shingle", "component", "id", "n")
+        shingle, component, ids, n = (np.concatenate([p.column(k).to_numpy() for p in parts]) for k in keys)
+        order = np.lexsort((ids, component, shingle))
+        shingle, component, ids, n = shingle[order], component[order], ids[order], n[order]
+        begin = _runs(shingle)
+        length = np.diff(begin)
+        several = component[begin[:-1]] != component[begin[1:] - 1]
+        small = np.repeat(several & (length <= LEAF), length)
+        end = np.repeat(begin[1:], length)
+        found = []
+        for step in range(1, LEAF):  # each row with the rows after it in its leaf
+            at = np.flatnonzero(small & (np.arange(len(ids)) + step < end))
+            to = at + step
+            fit = (component[at] != component[to]) & (5 * np.minimum(n[at], n[to]) >= 4 * np.maximum(n[at], n[to]))
+            a, b = ids[at[fit]], ids[to[fit]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        large = np.repeat(several & (length > LEAF), length)
+        rest = int(large.sum())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([pairs[:, 0], ids[large]])),
+                pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(rest, pa.int64())]),
+                pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(shingle[large])]),
+            ],
+            names=["a", "b", "shingle"],
+        )
+
+    return rows.repartition("shingle").mapInArrow(run, "a long, b long, shingle long")
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the pairs whose points leave room for the similarity."""
+    of = lambda name: classes.select(*(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "point")))
+    joined = pairs.join(of("a"), F.col("a") == F.col("id_a")).join(of("b"), F.col("b") == F.col("id_b"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        points = zip(*(batch.column(k).to_pylist() for k in ("point_a", "point_b", "n_a", "n_b")), strict=True)
+        return batch.select(["a", "b"]).filter(pa.array([may_be_similar(*x) for x in points], pa.bool_()))
+
+    return map_batches(joined.select("a", "b", "point_a", "point_b", "n_a", "n_b"), run, "a long, b long")
 
 
 # --- trees --------------------------------------------------------------------------------------------------
@@ -271,8 +350,7 @@ def _shared_by_components(rows: DataFrame) -> DataFrame:
 class CountTree:
     """An R-tree over points, packed by size and then by the coordinate that varies most."""
 
-    def __init__(self, points: np.ndarray, component: np.ndarray) -> None:
-        size = points.sum(axis=1)
+    def __init__(self, points: np.ndarray, size: np.ndarray, component: np.ndarray) -> None:
         widest = int(np.argmax(points.var(axis=0)))
         slab = np.argsort(np.argsort(size, kind="stable"), kind="stable") // (LEAF * LEAF)
         order = np.lexsort((points[:, widest], slab))
@@ -328,23 +406,30 @@ class CountTree:
             yield self.order[query[keep]], self.order[node[keep]]
 
 
-def _tree_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that share a leading shingle and whose points allow the similarity."""
+def _tree_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of different components that share a leading shingle and whose points leave room for the similarity.
+    ``rows``: shingle, id and component, of shingles that many points share."""
+    counts = rows.groupBy("shingle").agg(
+        F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    rows = rows.join(counts.where("low < high").select("shingle", "rows"), "shingle")
+    rows = rows.join(classes.select("id", "n", "point"), "id")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / TILE)).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     with_other = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = with_other.select(
-        "shingle", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "id", "component", "point"
-    ).repartition("shingle", "i", "j")
+    i, j = F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j")
+    tiles = with_other.select("shingle", i, j, "id", "component", "n", "point").repartition("shingle", "i", "j")
     tiles = tiles.sortWithinPartitions("shingle", "i", "j", "id")
 
     def pairs_of(tile: pa.Table) -> pa.RecordBatch:
-        ids = tile["id"].to_numpy()
-        raw = b"".join(tile["point"].to_pylist())
-        points = np.frombuffer(raw, np.int32).reshape(len(ids), GROUPS)
-        found = list(CountTree(points, tile["component"].to_numpy()).pairs())
-        a = ids[np.concatenate([x for x, _ in found])]
-        b = ids[np.concatenate([y for _, y in found])]
+        ids, size = tile["id"].to_numpy(), tile["n"].to_numpy()
+        fine = tile["point"].to_pylist()
+        points = np.stack([_folded(np.frombuffer(p, np.uint8), GROUPS) for p in fine])
+        found = []
+        for x, y in CountTree(points, size, tile["component"].to_numpy()).pairs():
+            found += [(p, q) for p, q in zip(x, y, strict=True) if may_be_similar(fine[p], fine[q], size[p], size[q])]
+        places = np.array(found, np.int64).reshape(-1, 2)
+        a, b = ids[places[:, 0]], ids[places[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,8 +437,7 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table])
-            keys = np.stack([table[k].to_numpy().astype(np.int64) for k in ("shingle", "i", "j")], axis=1)
-            begin = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            begin = _runs(*(table[k].to_numpy() for k in ("shingle", "i", "j")))[:-1]
             for low, high in zip(begin[:-1], begin[1:], strict=True):
                 if high - low > 1:
                     yield pairs_of(table.slice(low, high - low))
@@ -361,7 +445,7 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
         if rest is not None and len(rest) > 1:
             yield pairs_of(rest)
 
-    return tiles.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return tiles.mapInArrow(run, "a long, b long").where("a <> b")
 
 
 # --- the join -----------------------------------------------------------------------------------------------
@@ -383,19 +467,22 @@ def similar_groups(documents: DataFrame, *, id_column: str = "doc_id", text_colu
     by_minimum = classes.select("id", F.explode("minima").alias("minimum"))
     firsts = by_minimum.groupBy("minimum").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     stars = by_minimum.join(firsts, "minimum").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    star_links = verified(stars, texts)
-    joined = stored(components(star_links, "a", "b"), "components")
+    star_links = verified(_bounded(stars, classes), texts)
+    joined = components(star_links, "a", "b")
     named = classes.join(joined, F.col("id") == F.col("node"), "left").select(
-        "id", "n", "point", F.coalesce("component", "id").alias("component")
+        "c1", "id", "n", "point", F.coalesce("component", "id").alias("component")
     )
     named = stored(named, "named-classes")
 
-    # Links between those components, by the trees.
-    lead = leading(texts, _frequent(sketched)).join(named.select("id", "component"), "id")
-    rows = lead.select("id", "component", "last", F.size("lead").alias("size"), F.posexplode("lead").alias("at", "shingle"))
-    rows = rows.select("shingle", "id", "component", (F.col("at") >= F.col("size") - F.col("last")).alias("often"))
-    rows = _shared_by_components(rows).join(named.select("id", "point"), "id")
-    links = verified(_tree_pairs(rows), texts)
+    # Links between those components, by leaves and trees.
+    shared = stored(_shared(leading(texts, _frequent(sketched))), "shared")
+    met = shared.join(named.select("c1", "id", "n", "component"), "c1")
+    leaves = stored(_leaf_pairs(met.where("NOT often").drop("c1", "often")), "leaves")
+    large = leaves.where("b IS NULL").select("shingle", F.col("a").alias("id")).join(named.select("id", "component"), "id")
+    often = met.where("often").select("shingle", "id", "component").distinct()
+    in_trees = _tree_pairs(often.unionByName(large), named)
+    in_leaves = _bounded(leaves.where("b IS NOT NULL").select("a", "b").distinct(), named)
+    links = verified(in_leaves.unionByName(in_trees).distinct(), texts)
     of_a = named.select(F.col("id").alias("a"), F.col("component").alias("left"))
     of_b = named.select(F.col("id").alias("b"), F.col("component").alias("right"))
     between = links.join(of_a, "a").join(of_b, "b").select("left", "right")
