@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from cartlens.llm.frames import find_package, hash_share, map_batches, remainder
 from cartlens.llm.words import LOWER, NOT_ALPHANUMERIC, Words, mix, slices, words
 
-SAMPLE = 4000  # documents learned from, of either label
+SAMPLE = 2500  # documents learned from, of either label
 MIN_DOCUMENTS = 4
 MIN_RATIO = 20.0  # twice the log likelihood ratio of a feature and the label
 PARTS = range(4, 9)  # bytes of the beginnings and ends
@@ -100,12 +100,15 @@ def fit(texts: list[str], toxic: np.ndarray, importance: np.ndarray) -> Toxicity
     found = words(pa.array(texts, pa.large_string()), NOT_ALPHANUMERIC)
     begin = _sentences(found)
     text = found.of_text()
-    columns = list(_features(found))
     seen = np.zeros((2, NONE + 1))  # documents of either label that have a feature
-    for column in columns:
-        pairs = np.unique(text * (NONE + 1) + column)
+    for column in _features(found):  # one after another, to save memory
+        pairs = text * (NONE + 1) + column
+        pairs.sort()
+        pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+        marks = toxic[pairs // (NONE + 1)]
+        pairs %= NONE + 1
         for mark in (0, 1):
-            seen[mark] += np.bincount(pairs[toxic[pairs // (NONE + 1)] == mark] % (NONE + 1), minlength=NONE + 1)
+            seen[mark] += np.bincount(pairs[marks == mark], minlength=NONE + 1)
     useful = _useful(seen, np.array([(toxic == 0).sum(), (toxic == 1).sum()]))
     useful[NONE] = False
     if not useful.any():
@@ -115,7 +118,7 @@ def fit(texts: list[str], toxic: np.ndarray, importance: np.ndarray) -> Toxicity
     sentence = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
     sentence_text = text[begin[:-1]]
     # A feature counts once in a sentence.
-    unique = np.unique(np.concatenate([sentence[useful[c]] * n + number[c[useful[c]]] for c in columns]))
+    unique = np.unique(np.concatenate([sentence[useful[c]] * n + number[c[useful[c]]] for c in _features(found)]))
     row, column = unique // n, unique % n
     weight, bias = np.zeros(n), -4.0
     moments = [np.zeros(n + 1), np.zeros(n + 1)]
