@@ -97,34 +97,39 @@ def fit(texts: list[str], toxic: np.ndarray, importance: np.ndarray) -> Toxicity
     flat = ToxicityModel(np.zeros(NONE + 1, np.float32), 0.0, base)
     if base in (0.0, 1.0):
         return flat
-    found = words(pa.array(texts, pa.large_string()), NOT_ALPHANUMERIC)
-    begin = _sentences(found)
-    text = found.of_text()
+    whole = pa.array(texts, pa.large_string())
     seen = np.zeros((2, NONE + 1))  # documents of either label that have a feature
-    for column in _features(found):  # one after another, to save memory
-        pairs = text * (NONE + 1) + column
-        pairs.sort()
-        pairs = pairs[np.diff(pairs, prepend=-1) > 0]
-        marks = toxic[pairs // (NONE + 1)]
-        pairs %= NONE + 1
-        for mark in (0, 1):
-            seen[mark] += np.bincount(pairs[marks == mark], minlength=NONE + 1)
+    for low, high in slices(whole):
+        found = words(whole.slice(low, high - low), NOT_ALPHANUMERIC)
+        text, marks = found.of_text(), toxic[low:high]
+        for column in _features(found):
+            pairs = np.unique(text * (NONE + 1) + column)
+            for mark in (0, 1):
+                of_mark = pairs[marks[pairs // (NONE + 1)] == mark] % (NONE + 1)
+                seen[mark] += np.bincount(of_mark, minlength=NONE + 1)
     useful = _useful(seen, np.array([(toxic == 0).sum(), (toxic == 1).sum()]))
     useful[NONE] = False
     if not useful.any():
         return flat
     n = int(useful.sum())
     number = np.cumsum(useful) - 1
-    sentence = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    sentence_text = text[begin[:-1]]
-    # A feature counts once in a sentence.
-    unique = np.unique(np.concatenate([sentence[useful[c]] * n + number[c[useful[c]]] for c in _features(found)]))
-    row, column = unique // n, unique % n
+    hits, sentence_texts, sentences = [], [], 0
+    for low, high in slices(whole):
+        found = words(whole.slice(low, high - low), NOT_ALPHANUMERIC)
+        begin = _sentences(found)
+        sentence = np.repeat(np.arange(len(begin) - 1), np.diff(begin)) + sentences
+        # A feature counts once in a sentence.
+        each = [sentence[useful[c]] * n + number[c[useful[c]]] for c in _features(found)]
+        hits.append(np.unique(np.concatenate(each)))
+        sentence_texts.append(np.searchsorted(found.first, begin[:-1], "right") - 1 + low)
+        sentences += len(begin) - 1
+    sentence_text = np.concatenate(sentence_texts)
+    row, column = np.concatenate(hits) // n, np.concatenate(hits) % n
     weight, bias = np.zeros(n), -4.0
     moments = [np.zeros(n + 1), np.zeros(n + 1)]
     importance = importance / importance.sum()
     for step in range(1, ROUNDS + 1):
-        z = np.bincount(row, weight[column], len(begin) - 1) + bias
+        z = np.bincount(row, weight[column], sentences) + bias
         chance = 1 / (1 + np.exp(-z))
         log_clean = np.bincount(sentence_text, -np.logaddexp(0, z), len(toxic))
         clean = np.exp(np.minimum(log_clean, -1e-9))
