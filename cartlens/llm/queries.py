@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, mixing, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, mixing, neardup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,10 @@ def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(_table(spark, folder, "documents"))
 
 
+def op7_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_table(spark, folder, "documents"))
 
@@ -130,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
     "op6_licences": op6_licences,
+    "op7_embedding_neardup": op7_embedding_neardup,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,

@@ -10,7 +10,7 @@ A page whose payload equals that of a page with a smaller id is a ``revisit``: h
 refers to. Payloads under ``min_bytes`` are always responses.
 
 Files are written and read by Spark as text whose lines end with the empty line that ends each record, so they
-can lie in any store and be split. A chunk in which a record seems to begin is cut there once more.
+can lie in any store, and plain ones be split. A chunk in which a record seems to begin is cut there once more.
 
 Defined results: a null payload is empty; equal ids with equal payloads are all what their id is; a page
 without an id revisits the smallest id with its payload, or is a response where there is none. Payloads are
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from cartlens.llm.frames import find_package, shared_path, stored
 
 CHUNK = 1 << 14
+FILE_RECORDS = 4096
 DATE = "2024-01-01T00:00:00Z"
 _BEGIN = b"WARC/1.1"
 _END = "\r\n\r\n"
@@ -167,9 +168,15 @@ def _records(row: dict, running: "hashlib._Hash", segment: int) -> Iterator[byte
 
 
 def write_archive(
-    pages: DataFrame, path: str | None = None, *, min_bytes: int = 0, chunk_bytes: int = CHUNK
+    pages: DataFrame,
+    path: str | None = None,
+    *,
+    min_bytes: int = 0,
+    chunk_bytes: int = CHUNK,
+    compression: str = "gzip",
 ) -> str:
-    """Write the pages (page_id, url, html) as WARC files and return their folder."""
+    """Write the pages (page_id, url, html) as WARC files and return their folder. Compressed files (``none`` for
+    plain ones) are read by one task each, so they are kept to ``FILE_RECORDS`` records."""
     path = path or shared_path(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +195,8 @@ def write_archive(
     body = F.when(F.col("refers_to").isNull(), F.col("body")).otherwise(F.lit(b""))
     rows = rows.select("page_id", "url", body.alias("body"), "body_bytes", "digest", "refers_to")
     records = _cut(rows, chunk_bytes).mapInArrow(run, "record binary")
-    records.select(F.col("record").cast("string")).write.option("lineSep", _END).text(path)
+    lines = records.select(F.col("record").cast("string")).write.option("lineSep", _END)
+    lines.option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(path)
     return path
 
 
