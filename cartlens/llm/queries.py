@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, mixing, neardup, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, mixing, neardup, shards, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_training_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """What is read back from the shards: each slot's sequence, with the MD5 of its ids."""
+    return shards.materialise(_table(spark, folder, "documents"))
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archive(spark, warc.write_archive(_table(spark, folder, "pages")))
 
@@ -130,6 +135,7 @@ SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM co
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_training_shards": op1_training_shards,
     "op2_warc": op2_warc,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_decontamination": op5_decontamination,

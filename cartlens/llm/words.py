@@ -139,6 +139,26 @@ def words(texts: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray = L
     return Words(hashed, start, end, np.searchsorted(start, offset), offset, data)
 
 
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of bytes, in order and without gaps between the first and the last."""
+    out = np.zeros(len(start), np.uint64)
+    low = int(start[0]) if len(start) else 0
+    while len(start) and low < end[-1]:
+        block = data[low : min(low + BLOCK_BYTES, int(end[-1]))]
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(_VALUE[block] * _POWER[: len(block)], out=sums[1:])
+        a, b = np.searchsorted(end, low, "right"), np.searchsorted(start, low + len(block), "left")
+        inside = slice(a, b)
+        first, last = np.maximum(start[inside], low) - low, np.minimum(end[inside], low + len(block)) - low
+        part = (sums[last] - sums[first]) * _BACK[first]
+        # A range that began in an earlier block goes on where its own powers left off.
+        if b > a and start[a] < low:
+            part[:1] *= np.uint64(pow(_BASE, low - int(start[a]), 2**64))
+        out[inside] += part
+        low += len(block)
+    return mix(out ^ np.uint64(_BASE))
+
+
 def hash_word(word: str) -> int:
     """The hash that ``words`` gives a single word."""
     return int(words(pa.array([word], pa.string())).hash[0])
