@@ -32,9 +32,10 @@ from cartlens.sources.comments import message_stream, read_archive
 from cartlens.streaming import archive_comments, parquet_points, stream_brand_points
 
 try:
+    import corpus_pipeline
     from cartlens.llm import queries as llm
 except ModuleNotFoundError as missing:  # the subpackage may be left out, but nothing of it may be broken
-    if missing.name != "cartlens.llm":
+    if missing.name not in ("corpus_pipeline", "cartlens.llm"):
         raise
     llm = None
 
@@ -313,6 +314,11 @@ def catalogue_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return labels.normalise_catalogue(sources.read_catalogue_csv(spark, path))
 
 
+def llm_queries() -> dict[str, Query]:
+    """The queries of the llm subpackage, and the pipeline."""
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+
+
 def queries() -> dict[str, Query]:
     """One entry per query; each takes (spark, folder of the Parquet tables)."""
     on = _on_clicks
@@ -423,7 +429,7 @@ def queries() -> dict[str, Query]:
         "combined_brand_popularity": _combined,
         "flatten_listing": _flattened,
         "incremental_since": _new_comments,
-        **(llm.QUERIES if llm else {}),
+        **llm_queries(),
     }
 
 

@@ -12,7 +12,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 )
-LLM = contract.llm.QUERIES if contract.llm else {}  # tested in tests/llm
+LLM = contract.llm_queries()  # tested in tests/llm
 QUERIES = {name: query for name, query in contract.queries().items() if name not in LLM}
 ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name not in LLM}
 
