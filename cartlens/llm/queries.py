@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, mixing, neardup, shards, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, shards, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,10 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
 
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.evaluate(_table(spark, folder, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a passage of the benchmark: the item, the overlap's length and where it starts."""
     return decontamination.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -138,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op1_training_shards": op1_training_shards,
     "op2_warc": op2_warc,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_lm_scores": op4_lm_scores,
     "op5_decontamination": op5_decontamination,
     "op6_licences": op6_licences,
     "op7_embedding_neardup": op7_embedding_neardup,
