@@ -14,8 +14,8 @@ meet, not which pairs are found.
 
 1. One pass over the texts gives each document its size, point, a digest of its set, and a few minima of its
    shingles. Documents with the same set are one class from here on.
-2. Classes that share a minimum are compared with the first of them, which joins most of a group of any size
-   by few comparisons; what is linked is a component.
+2. Classes that share a minimum are compared with a few of them, which joins most of a group of any size by few
+   comparisons; what is linked is a component.
 3. A second pass gives the leading shingles. Those of one class only are dropped where they meet; of the rest,
    points of different components are paired in leaves and trees. A shingle of very many points is dealt out
    in tiles, so no tree holds more than about two thousand.
@@ -44,6 +44,7 @@ SHINGLE = 5
 GROUPS = 64  # of the smallest points, and of all points in a tree
 MOST_GROUPS = 1 << 14
 MINIMA = 6
+STARS = 4  # classes that others with the same minimum are compared with
 LEAF = 16  # points of a leaf, and children of a node
 TILE = 1024  # points of one side of a tile
 FREQUENT = 1 << 18  # shingles that the order puts last
@@ -406,6 +407,17 @@ class CountTree:
             yield self.order[query[keep]], self.order[node[keep]]
 
 
+def _earlier(lists: pa.ListArray, shingle: int) -> np.ndarray:
+    """For each row, which of the shingles below this one it has (of those that several rows have)."""
+    values = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    row, values = row[values < shingle], values[values < shingle]
+    kinds, number, seen = np.unique(values, return_inverse=True, return_counts=True)
+    out = np.zeros((len(lists), len(kinds)), bool)
+    out[row, number] = True
+    return out[:, seen > 1]
+
+
 def _tree_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of different components that share a leading shingle and whose points leave room for the similarity.
     ``rows``: shingle, id and component, of shingles that many points share."""
@@ -413,21 +425,30 @@ def _tree_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
         F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     rows = rows.join(counts.where("low < high").select("shingle", "rows"), "shingle")
-    rows = rows.join(classes.select("id", "n", "point"), "id")
+    # A pair that shares several such shingles belongs to the smallest of them; a document has few.
+    own = rows.groupBy("id").agg(F.collect_set("shingle").alias("others"))
+    rows = rows.join(classes.select("id", "n", "point").join(own, "id"), "id")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / TILE)).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     with_other = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     i, j = F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j")
-    tiles = with_other.select("shingle", i, j, "id", "component", "n", "point").repartition("shingle", "i", "j")
+    columns = ["shingle", i, j, "own", "id", "component", "n", "point", "others"]
+    tiles = with_other.select(*columns).repartition("shingle", "i", "j")
     tiles = tiles.sortWithinPartitions("shingle", "i", "j", "id")
 
     def pairs_of(tile: pa.Table) -> pa.RecordBatch:
         ids, size = tile["id"].to_numpy(), tile["n"].to_numpy()
         fine = tile["point"].to_pylist()
         points = np.stack([_folded(np.frombuffer(p, np.uint8), GROUPS) for p in fine])
+        own, across = tile["own"].to_numpy(), tile["i"][0].as_py() != tile["j"][0].as_py()
+        earlier = _earlier(tile["others"].combine_chunks(), tile["shingle"][0].as_py())
         found = []
         for x, y in CountTree(points, size, tile["component"].to_numpy()).pairs():
-            found += [(p, q) for p, q in zip(x, y, strict=True) if may_be_similar(fine[p], fine[q], size[p], size[q])]
+            here = (earlier[x] & earlier[y]).sum(axis=1) == 0
+            if across:  # pairs within either side belong to that side's own tile
+                here &= own[x] != own[y]
+            pairs = zip(x[here], y[here], strict=True)
+            found += [(p, q) for p, q in pairs if may_be_similar(fine[p], fine[q], size[p], size[q])]
         places = np.array(found, np.int64).reshape(-1, 2)
         a, b = ids[places[:, 0]], ids[places[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -463,10 +484,16 @@ def similar_groups(documents: DataFrame, *, id_column: str = "doc_id", text_colu
         classes.select("c1", "c2", "n", "first.*").withColumnRenamed("doc_id", "id"), "classes"
     )  # a class goes by the smallest id of its documents
 
-    # Links to the first of each set of classes that share a minimum.
+    # Links to a few of each set of classes that share a minimum: those whose minima are shared most, which in a
+    # group of altered copies are the text they were made from, or near it.
     by_minimum = classes.select("id", F.explode("minima").alias("minimum"))
-    firsts = by_minimum.groupBy("minimum").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = by_minimum.join(firsts, "minimum").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    sharing = by_minimum.groupBy("minimum").agg(F.count("*").alias("classes")).where("classes > 1")
+    by_minimum = stored(by_minimum.join(sharing, "minimum"), "minima")
+    weighed = by_minimum.join(by_minimum.groupBy("id").agg(F.sum("classes").alias("weight")), "id")
+    part = F.pmod(F.xxhash64("id", "minimum"), F.lit(STARS)).alias("part")
+    middle = weighed.groupBy("minimum", part).agg(F.max(F.struct("weight", F.col("id").alias("a"))).alias("most"))
+    stars = by_minimum.join(middle.select("minimum", "most.a"), "minimum").where("id <> a")
+    stars = stars.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
     star_links = verified(_bounded(stars, classes), texts)
     joined = components(star_links, "a", "b")
     named = classes.join(joined, F.col("id") == F.col("node"), "left").select(
