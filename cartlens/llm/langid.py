@@ -6,7 +6,7 @@ a script that none uses belongs to no language. Viterbi's algorithm over a text'
 each switch, labels its words; runs of one label are spans. The document's language is the one with the
 most letters; its score is its share of all letters times its probability on its own words.
 
-Learning counts trigrams in the tasks, of at most ``SAMPLE`` documents a language, drawn by a hash of the text.
+Learning counts trigrams in the tasks, of about ``SAMPLE`` documents a language at most, drawn by a hash.
 Labelling is one pass without a shuffle; a text is scored in blocks, and what is kept of it is one score for
 each word and language.
 
@@ -128,8 +128,8 @@ class LanguageModel(NamedTuple):
 
 
 def learn(documents: DataFrame, *, sample: int = SAMPLE) -> LanguageModel:
-    """Count the trigrams of at most ``sample`` labelled documents a language (columns text and lang)."""
-    labelled = documents.select("text", F.col("lang").cast("string").alias("lang"))
+    """Count the trigrams of about ``sample`` labelled documents a language (columns doc_id, text and lang)."""
+    labelled = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     languages = [row["lang"] for row in counts]
@@ -139,7 +139,7 @@ def learn(documents: DataFrame, *, sample: int = SAMPLE) -> LanguageModel:
     for row in counts:
         bound = min(1 << 30, int((1 << 30) * sample / row["count"]))
         share = F.when(F.col("lang") == row["lang"], F.lit(bound)).otherwise(share)
-    drawn = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    drawn = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).drop("doc_id")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         names = np.array(batch.column("lang").to_pylist(), object)

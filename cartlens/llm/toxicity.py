@@ -28,6 +28,7 @@ from cartlens.llm.frames import find_package, hash_share, map_batches, remainder
 from cartlens.llm.words import LOWER, NOT_ALPHANUMERIC, Words, mix, slices, words
 
 SAMPLE = 2500  # documents learned from, of either label
+SAMPLE_CHARACTERS = 1 << 16  # longer texts aren't drawn
 MIN_DOCUMENTS = 4
 MIN_RATIO = 20.0  # twice the log likelihood ratio of a feature and the label
 PARTS = range(4, 9)  # bytes of the beginnings and ends
@@ -155,9 +156,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> T
     if not chosen:
         return fit([], np.zeros(0), np.zeros(0))
     few = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
-    texts = documents.select("doc_id", "text").where("text IS NOT NULL")
-    # At most about 2 * sample ids are sent to the tasks, and as many texts fetched.
-    rows = texts.join(F.broadcast(few), "doc_id").select("text", "mark").toArrow()
+    texts = documents.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARACTERS)
+    # At most about 2 * sample ids are sent to the tasks, and as many texts fetched (never more than twice that).
+    rows = texts.join(F.broadcast(few), "doc_id").select("text", "mark").limit(4 * sample).toArrow()
     toxic = rows["mark"].to_numpy().astype(float)
     drawn = {mark: max(1, int((toxic == mark).sum())) for mark in number}
     importance = np.array([number[int(m)] / drawn[int(m)] for m in toxic])
