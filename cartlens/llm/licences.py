@@ -2,7 +2,8 @@
 
 The index holds each word of the licence templates with the templates and places where it stands. Its words
 are weighed by their inverse document frequency over all documents. Looked up are those that at most
-``RARE_SHARE`` of the documents have, and of each template at least the ``LOOKUPS`` words of highest weight. For
+``RARE_SHARE`` of the documents have, and of each template at least the ``LOOKUPS`` words of highest weight that
+any document has. For
 each file, the places of its rare licence words are looked up, and a template's postings meet by relative
 position (place in the file minus place in the template): where two different rare words agree, the template's
 mandatory key phrase must stand, word for word, within ``SLACK`` words of where it should. How much of the
@@ -130,6 +131,7 @@ class LicenceIndex:
         self.rare = documents <= RARE_SHARE * total
         for template in self.templates:
             own = np.unique(np.searchsorted(self.vocabulary, template.words))
+            own = own[documents[own] > 0]  # the others stand nowhere
             self.rare[own[np.argsort(-idf[own], kind="stable")[:LOOKUPS]]] = True
 
 
