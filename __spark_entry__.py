@@ -5,7 +5,7 @@ Round-trip queries write the whole derived table to the shared folder and return
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,12 @@ from cartlens.functions import (
 )
 from cartlens.operators import brands, events, funnel, labels, listings, sales, visits
 from cartlens.plans import views
-from cartlens.plans.published import total_index
-from cartlens.schema import BRAND_EVENT_COUNT_DDL, CART, EVENT_COLUMNS, PURCHASE, VIEW
+from cartlens.plans.published import publish_brand_points, total_index
+from cartlens.schema import CART, EVENT_COLUMNS, PURCHASE, VIEW
 from cartlens.session import shared_folder
 from cartlens.sinks import files as sinks
+from cartlens.sinks.counts import keep_brand_event_counts, running_brand_event_counts
 from cartlens.sinks.marks import load_mark, save_mark
-from cartlens.sinks.versions import add_brand_event_counts, read_latest
 from cartlens.sources import files as sources
 from cartlens.sources import tables
 from cartlens.sources.comments import message_stream, read_archive
@@ -46,9 +46,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["brand_revenue_rank"](spark, "/root/testdata/sf0.001")
 
 
-def _on_clicks(metric: Callable[[DataFrame], DataFrame], *types: str) -> Query:
-    """The metric over click events; the types it needs are selected where the table is read."""
-    return lambda spark, folder: metric(views.click_events(spark, folder, *types))
+def _on_clicks(metric: Callable[[DataFrame], DataFrame], *types: str, columns: Sequence[str] = ()) -> Query:
+    """The metric over click events; the types it needs are selected where the table is read. Parts are joined
+    only if the named columns (all, if none are named) ask for them."""
+    named = {"columns": columns} if columns else {}
+    return lambda spark, folder: metric(views.click_events(spark, folder, *types, **named))
+
+
+_OF_USERS = ("event_type", "user_id")
+_OF_SESSIONS = ("event_type", "user_id", "user_session")
 
 
 def _on_sales(metric: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
@@ -95,7 +101,7 @@ def csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     sinks.write_files(raw.where(~short).select(*EVENT_COLUMNS), f"{base}/good", fmt="csv")
     sinks.write_files(raw.where(short).select(*EVENT_COLUMNS[:-1]), f"{base}/short", fmt="csv")
     loaded = sources.read_text_event_csv(spark, [f"{base}/good", f"{base}/short"])
-    return loaded.select("event_type", "brand", "user_id")
+    return loaded
 
 
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,45 +120,65 @@ def recursive_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     clicks = views.click_events(spark, folder)
     sinks.write_files(clicks, path, partition_by=["event_type"])
-    return sources.read_recursive(spark, path).select("event_id", "event_time", "product_id", "price")
+    # The type stands in the folders' names only, which a recursive read leaves out.
+    return sources.read_recursive(spark, path)
 
 
 def staged_events(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     sinks.stage_events(sources.read_event_csv(spark, _raw_csv(spark, folder)), path, "2024-Jan")
     loaded = sources.read_staged_events(spark, path, "2024-Jan")
-    return loaded.select(F.unix_seconds("event_time").alias("epoch"), "event_type", "brand", "price", "period")
+    return _with_epoch(loaded)
+
 
+def _with_epoch(events: DataFrame) -> DataFrame:
+    return events.withColumn("event_time", F.unix_seconds("event_time")).withColumnRenamed("event_time", "epoch")
 
-def _database(spark: SparkSession) -> tuple[str, str]:
-    """A new database of its own, in the shared folder."""
+
+def staged_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """A period staged with all events and again without purchases; another period stays as it is."""
     path = shared_folder(spark)
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    tables.create_database(spark, name, path)
-    return name, path
+    events = sources.read_event_csv(spark, _raw_csv(spark, folder))
+    for period in ("2024-Jan", "2024-Feb"):
+        sinks.stage_events(events, path, period)
+    sinks.stage_events(events.where(F.col("event_type") != PURCHASE), path, "2024-Feb")
+    return _with_epoch(sources.read_staged_events(spark, path))
+
+
+def replace_period_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A published period replaced by a run that finds nothing; the other period stays."""
+    path = shared_folder(spark)
+    rank = sales.brand_units_sold_rank(views.click_events(spark, folder, PURCHASE))
+    for result, period in ((rank, "2024-Jan"), (rank, "2024-Feb"), (rank.limit(0), "2024-Feb")):
+        sinks.write_files(events.labelled(result, period), path, mode="replace_period", periods=[period])
+    return spark.read.parquet(path).select("rank_brand_name", "units_sold", "batch_processing")
+
+
+def _fresh_table(spark: SparkSession, name: str) -> str:
+    """The name of a table that isn't there, in the one database of the catalogue queries."""
+    tables.create_database(spark, "cartlens_queries")
+    spark.sql(f"DROP TABLE IF EXISTS cartlens_queries.{name}")
+    return f"cartlens_queries.{name}"
 
 
 def catalog_table_scan(spark: SparkSession, folder: str) -> DataFrame:
-    database, _ = _database(spark)
-    tables.create_external_csv_table(spark, f"{database}.ecommerce_events", _raw_csv(spark, folder))
-    loaded = tables.read_table(spark, f"{database}.ecommerce_events").drop("event_time")
-    return loaded.withColumn("price", F.col("price").cast("double"))
+    name = _fresh_table(spark, "ecommerce_events")
+    tables.create_external_csv_table(spark, name, _raw_csv(spark, folder))
+    return _with_epoch(tables.read_table(spark, name)).withColumn("price", F.col("price").cast("double"))
 
 
 def managed_text_table(spark: SparkSession, folder: str) -> DataFrame:
-    database, _ = _database(spark)
-    name = f"{database}.webshop_customer_events"
+    name = _fresh_table(spark, "webshop_customer_events")
     tables.create_managed_text_table(spark, name)
     tables.insert_events(_raw_events(spark, folder), name)
     return tables.read_table(spark, name).withColumn("price", F.col("price").cast("double"))
 
 
 def partitioned_by_category(spark: SparkSession, folder: str) -> DataFrame:
-    database, _ = _database(spark)
-    name = f"{database}.events_by_category"
+    name = _fresh_table(spark, "events_by_category")
     tables.create_category_partitioned_table(spark, name)
     tables.insert_events(_raw_events(spark, folder), name)
-    return tables.read_table(spark, name).select("category_code", "event_time", "event_type", "product_id", "brand")
+    return tables.read_table(spark, name).withColumn("price", F.col("price").cast("double"))
 
 
 def _published_twice(mode: str) -> Query:
@@ -207,20 +233,53 @@ def _ten_days(clicks: DataFrame) -> DataFrame:
 
 
 def _merged_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts of each third of the month, made in one pass, added one after the other to kept counts."""
+    """Counts of each third of the month, made in one pass, kept one after the other, the second one twice."""
     parts, base = shared_folder(spark), shared_folder(spark)
     clicks = _ten_days(views.click_events(spark, folder))
     sinks.write_files(brands.brand_event_count(clicks, period_column="period"), parts, partition_by=["period"])
-    for third in range(3):
-        add_brand_event_counts(spark, base, spark.read.parquet(f"{parts}/period=2024-Jan-{third}"))
-    return read_latest(spark, base, BRAND_EVENT_COUNT_DDL)
+    for third in (0, 1, 2, 1):
+        period = f"2024-Jan-{third}"
+        keep_brand_event_counts(spark.read.parquet(f"{parts}/period={period}"), base, period)
+    return running_brand_event_counts(spark, base)
+
+
+def brand_points_published(spark: SparkSession, folder: str) -> DataFrame:
+    """The brand points chain from events to CSV files, read back."""
+    counts, points = shared_folder(spark), shared_folder(spark)
+    publish_brand_points(views.click_events(spark, folder), "2024-Jan", counts, points)
+    written = spark.read.csv(points, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return written.withColumns({c: F.col(c).cast("long") for c in written.columns if c != "brand"})
+
+
+def _stored_by_type(
+    metric: Callable[[DataFrame], DataFrame],
+    spark: SparkSession,
+    folder: str,
+    *types: str,
+    columns: Sequence[str] = ("event_type", "brand"),
+) -> str:
+    """Counts by event type, made in one pass and filed by type."""
+    path = shared_folder(spark)
+    clicks = views.click_events(spark, folder, *types, columns=columns)
+    sinks.write_files(metric(clicks), path, partition_by=["event_type"])
+    return path
+
+
+def _counts_of(spark: SparkSession, stored: str, kind: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{stored}/event_type={kind}").withColumnRenamed("n", name)
 
 
-def _popularity_full_join(clicks: DataFrame) -> DataFrame:
-    counts = [brands.event_counts_by_brand(clicks, kind) for kind in (VIEW, CART, PURCHASE)]
+def _popularity_full_join(spark: SparkSession, folder: str) -> DataFrame:
+    counted = _stored_by_type(lambda c: _count_by(c, "brand"), spark, folder, VIEW, CART, PURCHASE)
+    names = {VIEW: "view_events_count", CART: "cart_events_count", PURCHASE: "purchase_events_count"}
+    counts = [_counts_of(spark, counted, kind, name) for kind, name in names.items()]
     return brands.join_brand_counts(*counts, period="2024-Jan")
 
 
+def _count_by(clicks: DataFrame, key: str) -> DataFrame:
+    return clicks.groupBy(key, "event_type").agg(F.count("*").alias("n"))
+
+
 def _popularity_total(spark: SparkSession, folder: str) -> DataFrame:
     """Each period's index, made in one pass, lies in a folder of its own, and all folders are summed."""
     base = shared_folder(spark)
@@ -234,12 +293,27 @@ def _sale_periods(sold: DataFrame) -> DataFrame:
     return brands.brand_popularity(sold.withColumn("period", event_month(sold)), period_column="period")
 
 
-def _cart_purchase_join(clicks: DataFrame) -> DataFrame:
-    carts = funnel.event_counts_by_user(clicks, CART, "cart_event_count")
-    bought = funnel.event_counts_by_user(clicks, PURCHASE, "purchase_event_count")
+def _cart_purchase_join(spark: SparkSession, folder: str) -> DataFrame:
+    counted = _stored_by_type(
+        lambda c: _count_by(c, "user_id"), spark, folder, CART, PURCHASE, columns=("event_type", "user_id")
+    )
+    carts = _counts_of(spark, counted, CART, "cart_event_count")
+    bought = _counts_of(spark, counted, PURCHASE, "purchase_event_count")
     return funnel.join_cart_and_purchase_counts(carts, bought)
 
 
+def _daily_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Both daily results made in one pass, stored, and joined as two tables."""
+    path = shared_folder(spark)
+    clicks = views.click_events(spark, folder, PURCHASE)
+    sinks.write_files(sales.daily_sales_metrics(clicks), path)
+    stored = spark.read.parquet(path)
+    joined = sales.join_daily_metrics(
+        stored.select("event_date", "average_daily_revenue"), stored.select("event_date", "units_sold")
+    )
+    return _rounded_mean(joined, "average_daily_revenue")
+
+
 # --- comments ---------------------------------------------------------------------------------------------
 
 
@@ -260,11 +334,10 @@ def _parsed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingest(spark: SparkSession, folder: str) -> DataFrame:
-    arrival = F.expr(
-        "timestampadd(SECOND, CAST(created_utc - 1704067200 AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')"
-    )
-    filed = listings.with_ingest_columns(views.comments(spark, folder), at=arrival)
-    return filed.select("comment_id", "ingest_ts", "ingest_date", "ingest_time")
+    """Arrival as a stream gives it, a point in time; it is returned as seconds, which no session zone touches."""
+    filed = listings.with_ingest_columns(views.comments(spark, folder), at=F.timestamp_seconds("created_utc"))
+    epoch = F.unix_seconds("ingest_ts").alias("ingest_epoch")
+    return filed.select("comment_id", epoch, "ingest_date", "ingest_time")
 
 
 def _combined(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,7 +367,11 @@ def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
     arriving = message_stream(spark, "text", {}, _message_files(spark, folder))
     archive, mark = shared_folder(spark), shared_folder(spark)
     archive_comments(arriving, archive, mark, trigger={"availableNow": True}).awaitTermination()
-    return read_archive(spark, archive).drop("ingest_ts", "ingest_date", "ingest_time")
+    kept = read_archive(spark, archive).withColumnsRenamed({"ingest_date": "date", "ingest_time": "second"})
+    # The moment of arrival differs from run to run; what must hold is that a message is filed under it, in UTC.
+    filed = listings.with_ingest_columns(kept, at=F.col("ingest_ts"))
+    agree = (F.col("date") == F.col("ingest_date")) & (F.col("second") == F.col("ingest_time"))
+    return filed.withColumn("filed_in_utc", agree).drop("ingest_ts", "ingest_date", "ingest_time", "date", "second")
 
 
 def stream_points(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,6 +406,8 @@ def queries() -> dict[str, Query]:
         "convert_format": convert_format,
         "recursive_scan": recursive_scan,
         "staged_events": staged_events,
+        "staged_rerun": staged_rerun,
+        "replace_period_empty": replace_period_empty,
         "catalog_table_scan": catalog_table_scan,
         "managed_text_table": managed_text_table,
         "partitioned_by_category": partitioned_by_category,
@@ -352,33 +431,36 @@ def queries() -> dict[str, Query]:
             lambda c: _rounded_mean(sales.daily_sales_metrics(c, period="2024-Jan"), "average_daily_revenue"),
             PURCHASE,
         ),
-        "daily_metrics_join": on(
-            lambda c: _rounded_mean(
-                sales.join_daily_metrics(sales.daily_average_price(c), sales.daily_units_sold(c)),
-                "average_daily_revenue",
-            ),
-            PURCHASE,
-        ),
+        "daily_metrics_join": _daily_join,
         "brand_units_sold_rank": on(sales.brand_units_sold_rank, PURCHASE),
         "brand_revenue_rank": on(
             lambda c: _rounded(sales.brand_revenue_rank(c, period="2024-Jan"), "total_revenue"), PURCHASE
         ),
         "electronics_brand_units_rank": on(sales.category_brand_units_rank, PURCHASE),
-        "distinct_user_sessions": on(visits.distinct_user_sessions),
-        "site_visits_by_user": on(visits.site_visits_by_user),
+        "distinct_user_sessions": on(visits.distinct_user_sessions, columns=_OF_SESSIONS),
+        "site_visits_by_user": on(visits.site_visits_by_user, columns=_OF_SESSIONS),
         "avg_site_visits_per_user": on(
-            lambda c: _rounded(visits.avg_site_visits_per_user(c, period="2024-Jan"), "avg_site_visits_per_user")
+            lambda c: _rounded(visits.avg_site_visits_per_user(c, period="2024-Jan"), "avg_site_visits_per_user"),
+            columns=_OF_SESSIONS,
+        ),
+        "event_count_by_session": on(visits.event_count_by_session, columns=_OF_SESSIONS),
+        "avg_events_per_session": on(
+            lambda c: _rounded(visits.avg_events_per_session(c), "avg_events_per_session"), columns=_OF_SESSIONS
         ),
-        "event_count_by_session": on(visits.event_count_by_session),
-        "avg_events_per_session": on(lambda c: _rounded(visits.avg_events_per_session(c), "avg_events_per_session")),
-        "event_counts_by_user": on(lambda c: funnel.event_counts_by_user(c, CART, "cart_event_count"), CART),
-        "cart_purchase_diff_by_user": on(funnel.cart_purchase_diff_by_user, CART, PURCHASE),
-        "cart_purchase_diff_join": on(_cart_purchase_join, CART, PURCHASE),
+        "event_counts_by_user": on(
+            lambda c: funnel.event_counts_by_user(c, CART, "cart_event_count"), CART, columns=_OF_USERS
+        ),
+        "cart_purchase_diff_by_user": on(funnel.cart_purchase_diff_by_user, CART, PURCHASE, columns=_OF_USERS),
+        "cart_purchase_diff_join": _cart_purchase_join,
         "avg_cart_purchase_diff": on(
-            lambda c: _rounded(funnel.avg_cart_purchase_diff(c), "avg_cart_purchase_count_diff"), CART, PURCHASE
+            lambda c: _rounded(funnel.avg_cart_purchase_diff(c), "avg_cart_purchase_count_diff"),
+            *(CART, PURCHASE),
+            columns=_OF_USERS,
         ),
         "cart_conversion_rate": on(
-            lambda c: _rounded(funnel.cart_conversion_rate(c), "cart_conversion_rate"), CART, PURCHASE
+            lambda c: _rounded(funnel.cart_conversion_rate(c), "cart_conversion_rate"),
+            *(CART, PURCHASE),
+            columns=("event_type",),
         ),
         "hourly_product_views": on(visits.hourly_product_views, VIEW),
         "avg_hourly_product_views": on(
@@ -386,6 +468,7 @@ def queries() -> dict[str, Query]:
         ),
         "brand_event_count": on(brands.brand_event_count),
         "brand_event_count_merge": _merged_counts,
+        "brand_points_published": brand_points_published,
         "brand_points": on(lambda c: brands.brand_points(brands.brand_event_count(c))),
         "views_by_brand": on(brands.views_by_brand, VIEW),
         "views_by_brand_top20": on(lambda c: brands.views_by_brand(c).limit(20), VIEW),
@@ -396,7 +479,7 @@ def queries() -> dict[str, Query]:
         "brand_popularity_by_period": on(
             lambda c: brands.brand_popularity(_ten_days(c), period_column="period"), VIEW, CART, PURCHASE
         ),
-        "brand_popularity_full_join": on(_popularity_full_join, VIEW, CART, PURCHASE),
+        "brand_popularity_full_join": _popularity_full_join,
         "brand_popularity_total": _popularity_total,
         "sale_brand_revenue_rank": _on_sales(
             lambda s: _rounded(sales.brand_revenue_rank(s), "total_revenue", 2), "event_type", "brand", "price"
@@ -526,6 +609,9 @@ def oracle_sql() -> dict[str, str]:
     popular = _with(_CLICKS, _POPULARITY)
     third = "'2024-Jan-' || CAST(least(day(event_time) - 1, 29) // 10 AS VARCHAR)"
     epoch = "CAST(epoch(date_trunc('second', event_time)) AS BIGINT)"
+    staged = (
+        f"{epoch} AS epoch, event_type, product_id, category_id, category_code, brand, price, user_id, user_session"
+    )
     seconds = "strftime(event_time, '%Y-%m-%d %H:%M:%S') || ' UTC'"
     session_counts = (
         "SELECT event_type, user_session, count(event_type) AS events_count FROM clicks GROUP BY 1, 2"
@@ -557,6 +643,10 @@ def oracle_sql() -> dict[str, str]:
         "FROM bought WHERE brand IS NOT NULL AND category_code IS NOT NULL "
         "AND starts_with(lower(category_code), 'electronics')"
     )
+    points = clicks(
+        "SELECT brand, CAST(sum(event_count * CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 "
+        f"WHEN 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS total_points FROM ({brand_counts}) GROUP BY 1"
+    )
     match = said("SELECT comment_id, matched_item_label, matched_brand FROM matched")
     pages = (
         "flat AS (SELECT post_id, comment_id, author, text, CAST(created_utc AS DOUBLE) AS created_utc FROM comments "
@@ -569,14 +659,21 @@ def oracle_sql() -> dict[str, str]:
             "user_session FROM clicks"
         ),
         "csv_dropmalformed": clicks(
-            "SELECT event_type, brand, CAST(user_id AS VARCHAR) AS user_id FROM clicks WHERE event_id % 10 <> 0"
+            f"SELECT {seconds} AS event_time, event_type, CAST(product_id AS VARCHAR) AS product_id, "
+            "CAST(category_id AS VARCHAR) AS category_id, category_code, brand, CAST(price AS VARCHAR) AS price, "
+            "CAST(user_id AS VARCHAR) AS user_id, user_session FROM clicks WHERE event_id % 10 <> 0"
         ),
         "parquet_roundtrip": clicks("SELECT * FROM clicks"),
         "convert_format": "SELECT * FROM events",
-        "recursive_scan": clicks("SELECT event_id, event_time, product_id, price FROM clicks"),
-        "staged_events": clicks(f"SELECT {epoch} AS epoch, event_type, brand, price, '2024-Jan' AS period FROM clicks"),
+        "recursive_scan": clicks("SELECT * EXCLUDE (event_type) FROM clicks"),
+        "staged_events": clicks(f"SELECT {staged}, '2024-Jan' AS period FROM clicks"),
+        "staged_rerun": clicks(
+            f"SELECT {staged}, '2024-Jan' AS period FROM clicks UNION ALL "
+            f"SELECT {staged}, '2024-Feb' AS period FROM clicks WHERE event_type <> 'purchase'"
+        ),
+        "replace_period_empty": clicks(f"SELECT *, '2024-Jan' AS batch_processing FROM ({units_once})"),
         "catalog_table_scan": clicks(
-            "SELECT event_type, CAST(product_id AS INT) AS product_id, category_id, category_code, brand, "
+            f"SELECT {epoch} AS epoch, event_type, CAST(product_id AS INT) AS product_id, category_id, category_code, brand, "
             "CAST(CAST(price AS DECIMAL(10, 2)) AS DOUBLE) AS price, user_id, user_session FROM clicks"
         ),
         "managed_text_table": clicks(
@@ -586,8 +683,10 @@ def oracle_sql() -> dict[str, str]:
             "FROM clicks"
         ),
         "partitioned_by_category": clicks(
-            f"SELECT category_code, {seconds} AS event_time, event_type, CAST(product_id AS VARCHAR) AS product_id, "
-            "brand FROM clicks"
+            f"SELECT {seconds} AS event_time, event_type, CAST(product_id AS VARCHAR) AS product_id, "
+            "CAST(category_id AS VARCHAR) AS category_id, category_code, brand, "
+            "CAST(CAST(price AS FLOAT) AS DOUBLE) AS price, CAST(user_id AS VARCHAR) AS user_id, user_session "
+            "FROM clicks"
         ),
         "append_roundtrip": clicks(
             f"SELECT u.*, b.batch_processing FROM ({units_once}) u CROSS JOIN "
@@ -674,10 +773,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "brand_event_count": clicks(brand_counts),
         "brand_event_count_merge": clicks(brand_counts),
-        "brand_points": clicks(
-            "SELECT brand, CAST(sum(event_count * CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 "
-            f"WHEN 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS total_points FROM ({brand_counts}) GROUP BY 1"
-        ),
+        "brand_points": points,
+        "brand_points_published": points,
         "views_by_brand": clicks(
             'SELECT brand, count(*) AS "count" FROM clicks WHERE event_type = \'view\' GROUP BY 1'
         ),
@@ -729,15 +826,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "parse_comments": said("SELECT * FROM comments"),
         "ingest_partitions": said(
-            "SELECT comment_id, t AS ingest_ts, strftime(t, '%Y-%m-%d') AS ingest_date, "
+            "SELECT comment_id, created_utc AS ingest_epoch, strftime(t, '%Y-%m-%d') AS ingest_date, "
             "strftime(t, '%H-%M-%S') AS ingest_time FROM "
-            "(SELECT comment_id, make_timestamp(created_utc * 1000000) AS t FROM comments)"
+            "(SELECT comment_id, created_utc, make_timestamp(created_utc * 1000000) AS t FROM comments)"
         ),
         "catalog_normalise": said("SELECT * FROM catalogue"),
         "catalogue_csv_scan": said("SELECT * FROM catalogue"),
         # CSV has no empty text beside null.
         "stream_archive": said(
-            "SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc FROM comments"
+            "SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc, TRUE AS filed_in_utc FROM comments"
         ),
         "stream_brand_points": said(
             "SELECT matched_brand AS brand, 10 * count(*) AS total_long_term_brand_popularity_index "

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
-from cartlens.schema import COMMENT_DDL, COMMENT_KIND, INGEST_DATE_FORMAT, INGEST_TIME_FORMAT, LISTING_DDL
+from cartlens.schema import COMMENT_DDL, COMMENT_KIND, LISTING_DDL
 
 
 def parse_comments(messages: DataFrame, *, value: str = "value", lenient_time: bool = True) -> DataFrame:
@@ -20,14 +21,15 @@ def parse_comments(messages: DataFrame, *, value: str = "value", lenient_time: b
 
 
 def with_ingest_columns(comments: DataFrame, at: Column | None = None) -> DataFrame:
-    """Add the time of arrival and the date and second it is filed under."""
-    ingest = F.current_timestamp() if at is None else at
-    return comments.withColumn("ingest_ts", ingest).withColumns(
-        {
-            "ingest_date": F.date_format("ingest_ts", INGEST_DATE_FORMAT),
-            "ingest_time": F.date_format("ingest_ts", INGEST_TIME_FORMAT),
-        }
-    )
+    """Add the time of arrival and the date and second it is filed under, in UTC whatever the session's zone."""
+    timed = comments.withColumn("ingest_ts", F.current_timestamp() if at is None else at)
+    if isinstance(timed.schema["ingest_ts"].dataType, TimestampNTZType):
+        wall = F.col("ingest_ts")
+    else:
+        wall = F.expr("timestampadd(MICROSECOND, unix_micros(ingest_ts), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    text = wall.cast("string")  # as in 2020-04-01 22:13:05, perhaps with a fraction
+    second = F.translate(F.substring(text, 12, 8), ":", "-")
+    return timed.withColumns({"ingest_date": F.substring(text, 1, 10), "ingest_time": second})
 
 
 def flatten_listing(pages: DataFrame, *, post_id: str = "post_id", page: str = "page") -> DataFrame:

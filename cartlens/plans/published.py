@@ -11,9 +11,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartlens.operators import brands, funnel, sales, visits
 from cartlens.session import builder
+from cartlens.sinks.counts import keep_brand_event_counts, running_brand_event_counts
 from cartlens.sinks.files import stage_events, write_files
 from cartlens.sinks.jdbc import JdbcTarget, write_jdbc
 from cartlens.sources.files import read_period, read_recursive, read_staged_events
@@ -40,7 +42,28 @@ TABLES = {
 }
 TOTAL_TABLE = "long_term_brand_popularity_index_total"
 LIVE_TABLE = "live_long_term_brand_popularity_index_total"
+INDEX_TABLE = "long_term_brand_popularity_index_10"
 MONTHLY_INDEX = "monthly_long_term_brand_popularity_index"
+VIEWS_TABLE = "views_by_brand"
+CONVERSION_TABLE = "cart_conversion_rate"
+
+
+def write_table(
+    result: DataFrame,
+    name: str,
+    period: str,
+    *,
+    files: str | None = None,
+    database: JdbcTarget | None = None,
+    mode: str | None = None,
+) -> None:
+    """Write one table's rows of one period as files, to a database or both, in its own mode or the named one.
+    ``replace_period`` makes reruns safe and is for files; a database then gets the table's own mode."""
+    own = TABLES[name].mode
+    if files is not None:
+        write_files(result, f"{files.rstrip('/')}/{name}", mode=mode or own, periods=[period])
+    if database is not None:
+        write_jdbc(result, name, database, mode=own if mode in (None, "replace_period") else mode)
 
 
 def publish(
@@ -52,23 +75,20 @@ def publish(
     tables: Iterable[str] = tuple(TABLES),
     mode: str | None = None,
 ) -> None:
-    """Compute the named tables for one period's events and write them to files, a database or both.
-
-    Each table keeps its own mode unless ``mode`` names one for all; ``replace_period`` makes reruns safe
-    and is for files only.
-    """
+    """Compute the named tables for one period's events and write them to files, a database or both."""
     for name in tables:
-        table = TABLES[name]
-        result = table.metric(events, period=period)
-        if files is not None:
-            write_files(result, f"{files.rstrip('/')}/{name}", mode=mode or table.mode)
-        if database is not None:
-            write_jdbc(result, name, database, mode=mode or table.mode)
+        result = TABLES[name].metric(events, period=period)
+        write_table(result, name, period, files=files, database=database, mode=mode)
 
 
 def keep_monthly_index(events: DataFrame, period: str, folder: str) -> None:
     """Keep one period's popularity index beside those of the other periods."""
-    write_files(brands.brand_popularity(events, period=period), folder, mode="replace_period")
+    write_files(brands.brand_popularity(events, period=period), folder, mode="replace_period", periods=[period])
+
+
+def monthly_index(spark: SparkSession, folder: str, period: str) -> DataFrame:
+    """The kept index of one period."""
+    return spark.read.parquet(folder).where(F.col("batch_processing") == period)
 
 
 def total_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,14 +107,42 @@ def publish_total(
         write_jdbc(total, TOTAL_TABLE, database, mode="overwrite")
 
 
-def run_period(spark: SparkSession, raw: str, staged: str, out: str, period: str, mode: str | None = None) -> None:
-    """One period from its raw file to all published tables, as files. The text is parsed once."""
+def run_period(
+    spark: SparkSession,
+    raw: str,
+    staged: str,
+    out: str,
+    period: str,
+    mode: str | None = None,
+    database: JdbcTarget | None = None,
+) -> None:
+    """One period from its raw file to all published tables. The text is parsed once, and the popularity index
+    is computed once: it is kept first and published from there."""
     stage_events(read_period(spark, raw, period), staged, period)
     events = read_staged_events(spark, staged, period)
-    publish(events, period, files=out, mode=mode)
+    publish(events, period, files=out, database=database, mode=mode, tables=[t for t in TABLES if t != INDEX_TABLE])
     monthly = f"{out.rstrip('/')}/{MONTHLY_INDEX}"
     keep_monthly_index(events, period, monthly)
-    publish_total(spark, monthly, files=out)
+    index = monthly_index(spark, monthly, period)
+    write_table(index, INDEX_TABLE, period, files=out, database=database, mode=mode)
+    publish_total(spark, monthly, files=out, database=database)
+
+
+def publish_brand_points(events: DataFrame, period: str, counts: str, points: str) -> DataFrame:
+    """A period's events to counts by brand and type, added to those of the other periods, to points as CSV
+    files. Returns the points."""
+    spark = events.sparkSession
+    keep_brand_event_counts(brands.brand_event_count(events), counts, period)
+    result = brands.brand_points(running_brand_event_counts(spark, counts))
+    write_files(result, points, fmt="csv")
+    return result
+
+
+def publish_first_look(events: DataFrame, out: str, *, top: int = 20) -> None:
+    """The brands viewed most and the share of carts that end in a purchase."""
+    base = out.rstrip("/")
+    write_files(brands.views_by_brand(events).limit(top), f"{base}/{VIEWS_TABLE}")
+    write_files(funnel.cart_conversion_rate(events), f"{base}/{CONVERSION_TABLE}")
 
 
 def main() -> None:
@@ -104,9 +152,12 @@ def main() -> None:
     parser.add_argument("--staged", required=True, help="folder that keeps the events as Parquet")
     parser.add_argument("--out", required=True, help="folder of the published tables")
     parser.add_argument("--mode", choices=("append", "overwrite", "replace_period"))
+    parser.add_argument("--url", help="JDBC address of a database that gets the tables too")
+    parser.add_argument("--driver", help="class of its driver")
     args = parser.parse_args()
     spark = builder("published tables").getOrCreate()
-    run_period(spark, args.raw, args.staged, args.out, args.data_period, args.mode)
+    database = JdbcTarget(url=args.url, driver=args.driver) if args.url else None
+    run_period(spark, args.raw, args.staged, args.out, args.data_period, args.mode, database)
 
 
 if __name__ == "__main__":

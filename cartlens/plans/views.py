@@ -6,26 +6,35 @@ Two sources of shop events: ``click_events`` (an event log whose ``props`` name
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlens.schema import CART
 
-_CLICK_EVENT = (
-    "event_id",
-    "ts AS event_time",
-    "CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END AS event_type",
-    "CASE WHEN event_id % 97 <> 0 THEN p_partkey END AS product_id",
-    "CAST(p_size AS BIGINT) AS category_id",
-    """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN '  '
-       ELSE concat(CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'electronics' ELSE lower(p_type) END,
-                   '.', replace(p_name, ' ', '.')) END AS category_code""",
-    """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '  '
-       WHEN event_id % 5 = 0 THEN concat(' ', lower(p_brand), ' ') ELSE p_brand END AS brand""",
-    "value AS price",
-    "CASE WHEN event_id % 101 <> 0 THEN user_id END AS user_id",
-    "CASE WHEN event_id % 103 <> 0 THEN concat('s', user_id, '-', to_date(ts)) END AS user_session",
-)
+# Each column of a click event, by the table it needs: the event log alone, or the part that it names too.
+_CLICK_EVENT = {
+    "event_id": ("events", "event_id"),
+    "event_time": ("events", "ts"),
+    "event_type": ("events", "CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END"),
+    "product_id": ("part", "CASE WHEN event_id % 97 <> 0 THEN p_partkey END"),
+    "category_id": ("part", "CAST(p_size AS BIGINT)"),
+    "category_code": (
+        "part",
+        """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN '  '
+           ELSE concat(CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'electronics' ELSE lower(p_type) END,
+                       '.', replace(p_name, ' ', '.')) END""",
+    ),
+    "brand": (
+        "part",
+        """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '  '
+           WHEN event_id % 5 = 0 THEN concat(' ', lower(p_brand), ' ') ELSE p_brand END""",
+    ),
+    "price": ("events", "value"),
+    "user_id": ("events", "CASE WHEN event_id % 101 <> 0 THEN user_id END"),
+    "user_session": ("events", "CASE WHEN event_id % 103 <> 0 THEN concat('s', user_id, '-', to_date(ts)) END"),
+}
 _COMMENT = (
     "concat('p', event_id % 50) AS post_id",
     "concat('c', event_id) AS comment_id",
@@ -53,27 +62,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _logged_parts(spark: SparkSession, folder: str, *types: str) -> DataFrame:
-    """The event log, each event beside the part it names.
+def _logged(spark: SparkSession, folder: str, *types: str) -> DataFrame:
+    events = table(spark, folder, "events")
+    return events.where(F.col("event_type").isin(*types)) if types else events
+
+
+def _with_parts(events: DataFrame, folder: str) -> DataFrame:
+    """Each logged event beside the part it names.
 
     The join carries no hint: Spark broadcasts parts while they are small by its own estimate, else it
     shuffles, and AQE splits a part that a large share of the events name.
     """
-    events = table(spark, folder, "events")
-    if types:
-        events = events.where(F.col("event_type").isin(*types))
     events = events.selectExpr("*", "try_cast(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS part_key")
-    return events.join(table(spark, folder, "part"), F.expr("part_key = p_partkey"), "left")
+    return events.join(table(events.sparkSession, folder, "part"), F.expr("part_key = p_partkey"), "left")
 
 
-def click_events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
+def click_events(
+    spark: SparkSession, folder: str, *types: str, columns: Sequence[str] = tuple(_CLICK_EVENT)
+) -> DataFrame:
     """Shop events with null, blank, padded and lower-case fields spread over them by ``event_id``.
 
     Clicks stand in for carts. Named types are selected under their logged names, so that the Parquet
-    reader can skip the others; a filter on the derived type would not reach it.
+    reader can skip the others; a filter on the derived type would not reach it. Parts are joined only when
+    a named column comes from them; their keys are unique and the join is outer, so rows stay the same.
     """
     logged = [name for kind in types for name in ((kind, "click") if kind == CART else (kind,))]
-    return _logged_parts(spark, folder, *logged).selectExpr(*_CLICK_EVENT)
+    events = _logged(spark, folder, *logged)
+    if any(_CLICK_EVENT[name][0] == "part" for name in columns):
+        events = _with_parts(events, folder)
+    return events.selectExpr(*(f"{_CLICK_EVENT[name][1]} AS {name}" for name in columns))
 
 
 def sale_events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -93,7 +110,7 @@ def sale_events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Comments that name the part of their event, or only its last word, or nothing."""
-    return _logged_parts(spark, folder).selectExpr(*_COMMENT)
+    return _with_parts(_logged(spark, folder), folder).selectExpr(*_COMMENT)
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:

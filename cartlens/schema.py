@@ -32,5 +32,3 @@ LISTING_DDL = (
 VIEW, CART, PURCHASE = "view", "cart", "purchase"
 ELECTRONICS = "electronics"
 COMMENT_KIND = "t1"
-INGEST_DATE_FORMAT = "yyyy-MM-dd"
-INGEST_TIME_FORMAT = "HH-mm-ss"

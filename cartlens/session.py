@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,12 +30,7 @@ def builder(app_name: str = "cartlens") -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """A new, unused path in the folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where driver and executors are
-    one process, may fall back on a folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset, it is the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cartlens-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/cartlens-{uuid.uuid4().hex}"

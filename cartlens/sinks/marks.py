@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from cartlens.sinks.versions import read_latest, write_next
+from cartlens.sinks.files import write_files
+from cartlens.sources.files import read_or_empty
 
 _DDL = "mark DOUBLE"
 
 
 def load_mark(spark: SparkSession, base: str) -> float:
-    """The kept time, in seconds since 1970; 0 before the first run has finished."""
-    row = read_latest(spark, base, _DDL).first()
-    return row["mark"] if row else 0.0
+    """The latest kept time, in seconds since 1970; 0 before the first run has finished."""
+    return read_or_empty(spark, base, _DDL).agg(F.max("mark")).first()[0] or 0.0
 
 
 def save_mark(spark: SparkSession, base: str, run_start: float) -> None:
     """Keep the time at which a run started, once its comments are written. Comments made while it ran are
-    then taken by the next run."""
-    write_next(spark.range(1).selectExpr(f"CAST({run_start!r} AS DOUBLE) AS mark"), base)
+    then taken by the next run. Each run adds its mark, so the one before counts until this one is written."""
+    mark = spark.range(1).selectExpr(f"CAST({run_start!r} AS DOUBLE) AS mark")
+    write_files(mark.coalesce(1), base, mode="append")

@@ -51,7 +51,8 @@ WRITING = {
     "catalog_table_scan", "managed_text_table", "partitioned_by_category", "append_roundtrip", "overwrite_roundtrip",
     "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan",
     "stream_archive", "incremental_since",
-    "stream_brand_points",
+    "stream_brand_points", "staged_rerun", "replace_period_empty", "brand_points_published",
+    "daily_metrics_join", "cart_purchase_diff_join", "brand_popularity_full_join",
 }
 
 
@@ -102,6 +103,17 @@ def test_event_types_are_selected_by_the_reader(spark, name):
     assert "event_type" in scan[scan.index("PushedFilters"):scan.index("ReadSchema")]
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "cart_conversion_rate", "event_count_by_session", "avg_events_per_session", "event_counts_by_user",
+        "cart_purchase_diff_by_user", "avg_cart_purchase_diff", "avg_site_visits_per_user",
+    ],
+)
+def test_parts_are_joined_only_when_asked_for(spark, name):
+    assert "part.parquet" not in plan_of(QUERIES[name](spark, FOLDER))
+
+
 def test_top_of_a_rank_is_not_sorted_whole(spark):
     plan = plan_of(QUERIES["views_by_brand_top20"](spark, FOLDER))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

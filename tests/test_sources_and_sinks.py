@@ -4,12 +4,20 @@ import pytest
 from conftest import GOLDEN, rows
 
 from cartlens.operators import brands
-from cartlens.plans.published import TABLES, keep_monthly_index, publish, publish_total, run_period, total_index
+from cartlens.plans.published import (
+    TABLES,
+    keep_monthly_index,
+    publish,
+    publish_first_look,
+    publish_total,
+    run_period,
+    total_index,
+)
 from cartlens.schema import BRAND_EVENT_COUNT_DDL, EVENT_COLUMNS
 from cartlens.session import shared_folder
+from cartlens.sinks.counts import keep_brand_event_counts, running_brand_event_counts
 from cartlens.sinks.files import convert_format, stage_events, write_files
 from cartlens.sinks.jdbc import JdbcTarget, write_jdbc
-from cartlens.sinks.versions import add_brand_event_counts, read_latest
 from cartlens.sources import tables
 from cartlens.sources.files import (
     read_catalogue_csv,
@@ -111,21 +119,49 @@ def test_missing_path_reads_as_empty_but_other_failures_do_not(spark, tmp_path):
         read_or_empty(spark, str(tmp_path / "broken"), BRAND_EVENT_COUNT_DDL).collect()
 
 
-def test_counts_are_added_without_overwriting_what_is_read(spark, golden, tmp_path):
+def test_counts_kept_again_replace_their_period(spark, golden, tmp_path):
     base = str(tmp_path / "counts")
     new = brands.brand_event_count(golden)
-    assert rows(read_latest(spark, base, BRAND_EVENT_COUNT_DDL)) == []
-    for times in (1, 2, 3):
-        add_brand_event_counts(spark, base, new)
-        kept = dict((row[:2], row[2]) for row in rows(read_latest(spark, base, BRAND_EVENT_COUNT_DDL)))
+    assert rows(running_brand_event_counts(spark, base)) == []
+    for period, times in (("2020-Apr", 1), ("2020-May", 2), ("2020-May", 2)):
+        keep_brand_event_counts(new, base, period)
+        kept = dict((row[:2], row[2]) for row in rows(running_brand_event_counts(spark, base)))
         assert kept[("samsung", "purchase")] == 3 * times and len(kept) == 8
+    keep_brand_event_counts(new.limit(0), base, "2020-Apr")
+    kept = dict((row[:2], row[2]) for row in rows(running_brand_event_counts(spark, base)))
+    assert kept[("samsung", "purchase")] == 3
+
 
+def test_a_period_is_replaced_as_a_whole(spark, golden, tmp_path):
+    path = str(tmp_path / "staged")
+    for period in ("2020-Apr", "2020-May"):
+        stage_events(golden, path, period)
+    stage_events(golden.where("event_type = 'view'"), path, "2020-Apr")
+    kept = dict(rows(read_staged_events(spark, path).groupBy("period").count()))
+    assert kept == {"2020-Apr": golden.where("event_type = 'view'").count(), "2020-May": 15}
+    stage_events(golden.limit(0), path, "2020-Apr")
+    assert read_staged_events(spark, path, "2020-Apr").count() == 0
+    with pytest.raises(ValueError):
+        stage_events(golden, path, "../other")
 
-def test_unfinished_version_is_not_read(spark, golden, tmp_path):
-    base = tmp_path / "counts"
-    add_brand_event_counts(spark, str(base), brands.brand_event_count(golden))
-    (base / "version=1").mkdir()
-    assert read_latest(spark, str(base), BRAND_EVENT_COUNT_DDL).count() == 8
+
+def test_events_of_other_types_can_be_read_when_staged(spark, raw_folder, tmp_path):
+    text_time = read_event_csv(spark, f"{raw_folder}/2020-Apr.csv", parse_time=False)
+    stage_events(text_time.withColumn("price", text_time["price"].cast("string")), str(tmp_path / "s"), "2020-Apr")
+    assert read_staged_events(spark, str(tmp_path / "s"), "2020-Apr").count() == 15
+
+
+def test_a_corrected_file_leaves_nothing_of_the_old_one(spark, tmp_path):
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    view = "2020-04-01 00:05:00 UTC,view,1,10,c,samsung,100.00,1,s1\n"
+    (tmp_path / "raw").mkdir()
+    for lines in (head + view + view.replace("view", "purchase"), head + view):
+        (tmp_path / "raw" / "2020-Apr.csv").write_text(lines)
+        folders = [str(tmp_path / name) for name in ("raw", "staged", "out")]
+        run_period(spark, *folders, "2020-Apr", "replace_period")
+    assert spark.read.schema("total_revenue DOUBLE").parquet(str(tmp_path / "out/brand_revenue_rank")).count() == 0
+    total = spark.read.csv(str(tmp_path / "out/long_term_brand_popularity_index_total"), header=True)
+    assert rows(total) == [("samsung", "1")]
 
 
 def test_recursive_read_ignores_folder_names(spark, golden, tmp_path):
@@ -252,11 +288,27 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-class ClusterSession:
+class SessionWithoutFolder:
     class conf:
-        get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+        get = staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "hdfs://w/"}.get(key, default))
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(ValueError):
-        shared_folder(ClusterSession())
+def test_the_warehouse_is_shared_too():
+    assert shared_folder(SessionWithoutFolder()).startswith("hdfs://w/cartlens-")
+
+
+def test_a_period_goes_to_a_database_too(spark, raw_folder, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(
+        "cartlens.plans.published.write_jdbc", lambda frame, table, target, mode: written.append((table, mode))
+    )
+    folders = [str(tmp_path / "staged"), str(tmp_path / "out")]
+    run_period(spark, raw_folder, *folders, "2020-Apr", "replace_period", JdbcTarget("u", "d"))
+    expected = {name: table.mode for name, table in TABLES.items()}
+    assert dict(written) == expected | {"long_term_brand_popularity_index_total": "overwrite"}
+
+
+def test_first_look(spark, golden, tmp_path):
+    publish_first_look(golden, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "views_by_brand")).count() > 0
+    assert spark.read.parquet(str(tmp_path / "cart_conversion_rate")).count() == 1

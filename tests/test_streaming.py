@@ -7,6 +7,7 @@ import re
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from cartlens.operators.brands import combined_popularity
 from cartlens.operators.labels import match_labels, normalise_catalogue, prepare_matcher
@@ -146,6 +147,20 @@ def test_arrival_defaults_to_now(spark):
     assert re.fullmatch(r"\d{4}-\d\d-\d\d", row["ingest_date"]) and re.fullmatch(r"\d\d-\d\d-\d\d", row["ingest_time"])
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kathmandu"])
+def test_arrival_is_filed_in_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = F.timestamp_seconds(F.lit(1585779185.25))
+        frame = with_ingest_columns(spark.createDataFrame([("c",)], "comment_id STRING"), at=at)
+        assert rows(frame, "ingest_date", "ingest_time") == [("2020-04-01", "22-13-05")]
+        wall = with_ingest_columns(frame.select("comment_id"), at=F.expr("TIMESTAMP_NTZ '2020-03-08 02:30:00'"))
+        assert rows(wall, "ingest_date", "ingest_time") == [("2020-03-08", "02-30-00")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_listing_pages_and_mark(spark):
     def child(kind, name, at):
         return {"kind": kind, "data": {"id": name, "author": None, "body": name + "!", "created_utc": at}}
