@@ -48,7 +48,7 @@ STARS = 4  # classes that others with the same minimum are compared with
 LEAF = 16  # points of a leaf, and children of a node
 TILE = 1024  # points of one side of a tile
 FREQUENT = 1 << 18  # shingles that the order puts last
-WINDOW = 1 << 22  # shingles counted together
+WINDOW = 1 << 21  # shingles counted together
 SEEN = 4  # occurrences in a window from which a shingle's count is passed on
 SLOT_BITS = 25  # of the filter that finds the documents to make sets of; its size is fixed
 _AT_ONCE = 1 << 15  # pairs bounded together

@@ -38,8 +38,8 @@ USES_SCRIPT = 0.01  # share of a language's letters from which it uses a script
 MIN_SCORE = 0.3
 BITS = 16
 _SMOOTHING = 0.5
-_BLOCK = 1 << 20  # letters scored together
-_TOGETHER = 8 << 20  # bytes of texts labelled together
+_BLOCK = 1 << 19  # letters scored together
+_TOGETHER = 3 << 20  # bytes of texts labelled together
 
 # The scripts' ranges of code points.
 SCRIPTS = {

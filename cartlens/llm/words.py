@@ -13,8 +13,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20  # bytes looked at together
-SLICE_BYTES = 4 << 20  # texts handled together; a longer text is a slice of its own
+BLOCK_BYTES = 1 << 19  # bytes looked at together
+SLICE_BYTES = 2 << 20  # texts handled together; a longer text is a slice of its own
 
 _rng = np.random.default_rng(20240601)
 _VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
