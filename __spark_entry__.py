@@ -329,6 +329,21 @@ def _label_match(**options) -> Query:
     )
 
 
+def document_label_match(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents as texts; labels are the benchmark's passages and each source's last text, some of
+    thousands of characters."""
+    ascii_only = lambda column: F.regexp_replace(column, "[^ -~]+", " ")
+    documents = views.table(spark, folder, "documents").select("doc_id", "source", ascii_only("text").alias("text"))
+    passages = views.table(spark, folder, "benchmark").select(
+        ascii_only("text").alias("item_label"), F.concat(F.lit("item "), "item_id").alias("brand")
+    )
+    last = documents.groupBy("source").agg(F.max("text").alias("item_label")).select("item_label", F.col("source").alias("brand"))
+    clean = labels.normalise_catalogue(passages.unionByName(last))
+    matcher = labels.prepare_matcher(clean, strategy="by_position", like_labels=True)
+    found = labels.match_labels(documents, matcher)
+    return found.select("doc_id", F.md5("matched_item_label").alias("label_md5"), "matched_brand")
+
+
 def _parsed(spark: SparkSession, folder: str) -> DataFrame:
     return listings.parse_comments(views.messages(views.comments(spark, folder)))
 
@@ -374,9 +389,9 @@ def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
     return filed.withColumn("filed_in_utc", agree).drop("ingest_ts", "ingest_date", "ingest_time", "date", "second")
 
 
-def stream_points(spark: SparkSession, folder: str) -> DataFrame:
+def _stream_points(spark: SparkSession, folder: str, **options) -> DataFrame:
     """All messages as a stream of files, matched as they arrive; the stored points, added up by brand."""
-    matcher = labels.prepare_matcher(labels.normalise_catalogue(views.catalogue(spark, folder)))
+    matcher = labels.prepare_matcher(labels.normalise_catalogue(views.catalogue(spark, folder)), **options)
     arriving = message_stream(spark, "text", {}, _message_files(spark, folder))
     stored, mark = shared_folder(spark), shared_folder(spark)
     stream = stream_brand_points(arriving, matcher, parquet_points(stored), mark, trigger={"availableNow": True})
@@ -501,12 +516,14 @@ def queries() -> dict[str, Query]:
         "ingest_partitions": _ingest,
         "catalogue_csv_scan": catalogue_csv_scan,
         "stream_archive": stream_archive,
-        "stream_brand_points": stream_points,
+        "stream_brand_points": _stream_points,
+        "stream_brand_points_by_position": lambda spark, folder: _stream_points(spark, folder, strategy="by_position"),
         "catalog_normalise": lambda spark, folder: labels.normalise_catalogue(views.catalogue(spark, folder)),
         "comment_brand_match": _label_match(),
         "comment_brand_match_by_position": _label_match(strategy="by_position"),
         "comment_brand_match_salted": _label_match(strategy="by_position", broadcast_bytes=0),
         "comment_brand_match_whole_words": _label_match(whole_words=True),
+        "document_label_match": document_label_match,
         "comment_brand_points": lambda spark, folder: labels.comment_points(_matched(spark, folder)),
         "comment_brand_points_total": lambda spark, folder: labels.comment_points_total(_matched(spark, folder)),
         "combined_brand_popularity": _combined,
@@ -597,6 +614,23 @@ popularity AS (
 """
 
 
+_DOCUMENT_MATCH = """
+WITH texts AS (SELECT doc_id, source, regexp_replace(text, '[^ -~]+', ' ', 'g') AS text FROM documents),
+searched AS (SELECT doc_id, trim(regexp_replace(upper(text), '[^A-Z0-9]+', ' ', 'g')) AS text FROM texts),
+named AS (
+  SELECT regexp_replace(text, '[^ -~]+', ' ', 'g') AS label, 'item ' || CAST(item_id AS VARCHAR) AS brand FROM benchmark
+  UNION ALL SELECT max(text), source FROM texts GROUP BY source),
+clean AS (
+  SELECT trim(regexp_replace(upper(label), '[^A-Z0-9]+', ' ', 'g')) AS label, upper(brand) AS brand FROM named),
+catalogue AS (
+  SELECT label, min(brand) AS brand FROM clean WHERE label <> '' AND brand <> '' GROUP BY label),
+ranked AS (
+  SELECT doc_id, label, brand, row_number() OVER (PARTITION BY doc_id ORDER BY length(label) DESC, label) AS place
+  FROM searched JOIN catalogue ON contains(text, label))
+SELECT doc_id, md5(label) AS label_md5, brand AS matched_brand FROM ranked WHERE place = 1
+"""
+
+
 def _with(*parts: str) -> Callable[[str], str]:
     return lambda body: f"WITH {','.join(parts)} {body}"
 
@@ -647,6 +681,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT brand, CAST(sum(event_count * CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 "
         f"WHEN 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS total_points FROM ({brand_counts}) GROUP BY 1"
     )
+    streamed = said(
+        "SELECT matched_brand AS brand, 10 * count(*) AS total_long_term_brand_popularity_index FROM matched GROUP BY 1"
+    )
     match = said("SELECT comment_id, matched_item_label, matched_brand FROM matched")
     pages = (
         "flat AS (SELECT post_id, comment_id, author, text, CAST(created_utc AS DOUBLE) AS created_utc FROM comments "
@@ -836,10 +873,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_archive": said(
             "SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc, TRUE AS filed_in_utc FROM comments"
         ),
-        "stream_brand_points": said(
-            "SELECT matched_brand AS brand, 10 * count(*) AS total_long_term_brand_popularity_index "
-            "FROM matched GROUP BY 1"
-        ),
+        "stream_brand_points": streamed,
+        "stream_brand_points_by_position": streamed,
+        "document_label_match": _DOCUMENT_MATCH,
         "comment_brand_match": match,
         "comment_brand_match_by_position": match,
         "comment_brand_match_salted": match,

@@ -4,13 +4,17 @@ A comment names a label when the label is a substring of its text; the longest l
 first by name. Two plans give the same winner:
 
 * ``in_row``: the catalogue travels inside the plan as one regular expression, shaped as a prefix tree, that
-  each row applies at every place of its text. No shuffle, and it runs on a stream. The work at a place does
+  each row applies at every place of its text. No shuffle. The work at a place does
   not grow with the catalogue but the expression does, so this is used up to ``IN_ROW_LABELS`` labels and
   ``IN_ROW_BYTES``, both measured before the plan is made.
 * ``by_position``: any catalogue. A regular expression of the first few characters of the labels, of which
   there is a bounded number, cuts each distinct text at the places where some label could start, and the cuts
-  meet the labels in an equi-join. Labels are broadcast only when measured to be within
+  meet the labels in an equi-join. A cut has at most ``CUT`` characters; a longer label meets it with its first
+  ones and is then looked for in the whole text. Labels are broadcast only when measured to be within
   ``BROADCAST_BYTES``; beyond that both sides are shuffled, with salted cuts.
+
+Both plans read the version of the catalogue that ``prepare_matcher`` stores, whatever becomes of its source, and
+both take the micro-batches of a stream (``foreachBatch``), not the stream itself.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ from pyspark.sql import functions as F
 from cartlens.functions import clean_label, normalise_text
 from cartlens.functions.scoring import COMMENT_POINTS
 from cartlens.operators.brands import TOTAL_INDEX
+from cartlens.session import shared_folder
 
 IN_ROW_LABELS = 10_000
 IN_ROW_BYTES = 1 << 20
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+CUT = 64
 # Label starts are as long as they can be while there are no more than MOST_HEADS. The shortest size needs no
 # check: a clean label has 37 different characters, so there are at most 37 + 37**2 + 37**3 = 52,059 of it.
 HEAD_SIZES = (3, 4, 6, 8, 12)
@@ -52,7 +58,7 @@ class Matcher:
     """A measured catalogue and the plan chosen for it."""
 
     labels: DataFrame
-    """One row per label: ``label`` as searched, ``item_label_upper``, ``brand_upper``."""
+    """One row per label, as stored: ``label`` as searched, ``item_label_upper``, ``brand_upper``."""
     strategy: str
     pattern: str
     """A regular expression: the labels for ``in_row``, their heads for ``by_position``."""
@@ -63,7 +69,8 @@ class Matcher:
     longest: int = 0
     broadcast_labels: bool = False
     lengths: tuple[int, ...] = ()
-    """All label lengths, for a catalogue whose lengths by head are too many to broadcast."""
+    """The lengths of labels' cuts (at most ``CUT``), for a catalogue whose lengths by head are too many to
+    broadcast."""
     like_labels: bool = False
     whole_words: bool = False
 
@@ -83,7 +90,7 @@ def prepare_matcher(
     broadcast_bytes: int = BROADCAST_BYTES,
     most_heads: int = MOST_HEADS,
 ) -> Matcher:
-    """Measure a clean catalogue and choose the plan for it (or take ``strategy``).
+    """Store and measure a clean catalogue and choose the plan for it (or take ``strategy``).
 
     A label listed under several brands goes to the first by name. ``like_labels`` cleans texts as labels
     are cleaned; ``whole_words`` does so too and lets labels match at word boundaries only.
@@ -97,15 +104,9 @@ def prepare_matcher(
     options = {"like_labels": like_labels, "whole_words": whole_words}
     if strategy not in (None, "in_row", "by_position"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy != "by_position":
-        # A probe: one row more than allowed shows that the catalogue is too large, and then none is used.
-        rows = labels.limit(in_row_labels + 1).collect()
-        entries = json.dumps([row.asDict() for row in rows])
-        if len(rows) <= in_row_labels and len(entries.encode()) <= in_row_bytes:
-            return Matcher(labels, "in_row", _prefix_tree([row["label"] for row in rows]), brands=entries, **options)
-        if strategy == "in_row":
-            raise ValueError("the catalogue is too large to travel inside the plan")
-
+    version = shared_folder(labels.sparkSession)
+    labels.write.parquet(version)
+    labels = labels.sparkSession.read.schema(labels.schema).parquet(version)
     length = F.length("label")
     text_bytes = F.octet_length(F.concat("label", "item_label_upper", "brand_upper"))
     size = labels.agg(
@@ -113,16 +114,29 @@ def prepare_matcher(
         F.coalesce(F.sum(text_bytes), F.lit(0)).alias("bytes"),
         F.coalesce(F.min(length), F.lit(1)).alias("shortest"),
         F.coalesce(F.max(length), F.lit(1)).alias("longest"),
-        *(F.count_distinct(_head(n)).alias(f"heads{n}") for n in HEAD_SIZES),
-        *(F.count_distinct(_head(n), length).alias(f"cuts{n}") for n in HEAD_SIZES),
     ).first()
-    head_size = max(n for n in HEAD_SIZES if n == HEAD_SIZES[0] or size[f"heads{n}"] <= most_heads)
+    if strategy != "by_position":
+        if size["labels"] <= in_row_labels and size["bytes"] <= in_row_bytes:
+            rows = labels.collect()
+            entries = json.dumps([row.asDict() for row in rows])
+            return Matcher(labels, "in_row", _prefix_tree([row["label"] for row in rows]), brands=entries, **options)
+        if strategy == "in_row":
+            raise ValueError("the catalogue is too large to travel inside the plan")
+
+    # Heads of each size, and the lengths that follow each of them, in one pass.
+    by_size = labels.select("label", _cut_length().alias("length"), F.explode(F.array(*map(F.lit, HEAD_SIZES))).alias("n"))
+    by_head = by_size.groupBy("n", F.substring("label", F.lit(1), F.col("n")).alias("head"))
+    by_head = by_head.agg(F.count_distinct("length").alias("cuts"))
+    heads_of = {r["n"]: r for r in by_head.groupBy("n").agg(F.count("*").alias("heads"), F.sum("cuts").alias("cuts")).collect()}
+    fitting = [n for n in HEAD_SIZES[1:] if n in heads_of and heads_of[n]["heads"] <= most_heads]
+    head_size = max([HEAD_SIZES[0], *fitting]) if heads_of else HEAD_SIZES[-1]
+    cuts = heads_of[head_size]["cuts"] if heads_of else 0
     heads = labels.select(_head(head_size).alias("head")).distinct().collect()
     # A broadcast row costs its text and some 64 bytes of row and hash table.
-    if 64 * size[f"cuts{head_size}"] <= broadcast_bytes:
+    if 64 * cuts <= broadcast_bytes:
         lengths = ()
     else:
-        lengths = tuple(sorted(row["n"] for row in labels.select(length.alias("n")).distinct().collect()))
+        lengths = tuple(sorted(row["n"] for row in labels.select(_cut_length().alias("n")).distinct().collect()))
     return Matcher(
         labels,
         "by_position",
@@ -151,6 +165,8 @@ def _prefix_tree(words: list[str]) -> str:
 
 def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -> DataFrame:
     """Comments that name a label, with ``matched_item_label`` and ``matched_brand``."""
+    if comments.isStreaming:
+        raise ValueError("match the micro-batches of a stream, as stream_brand_points does")
     if matcher.strategy == "in_row":
         return _match_in_row(comments, matcher, text)
     return _match_by_position(comments, matcher, text)
@@ -181,13 +197,17 @@ def _head(size: int) -> Column:
     return F.substring("label", 1, size)
 
 
+def _cut_length() -> Column:
+    return F.least(F.length("label"), F.lit(CUT))
+
+
 def _with_lengths(windows: DataFrame, matcher: Matcher) -> DataFrame:
     """Each window with each length a label at its start may have: those of labels with the same head, or
     those of all labels."""
     if matcher.lengths:
         return windows.withColumn("length", F.explode(F.array(*map(F.lit, matcher.lengths))))
     heads = matcher.labels.groupBy(_head(matcher.head_size).alias("head")).agg(
-        F.collect_set(F.length("label")).alias("lengths")
+        F.collect_set(_cut_length()).alias("lengths")
     )
     sizes = F.sequence(F.lit(min(matcher.shortest, matcher.head_size)), F.lit(matcher.head_size))
     return (
@@ -199,6 +219,15 @@ def _with_lengths(windows: DataFrame, matcher: Matcher) -> DataFrame:
     )
 
 
+def _whole_labels(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of labels that are longer than a cut, those that stand in the text as a whole; all shorter ones."""
+    columns = ["_text_id", "label", "item_label_upper", "brand_upper"]
+    short = found.where(F.length("label") <= CUT).select(*columns)
+    long = found.where(F.length("label") > CUT).select(*columns).distinct()
+    once = texts.distinct()
+    return short.unionByName(long.join(once, "_text_id").where(F.contains("_searched", "label")).select(*columns))
+
+
 def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
     searched = matcher.searched_text(F.col(text))
     identity = F.unhex(F.sha2(F.col("_searched"), 256))
@@ -211,27 +240,28 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
         # The cuts will be shuffled: search equal texts once, or a much repeated one would be a hot key there.
         texts = candidates.select("_searched").distinct()
 
-    # A window is what follows a place where some label may start, up to the longest label or a character
-    # that no label has. Rows carry windows, never the text.
-    tail = f"[A-Z0-9 ]{{0,{matcher.longest}}}"
+    # A window is what follows a place where some label may start, up to the longest cut or a character that
+    # no label has. Rows carry windows, never the text.
+    tail = f"[A-Z0-9 ]{{0,{min(matcher.longest, CUT)}}}"
     windows = F.regexp_extract_all(F.col("_searched"), F.lit(f"(?=({matcher.pattern}{tail}))"), F.lit(1))
     cuts = (
         _with_lengths(texts.select(identity.alias("_text_id"), F.explode(windows).alias("window")), matcher)
         .where(F.col("length") <= F.length("window"))
-        .select("_text_id", F.substring("window", F.lit(1), F.col("length")).alias("label"))
+        .select("_text_id", F.substring("window", F.lit(1), F.col("length")).alias("start"))
     )
 
-    labels = matcher.labels
-    keys = ["label"]
+    labels = matcher.labels.withColumn("start", F.substring("label", 1, CUT))
+    keys = ["start"]
     if matcher.broadcast_labels:
         labels = F.broadcast(labels)
     else:
-        # A label that a third of all texts name is split over SALTS tasks; labels are unique, so each cut
-        # still meets at most one row.
+        # A label that a third of all texts name is split over SALTS tasks; each cut still meets each label once.
         keys.append("salt")
         cuts = cuts.withColumn("salt", F.pmod(F.xxhash64("_text_id"), F.lit(SALTS)).cast("int"))
         labels = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = cuts.join(labels, keys)
+    if matcher.longest > CUT:
+        found = _whole_labels(found, candidates.select(identity.alias("_text_id"), "_searched"))
     preference = F.struct((-F.length("label")).alias("shorter"), "label", "item_label_upper", "brand_upper")
     winners = (
         found.groupBy("_text_id")

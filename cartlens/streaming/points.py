@@ -51,17 +51,19 @@ def stream_brand_points(
     """Match each micro-batch against the catalogue and hand its points to the writer.
 
     Batches without a match are not written. The checkpoint is required: without one a restart would
-    award all earlier points again. Counting matches the batch once, in as many tasks as it has partitions,
-    and the write, which may use fewer, then finds the points in storage.
+    award all earlier points again. The batch is fetched and parsed once, and counting matches it once, in as
+    many tasks as it has partitions; the write, which may use fewer, then finds the points in storage.
     """
 
     def run(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         points = comment_points(match_labels(batch, matcher)).persist()
         try:
             if points.count() > 0:
                 write(points, number)
         finally:
             points.unpersist()
+            batch.unpersist()
 
     return (
         parse_comments(messages, value=value)

@@ -153,3 +153,13 @@ def test_prefix_tree_takes_the_longest_word():
         "AB", "ABCD", "A", "B 1", None, None,
     ]
     assert re.search(labels._prefix_tree([]), "anything") is None
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_labels_longer_than_a_cut_are_compared_whole(spark, plan):
+    start = "Q" * labels.CUT + " "
+    long, other = start + "W" * 1500, start + "V" * 1500
+    clean = catalogue_of(spark, (long, "a"), (other, "b"), (start.strip(), "c"), ("q", "d"))
+    texts = comments_of(spark, f"x {long} y", f"x{other}", start, long[:-1], "q", "x")
+    got = matched(spark, clean, texts, **PLANS[plan])
+    assert {i: brand for i, (_, brand) in got.items()} == {0: "A", 1: "B", 2: "C", 3: "C", 4: "D"}

@@ -91,13 +91,22 @@ def test_points_are_awarded_once(spark, inbox, strategy):
     assert award() == [("A", 10), ("A", 10), ("B", 10)]
 
 
-def test_labels_are_matched_on_a_stream_itself(spark, inbox, matcher):
-    arrive(inbox, "1.json", message(1, "a ring"), message(2, "Ring Pro!"), message(3, "nothing"), "{")
+@pytest.mark.parametrize("strategy", ["in_row", "by_position"])
+def test_a_stream_itself_is_not_matched(spark, inbox, strategy):
+    clean = normalise_catalogue(spark.createDataFrame([("ring", "a")], "item_label STRING, brand STRING"))
     arriving = parse_comments(message_stream(spark, "text", {}, str(inbox / "in")))
-    found = match_labels(arriving, matcher).select("comment_id", "matched_item_label", "matched_brand")
-    writer = found.writeStream.format("parquet").option("checkpointLocation", str(inbox / "mark")).trigger(**ONCE)
-    run(writer.start(str(inbox / "found")))
-    assert sorted(rows(spark.read.parquet(str(inbox / "found")))) == [("c1", "RING", "A"), ("c2", "RING PRO", "B")]
+    with pytest.raises(ValueError, match="micro-batches"):
+        match_labels(arriving, prepare_matcher(clean, strategy=strategy))
+
+
+@pytest.mark.parametrize("strategy", ["in_row", "by_position"])
+def test_the_catalogue_is_pinned(spark, tmp_path, strategy):
+    path = str(tmp_path / "catalogue")
+    spark.createDataFrame([("ring", "a")], "item_label STRING, brand STRING").write.parquet(path)
+    matcher = prepare_matcher(normalise_catalogue(spark.read.parquet(path)), strategy=strategy)
+    spark.createDataFrame([("cord", "b")], "item_label STRING, brand STRING").write.mode("overwrite").parquet(path)
+    texts = spark.createDataFrame([("a ring",), ("a cord",)], "text STRING")
+    assert rows(match_labels(texts, matcher), "text", "matched_brand") == [("a ring", "A")]
 
 
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
