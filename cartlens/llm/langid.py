@@ -160,7 +160,8 @@ def learn(documents: DataFrame, *, sample: int = SAMPLE) -> LanguageModel:
             names=["lang", "event", "n"],
         )
 
-    counted = map_batches(drawn, count, "lang string, event long, n long").groupBy("lang", "event").agg(F.sum("n").alias("n"))
+    counted = map_batches(drawn, count, "lang string, event long, n long")
+    counted = counted.groupBy("lang", "event").agg(F.sum("n").alias("n"))
     table = counted.toArrow()  # at most one row for each language and trigram number
     seen = np.zeros(((1 << BITS) + len(SCRIPTS) + 1, len(languages)))
     column = {name: i for i, name in enumerate(languages)}

@@ -74,7 +74,9 @@ class Layout(NamedTuple):
         return _HEAD.itemsize + self.length * self.id_bytes + 1
 
 
-def _sequences(vocabulary: Vocabulary, texts: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _sequences(
+    vocabulary: Vocabulary, texts: pa.Array, length: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each slice: its first text, its ids with ends, where each text's begin, and the texts' sequences."""
     for low, ids, first in encoded(vocabulary, texts):
         ids = np.insert(ids, first[1:], encoder(vocabulary).end)

@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning: a document is toxic if one of its sentences is.
 
 A sentence's score is a logistic function of its words (runs of letters and digits, A-Z in lower case) and of
-their beginnings and ends of 4 to 8 bytes, which inflected words share; a document's score is the noisy-or of its sentences', ``1 - prod(1 - score)``. Only documents have labels, so the
-words' weights are fitted to these through the noisy-or, and the sentence scores that come with them
-locate what is offending. Sentences end at ``. ! ?`` or a line's end.
+their beginnings and ends of 4 to 8 bytes, which inflected words share; a document's score is the noisy-or of
+its sentences', ``1 - prod(1 - score)``. Only documents have labels, so the weights are fitted to these
+through the noisy-or, and the sentence scores that come with them locate what is offending. Sentences end at
+``. ! ?`` or a line's end.
 
 Weights are fitted to at most ``SAMPLE`` documents of either label, drawn by a hash of the id, over what at
 least ``MIN_DOCUMENTS`` of them have and toxic ones clearly have more often (a likelihood ratio of ``MIN_RATIO``),
