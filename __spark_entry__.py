@@ -337,7 +337,7 @@ def document_label_match(spark: SparkSession, folder: str) -> DataFrame:
     passages = views.table(spark, folder, "benchmark").select(
         ascii_only("text").alias("item_label"), F.concat(F.lit("item "), "item_id").alias("brand")
     )
-    last = documents.groupBy("source").agg(F.max("text").alias("item_label")).select("item_label", F.col("source").alias("brand"))
+    last = documents.groupBy(F.col("source").alias("brand")).agg(F.max("text").alias("item_label"))
     clean = labels.normalise_catalogue(passages.unionByName(last))
     matcher = labels.prepare_matcher(clean, strategy="by_position", like_labels=True)
     found = labels.match_labels(documents, matcher)

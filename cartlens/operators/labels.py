@@ -124,10 +124,12 @@ def prepare_matcher(
             raise ValueError("the catalogue is too large to travel inside the plan")
 
     # Heads of each size, and the lengths that follow each of them, in one pass.
-    by_size = labels.select("label", _cut_length().alias("length"), F.explode(F.array(*map(F.lit, HEAD_SIZES))).alias("n"))
+    sizes = F.explode(F.array(*map(F.lit, HEAD_SIZES)))
+    by_size = labels.select("label", _cut_length().alias("length"), sizes.alias("n"))
     by_head = by_size.groupBy("n", F.substring("label", F.lit(1), F.col("n")).alias("head"))
     by_head = by_head.agg(F.count_distinct("length").alias("cuts"))
-    heads_of = {r["n"]: r for r in by_head.groupBy("n").agg(F.count("*").alias("heads"), F.sum("cuts").alias("cuts")).collect()}
+    by_n = by_head.groupBy("n").agg(F.count("*").alias("heads"), F.sum("cuts").alias("cuts"))
+    heads_of = {row["n"]: row for row in by_n.collect()}
     fitting = [n for n in HEAD_SIZES[1:] if n in heads_of and heads_of[n]["heads"] <= most_heads]
     head_size = max([HEAD_SIZES[0], *fitting]) if heads_of else HEAD_SIZES[-1]
     cuts = heads_of[head_size]["cuts"] if heads_of else 0
