@@ -20,7 +20,6 @@ _rng = np.random.default_rng(20240601)
 _VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_MASK = 2**64 - 1
 
 # Separators of a word, and A-Z in lower case.
 SPACES = np.zeros(256, bool)
