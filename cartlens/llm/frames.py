@@ -27,10 +27,21 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+# Workers give large arrays back to the system when these are freed, rather than keep what their largest task needed.
+_WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(8 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def find_package(spark: SparkSession) -> None:
     """Let the workers of a session on this machine import the package where it isn't installed; on a cluster
-    it is sent along (``--py-files``)."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    it is sent along (``--py-files``). Python workers get the settings of their memory."""
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    for name, value in _WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def map_batches(

@@ -424,9 +424,11 @@ def _tree_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
         F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     rows = rows.join(counts.where("low < high").select("shingle", "rows"), "shingle")
-    # A pair that shares several such shingles belongs to the smallest of them; a document has few.
-    own = rows.groupBy("id").agg(F.collect_set("shingle").alias("others"))
-    rows = rows.join(classes.select("id", "n", "point").join(own, "id"), "id")
+    # A point is fetched once for all of its shingles; a document has few. A pair that shares several of them
+    # belongs to the smallest.
+    points = rows.groupBy("id", "component").agg(F.collect_set(F.struct("shingle", "rows")).alias("all"))
+    points = points.join(classes.select("id", "n", "point"), "id").withColumn("others", F.col("all.shingle"))
+    rows = points.withColumn("one", F.explode("all")).drop("all").select("*", "one.*").drop("one")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / TILE)).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     with_other = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -488,7 +490,8 @@ def similar_groups(documents: DataFrame, *, id_column: str = "doc_id", text_colu
     by_minimum = classes.select("id", F.explode("minima").alias("minimum"))
     sharing = by_minimum.groupBy("minimum").agg(F.count("*").alias("classes")).where("classes > 1")
     by_minimum = stored(by_minimum.join(sharing, "minimum"), "minima")
-    weighed = by_minimum.join(by_minimum.groupBy("id").agg(F.sum("classes").alias("weight")), "id")
+    weight = F.sum("classes").over(Window.partitionBy("id"))  # a class has few minima
+    weighed = by_minimum.withColumn("weight", weight)
     part = F.pmod(F.xxhash64("id", "minimum"), F.lit(STARS)).alias("part")
     middle = weighed.groupBy("minimum", part).agg(F.max(F.struct("weight", F.col("id").alias("a"))).alias("most"))
     stars = by_minimum.join(middle.select("minimum", "most.a"), "minimum").where("id <> a")
