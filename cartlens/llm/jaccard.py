@@ -199,7 +199,7 @@ def _sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs ``a, b`` whose sets are similar."""
     pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = stored(_sets(texts, ids), "sets")
     one = sets.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
     other = sets.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
