@@ -4,7 +4,9 @@ Words are runs of letters and digits, with A-Z in lower case. A seed takes the w
 ignores those at its zeros, so a substituted word at an ignored place leaves it whole. The masks together find
 any passage of 15 words with up to 3 substitutions, and of 13 words with up to 2. Each hit gives a diagonal
 (place in the document minus place in the item), on which the best stretch is taken: one point for an equal
-word, two off for another. A stretch counts when it has ``min_words`` equal words, or all of a shorter item.
+word, two off for another. A stretch counts when it has ``min_words`` equal words, or all of a shorter item. Where
+the best one doesn't count, the stretch with the most equal words among all with at most ``OTHERS`` other words is
+taken, so that early or clustered substitutions don't cut a passage that the masks find.
 
 The benchmark is read in blocks of a fixed number of words; each block's seeds are sent to the tasks, which
 look every word of every text up. No text is shuffled, whatever the benchmark's size.
@@ -29,6 +31,7 @@ from cartlens.llm.words import NOT_ALPHANUMERIC, mix, slices, words
 MASKS = ("1110011001", "1001001111", "11001010101", "10111011", "111100011")
 MIN_WORDS = 10
 SHORTEST = 5
+OTHERS = 3  # substitutions that the masks find
 BLOCK_WORDS = 200_000  # words of the benchmark in one pass over the documents
 _LONGEST = max(map(len, MASKS))
 _AT_ONCE = 1 << 20  # hits looked at together
@@ -111,16 +114,35 @@ class SeedIndex:
     def _best(text: np.ndarray, item: np.ndarray, shift: int, min_words: int) -> tuple[int, ...] | None:
         low, high = max(0, -shift), min(len(item), len(text) - shift)
         equal = text[low + shift : high + shift] == item[low:high]
+        need = min(min_words, len(item))
+        if equal.sum() < need:
+            return None
         score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
         lowest = np.minimum.accumulate(score)
         end = int(np.argmax(score - lowest))
         start = int(np.flatnonzero(score[: end + 1] == lowest[end])[-1])
+        if equal[start:end].sum() < need:
+            start, end = _most_equal(equal)
         matched = int(equal[start:end].sum())
-        if matched < min(min_words, len(item)):
+        if matched < need:
             return None
         return matched, end - start, low + start + shift, low + start
 
 
+def _most_equal(equal: np.ndarray) -> tuple[int, int]:
+    """The stretch with the most equal words among those with at most ``OTHERS`` others; the shortest, then the
+    first on ties."""
+    edge = np.concatenate([[-1], np.flatnonzero(~equal), [len(equal)]])
+    last = np.minimum(np.arange(len(edge) - 1) + OTHERS + 1, len(edge) - 1)
+    low, high = edge[:-1] + 1, edge[last]  # from behind one other word up to another
+    at = np.flatnonzero(equal)
+    first, behind = np.searchsorted(at, low), np.searchsorted(at, high)
+    some = behind > first
+    first, behind = first[some], behind[some]
+    best = np.lexsort((first, at[behind - 1] - at[first], first - behind))[0]
+    return int(at[first[best]]), int(at[behind[best] - 1]) + 1
+
+
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> list[SeedIndex]:
     """The benchmark's items, in blocks of about ``BLOCK_WORDS`` words."""
     items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.col(text_column).alias("text"))

@@ -217,6 +217,36 @@ def test_masks_find_three_substitutions_among_fifteen_words():
         assert hits
 
 
+@pytest.mark.parametrize(("length", "most"), [(15, 3), (13, 2)])
+def test_every_placement_of_the_substitutions_is_verified(length, most):
+    from itertools import combinations
+
+    import pyarrow as pa
+
+    from cartlens.llm.words import NOT_ALPHANUMERIC, words
+
+    item = [f"w{k}" for k in range(length)]
+    longer = [*(f"p{k}" for k in range(9)), *item, *(f"q{k}" for k in range(9))]
+    index = decontamination.SeedIndex([1, 2], [" ".join(item), " ".join(longer)])
+    chosen = [c for n in range(most + 1) for c in combinations(range(length), n)]
+    texts = [" ".join(["a b c d", *("x" if k in c else w for k, w in enumerate(item)), "e f g"]) for c in chosen]
+    found = words(pa.array(texts), NOT_ALPHANUMERIC)
+    got = {(t, i): best for t, i, *best in index.overlaps(found.hash, found.first, decontamination.MIN_WORDS)}
+    assert set(got) == {(t, i) for t in range(len(chosen)) for i in range(2)}
+    for (t, i), (matched, size, doc_word, item_word) in got.items():
+        assert matched >= decontamination.MIN_WORDS and doc_word - item_word == 4 - 9 * i
+        assert matched == sum(
+            k - 4 not in chosen[t] for k in range(doc_word, doc_word + size)
+        )
+
+
+def test_stretches_without_enough_equal_words_are_none():
+    text = np.array([1] * 9 + [0] * 5 + [1] * 9, np.uint64)
+    item = np.ones(23, np.uint64)
+    assert decontamination.SeedIndex._best(text, item, 0, 10) is None
+    assert decontamination.SeedIndex._best(text, item, 0, 9) == (9, 9, 0, 0)
+
+
 def test_licences_against_plain_search(documents, prose):
     notice = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance"
     rows = [(1, "MIT License mit-license mit  license"), (2, None), (3, ""), (4, "mit licenses"), (5, prose(4, 3000))]
