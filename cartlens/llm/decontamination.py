@@ -8,8 +8,10 @@ word, two off for another. A stretch counts when it has ``min_words`` equal word
 the best one doesn't count, the stretch with the most equal words among all with at most ``OTHERS`` other words is
 taken, so that early or clustered substitutions don't cut a passage that the masks find.
 
-The benchmark is read in blocks of a fixed number of words; each block's seeds are sent to the tasks, which
-look every word of every text up. No text is shuffled, whatever the benchmark's size.
+The benchmark is read in blocks of about a fixed number of words (an item is never cut); a block's seeds are sent
+to the tasks, which look every word of every text up. A benchmark of one block is one lazy scan without a shuffle.
+Of a larger one, each block is one scan, whose overlaps are stored before the next block is read, so driver and
+tasks hold one block at any time; contaminated texts are then left out by a join on their digest.
 
 Defined results: null and empty texts and items without words match nothing; items of fewer than ``SHORTEST``
 words match nothing; items shorter than the longest mask are looked for as a whole, word for word. Equal items
@@ -19,13 +21,15 @@ Columns other than the id and the text don't matter.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.frames import map_batches
+from cartlens.llm.frames import map_batches, stored
 from cartlens.llm.words import NOT_ALPHANUMERIC, mix, slices, words
 
 MASKS = ("1110011001", "1001001111", "11001010101", "10111011", "111100011")
@@ -143,17 +147,27 @@ def _most_equal(equal: np.ndarray) -> tuple[int, int]:
     return int(at[first[best]]), int(at[behind[best] - 1]) + 1
 
 
-def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> list[SeedIndex]:
+def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> list[DataFrame]:
     """The benchmark's items, in blocks of about ``BLOCK_WORDS`` words."""
     items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.col(text_column).alias("text"))
     items = items.where("text IS NOT NULL")
     size = items.agg(F.sum(F.length("text"))).head()[0] or 0
     number = 1 + size // (BLOCK_WORDS * 6)
-    for block in range(number):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(number)) == block).collect()
-        rows.sort(key=lambda r: (r.item is None, r.item, r.text))
-        if rows:
-            yield SeedIndex([r.item for r in rows], [r.text for r in rows])
+    return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(number)) == block) for block in range(number)]
+
+
+def _index(block: DataFrame) -> SeedIndex:
+    rows = sorted(block.collect(), key=lambda r: (r.item is not None, r.item or 0, r.text))
+    return SeedIndex([r.item for r in rows], [r.text for r in rows])
+
+
+def _by_block(blocks: list[DataFrame], scan: Callable[[SeedIndex], DataFrame]) -> DataFrame:
+    """What the scans of all blocks find; each block is released before the next is read."""
+    found = None
+    for block in blocks:
+        part = scan(_index(block)) if len(blocks) == 1 else stored(scan(_index(block)), "overlaps")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def find_overlaps(
@@ -186,11 +200,7 @@ def find_overlaps(
 
         return map_batches(texts, run, OVERLAP_DDL)
 
-    found = None
-    for index in _blocks(benchmark, item_column, text_column):
-        found = scan(index) if found is None else found.unionByName(scan(index))
-    if found is None:
-        return texts.sparkSession.createDataFrame([], OVERLAP_DDL)
+    found = _by_block(_blocks(benchmark, item_column, text_column), scan)
     best = F.struct(
         F.col("matched_words"), (-F.col("overlap_words")).alias("a"), (-F.col("doc_word")).alias("b"),
         (-F.col("item_word")).alias("c"),
@@ -208,21 +218,33 @@ def find_overlaps(
 def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, *, text_column: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """The documents without an overlap, with all their columns; nothing is shuffled."""
-    kept = documents
-    for index in _blocks(benchmark, "item_id", "text"):
+    """The documents without an overlap, with all their columns; with a benchmark of one block nothing is shuffled."""
+
+    def dirty(index: SeedIndex, texts: pa.Array) -> np.ndarray:
+        out = np.zeros(len(texts), bool)
+        for low, high in slices(texts):
+            found = words(texts.slice(low, high - low), NOT_ALPHANUMERIC)
+            for text, *_ in index.overlaps(found.hash, found.first, min_words):
+                out[low + text] = True
+        return out
+
+    blocks = _blocks(benchmark, "item_id", "text")
+    if len(blocks) == 1:
+        index = _index(blocks[0])
 
-        def run(batch: pa.RecordBatch, index: SeedIndex = index) -> pa.RecordBatch:
-            texts = batch.column(text_column)
-            clean = np.ones(len(texts), bool)
-            for low, high in slices(texts):
-                found = words(texts.slice(low, high - low), NOT_ALPHANUMERIC)
-                for text, *_ in index.overlaps(found.hash, found.first, min_words):
-                    clean[low + text] = False
-            return batch.filter(pc.equal(pa.array(clean), True))
+        def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array(~dirty(index, batch.column(text_column))))
 
-        kept = map_batches(kept, run, documents.schema)
-    return kept
+        return map_batches(documents, clean, documents.schema)
 
+    def scan(index: SeedIndex) -> DataFrame:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = batch.column(0)
+            texts = texts.filter(pa.array(dirty(index, texts))).to_pylist()
+            digests = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+            return pa.RecordBatch.from_arrays([pa.array(digests, pa.string())], names=["digest"])
 
+        return map_batches(documents.select(F.col(text_column)), run, "digest string")
 
+    found = _by_block(blocks, scan).distinct()
+    return documents.join(found, F.sha2(documents[text_column], 256) == found["digest"], "left_anti")

@@ -240,6 +240,35 @@ def test_every_placement_of_the_substitutions_is_verified(length, most):
         )
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(documents, benchmark, prose, monkeypatch):
+    import gc
+    import weakref
+
+    items = {r.item_id: r.text for r in benchmark.collect()}
+    rows = [(i, f"{prose(i, 30)} {items[i]} {prose(i + 50, 30)}", "en", "s") for i in range(12)]
+    rows += [(20 + i, prose(90 + i, 60), "en", "s") for i in range(3)] + [(30, None), (3, rows[3][1]), (None, items[4])]
+    frame = documents(rows)
+    whole = in_order(decontamination.find_overlaps(frame, benchmark).collect())
+    clean = in_order(decontamination.drop_contaminated(frame, benchmark).collect())
+    held, made = [], []
+
+    build = decontamination.SeedIndex.__init__
+
+    def watched(self, *args):
+        gc.collect()
+        made.append(weakref.ref(self))
+        held.append(sum(r() is not None for r in made))
+        build(self, *args)
+
+    monkeypatch.setattr(decontamination.SeedIndex, "__init__", watched)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 50)
+    assert in_order(decontamination.find_overlaps(frame, benchmark).collect()) == whole
+    assert len(held) > 3 and max(held) == 1
+    kept = decontamination.drop_contaminated(frame, benchmark)
+    assert kept.columns == frame.columns and in_order(kept.collect()) == clean
+    assert max(held) == 1
+
+
 def test_stretches_without_enough_equal_words_are_none():
     text = np.array([1] * 9 + [0] * 5 + [1] * 9, np.uint64)
     item = np.ones(23, np.uint64)
