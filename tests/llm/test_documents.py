@@ -396,6 +396,26 @@ def test_base_scores_and_model_scores(documents, prose):
     assert len({r.score for r in got if r.doc_id in (100, 101)}) == 1
 
 
+def test_the_attention_model_counts_all_texts_and_sees_pieces_of_long_ones(documents, prose):
+    from cartlens.llm import attention
+
+    vocabulary = tokens.Vocabulary.read(lm.VOCABULARY)
+    made, size = tokens.encoder(vocabulary), vocabulary.size + 1
+    rows = [(i, prose(i, 20, "abcdef") + f" only{i}", "en", "s") for i in range(40)]
+    rows += [(50, prose(7, 20000, "ghij"), "en", "s"), (51, None), (52, "")]
+    model = lm.fit(documents(rows), vocabulary, sample=4)
+    texts = [[*made.inner.encode_ordinary(r[1] or ""), made.end] for r in rows]
+    seen = np.bincount(np.concatenate(texts).astype(int), minlength=size) + attention._SMOOTHING
+    assert np.allclose(model.in_class, seen / np.bincount(model.of_class, seen)[model.of_class])
+    follows = Counter()
+    for ids in texts:
+        follows.update(int(model.of_class[a]) * size + int(b) for a, b in zip([made.end, *ids[:-1]], ids, strict=True))
+    assert dict(zip(model.after.tolist(), model.times.tolist(), strict=True)) == dict(follows)
+    assert model.after_total.sum() == sum(map(len, texts))
+    long = lm.fit(documents(rows[40:41]), vocabulary)
+    assert np.abs(long.out).max() > 0  # the gradient steps saw it
+
+
 def test_attention_scores_add_up_to_one_and_windows_score_each_id_once():
     from cartlens.llm import attention
 
