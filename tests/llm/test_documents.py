@@ -438,6 +438,13 @@ def test_attention_scores_add_up_to_one_and_windows_score_each_id_once():
     assert np.allclose(alone, attention.text_scores(model, np.concatenate(texts), first))
 
 
+def test_ids_behind_a_seam_have_sixteen_ids_of_context():
+    from cartlens.llm import attention
+
+    _, place, scored = attention._windows(np.array([0, 65, 400]))
+    assert len(place) > 2 and all(s == 0 or s - p >= 16 for p, s in zip(place, scored, strict=True))
+
+
 def test_shards_hold_every_sequence_once_in_slot_order(spark, varied, tmp_path):
     varied.repartition(3).write.parquet(str(tmp_path / "docs"))
     frame = spark.read.parquet(str(tmp_path / "docs"))
