@@ -7,7 +7,8 @@ any document has. For
 each file, the places of its rare licence words are looked up, and a template's postings meet by relative
 position (place in the file minus place in the template): where two different rare words agree, the template's
 mandatory key phrase must stand, word for word, within ``SLACK`` words of where it should. How much of the
-template stands there, word by word, is the notice's score.
+template stands there, word by word, is the notice's score. Where a key phrase stands without two such words, its
+place is found by an exact look for all key phrases, so a label doesn't depend on how common a notice is.
 
 Beside that, all places of the three base phrases are counted. Words are runs of letters and digits with A-Z
 in lower case. Two passes over whole texts; only one row for each licence word and task is shuffled.
@@ -171,7 +172,7 @@ def _phrase_places(found: Words, phrase: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def notices(found: Words, index: LicenceIndex) -> list[tuple[int, int, int, float]]:
-    """(text, template, first word, score) of each notice: rare words agree, and the key phrase stands."""
+    """(text, template, first word, score) of each notice: the key phrase stands, whether or not rare words agree."""
     where, number = index.numbers(found.hash)
     use = index.rare[number]
     where, number = where[use], number[use]
@@ -184,17 +185,24 @@ def notices(found: Words, index: LicenceIndex) -> list[tuple[int, int, int, floa
     meet = np.unique(meet, axis=0)
     groups, agree = np.unique(meet[:, :3], axis=0, return_counts=True)
     out = set()
+
+    def add(t: int, k: int, start: int) -> None:
+        template, own = index.templates[k], found.hash[found.first[t] : found.first[t + 1]]
+        a, b = max(0, -start), min(len(template.words), len(own) - start)
+        equal = int((own[start + a : start + b] == template.words[a:b]).sum())
+        out.add((t, k, max(0, start), equal / len(template.words)))
+
     for t, k, at in groups[agree >= 2].tolist():
         template = index.templates[k]
         own = found.hash[found.first[t] : found.first[t + 1]]
         for slip in sorted(range(-SLACK, SLACK + 1), key=abs):
             low = at + slip + template.key_place
             if low >= 0 and np.array_equal(own[low : low + len(template.key)], template.key):
-                start = at + slip
-                a, b = max(0, -start), min(len(template.words), len(own) - start)
-                equal = int((own[start + a : start + b] == template.words[a:b]).sum())
-                out.add((t, k, max(0, start), equal / len(template.words)))
+                add(t, k, at + slip)
                 break
+    for k, template in enumerate(index.templates):
+        for t, place in zip(*(x.tolist() for x in _phrase_places(found, template.key)), strict=True):
+            add(t, k, place - template.key_place)
     return sorted(out)
 
 

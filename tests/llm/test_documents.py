@@ -303,6 +303,13 @@ def test_licences_against_plain_search(documents, prose):
     assert sorted(row.labels for row in got if row.doc_id == 9) == ["cc-by-nc,proprietary", "proprietary"]
 
 
+def test_a_notice_is_found_however_common_it_is(documents, prose):
+    whole = licences.TEMPLATES[1][1]
+    head = licences.TEMPLATES[1][2]
+    rows = [(i, f"{prose(i, 20)} {whole if i % 2 else head} {prose(i + 500, 20)}") for i in range(60)]
+    assert {(r.labels, r.n_notices) for r in licences.scan(documents(rows)).collect()} == {("mit", 1)}
+
+
 SCRIPTED = {"en": "abcdefgh", "fr": "ijklmnop", "ru": "абвгдежз"}
 
 
