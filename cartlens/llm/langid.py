@@ -32,14 +32,14 @@ from cartlens.llm.words import slices
 
 UNDETERMINED = "und"
 SAMPLE = 2000  # documents learned from, for each language
-LANGUAGES = 64  # those with the most labelled documents
 SWITCH = 12.0  # what a switch between two words costs, in nats
 USES_SCRIPT = 0.01  # share of a language's letters from which it uses a script
-MIN_SCORE = 0.3
+MIN_SHARE = 0.3  # of a text's letters, held by learned languages together
 BITS = 16
 _SMOOTHING = 0.5
 _BLOCK = 1 << 19  # letters scored together
 _TOGETHER = 3 << 20  # bytes of texts labelled together
+_AS_MANY = 64  # languages up to which blocks have these sizes; with more they are smaller
 
 # The scripts' ranges of code points.
 SCRIPTS = {
@@ -131,14 +131,13 @@ def learn(documents: DataFrame, *, sample: int = SAMPLE) -> LanguageModel:
     """Count the trigrams of about ``sample`` labelled documents a language (columns doc_id, text and lang)."""
     labelled = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [row["lang"] for row in counts]
     if not languages:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
-    share = F.lit(0)
+    share = F  # one flat list of cases, whatever the number of languages
     for row in counts:
-        bound = min(1 << 30, int((1 << 30) * sample / row["count"]))
-        share = F.when(F.col("lang") == row["lang"], F.lit(bound)).otherwise(share)
+        share = share.when(F.col("lang") == row["lang"], F.lit(min(1 << 30, int((1 << 30) * sample / row["count"]))))
     drawn = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).drop("doc_id")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -205,6 +204,10 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     return label
 
 
+def _at_once(size: int, model: LanguageModel) -> int:
+    return size * _AS_MANY // max(_AS_MANY, len(model.languages))
+
+
 class _Labelled(NamedTuple):
     """Labels of the words of some texts (-1: no language), with the texts' totals."""
 
@@ -214,6 +217,7 @@ class _Labelled(NamedTuple):
     label: np.ndarray
     predicted: np.ndarray
     score: np.ndarray
+    held: np.ndarray  # share of the letters that any language holds
 
 
 def _label(model: LanguageModel, texts: pa.Array, penalty: float) -> _Labelled:
@@ -225,7 +229,7 @@ def _label(model: LanguageModel, texts: pa.Array, penalty: float) -> _Labelled:
         score = np.empty((len(found.start), k))
         done = 0
         while done < len(found.start):
-            most = found.first_event[done] + _BLOCK
+            most = found.first_event[done] + _at_once(_BLOCK, model)
             to = max(done + 1, int(np.searchsorted(found.first_event, most, "right")) - 1)
             a, b = found.first_event[done], found.first_event[to]
             score[done:to] = np.add.reduceat(model.weight[found.event[a:b]], found.first_event[done:to] - a, axis=0)
@@ -259,7 +263,8 @@ def _label(model: LanguageModel, texts: pa.Array, penalty: float) -> _Labelled:
     rows = np.arange(n)
     share = letters[rows, predicted] / np.maximum(total, 1)
     predicted = np.where(total > 0, predicted, -1)
-    return _Labelled(start, end, text, label, predicted, np.where(total > 0, share * probability[rows, predicted], 0.0))
+    score = np.where(total > 0, share * probability[rows, predicted], 0.0)
+    return _Labelled(start, end, text, label, predicted, score, letters.sum(axis=1) / np.maximum(total, 1))
 
 
 def _names(model: LanguageModel, label: np.ndarray) -> pa.Array:
@@ -270,7 +275,7 @@ def predict(documents: DataFrame, model: LanguageModel, *, penalty: float = SWIT
     """doc_id, lang_pred and score of each document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        labels, scores = _predictions(model, batch.column("text"), penalty)
+        labels, scores, _ = _predictions(model, batch.column("text"), penalty)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), _names(model, labels), pa.array(scores)], names=["doc_id", "lang_pred", "score"]
         )
@@ -279,13 +284,13 @@ def predict(documents: DataFrame, model: LanguageModel, *, penalty: float = SWIT
     return map_batches(texts, run, "doc_id long, lang_pred string, score double")
 
 
-def _predictions(model: LanguageModel, texts: pa.Array, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    labels, scores = np.full(len(texts), -1), np.zeros(len(texts))
+def _predictions(model: LanguageModel, texts: pa.Array, penalty: float) -> tuple[np.ndarray, ...]:
+    labels, scores, held = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts))
     if model.languages:
-        for low, high in slices(texts, _TOGETHER):
+        for low, high in slices(texts, _at_once(_TOGETHER, model)):
             done = _label(model, texts.slice(low, high - low), penalty)
-            labels[low:high], scores[low:high] = done.predicted, done.score
-    return labels, scores
+            labels[low:high], scores[low:high], held[low:high] = done.predicted, done.score, done.held
+    return labels, scores, held
 
 
 SPAN_DDL = "doc_id long, span int, start long, end long, lang string"
@@ -297,7 +302,7 @@ def language_spans(documents: DataFrame, model: LanguageModel, *, penalty: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for low, high in slices(batch.column("text"), _TOGETHER) if model.languages else ():
+            for low, high in slices(batch.column("text"), _at_once(_TOGETHER, model)) if model.languages else ():
                 done = _label(model, batch.column("text").slice(low, high - low), penalty)
                 if not len(done.text):
                     continue
@@ -334,15 +339,15 @@ def identify(documents: DataFrame) -> DataFrame:
     )
 
 
-def keep_identified(documents: DataFrame, *, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with a language: those with a letter, of whose text a learned language holds the
-    better part; all columns stay. Nothing is shuffled. If no language could be learned, all stay."""
+def keep_identified(documents: DataFrame, *, min_share: float = MIN_SHARE) -> DataFrame:
+    """The documents with a language: those with a letter, of whose letters the learned languages
+    together hold ``MIN_SHARE`` or more; all columns stay. Nothing is shuffled. If no language could be learned, all stay."""
     model = learn(held_out(documents).where("NOT held_out"))
     if not model.languages:
         return documents
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        labels, scores = _predictions(model, batch.column("text"), SWITCH)
-        return batch.filter(pa.array((labels >= 0) & (scores >= min_score)))
+        labels, _, held = _predictions(model, batch.column("text"), SWITCH)
+        return batch.filter(pa.array((labels >= 0) & (held >= min_share)))
 
     return map_batches(documents, run, documents.schema)

@@ -338,6 +338,21 @@ def test_language_of_held_out_texts_and_spans(documents, prose):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {1000, 1001, 1002, 1004}
 
 
+def test_every_labelled_language_is_learned_and_even_mixtures_stay(documents, prose):
+    rows = [(10 * i + k, prose(i + k, 3, "abcdefgh"), f"l{i:02}", "s") for i in range(64) for k in range(3)]
+    rows += [(5000 + k, prose(k, 30, "абвгдежз"), "rare", "s") for k in range(2)]
+    model = langid.learn(documents(rows))
+    assert len(model.languages) == 65
+    held = documents([(1, prose(9, 30, "абвгдежз"))])
+    assert [r.lang_pred for r in langid.predict(held, model).collect()] == ["rare"]
+
+    four = ["abcdefgh", "ijklmnop", "абвгдежз", "αβγδεζηθ"]
+    rows = [(i, prose(i, 30, four[i % 4]), f"x{i % 4}", "s") for i in range(80)]
+    rows += [(100, " ".join("".join(4 * [a[k] for k in range(8)]) for a in four), None), (101, "漢字" * 20, None)]
+    kept = {r.doc_id for r in langid.keep_identified(documents(rows)).collect()}
+    assert 100 in kept and 101 not in kept
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(2)
     score = draw.normal(size=(23, 3))
