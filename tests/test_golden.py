@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import rows
+from samples import rows
 
 from cartlens.functions import event_month
 from cartlens.operators import brands, events, funnel, sales, visits

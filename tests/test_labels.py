@@ -6,7 +6,7 @@ import random
 import re
 
 import pytest
-from conftest import rows
+from samples import rows
 
 from cartlens.operators import labels
 from cartlens.operators.labels import (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from samples import rows
 from pyspark.sql import functions as F
 
 from cartlens.operators import brands, funnel, visits

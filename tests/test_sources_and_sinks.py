@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import GOLDEN, rows
+from samples import GOLDEN, rows
 
 from cartlens.operators import brands
 from cartlens.plans.published import (

@@ -6,7 +6,7 @@ import json
 import re
 
 import pytest
-from conftest import rows
+from samples import rows
 from pyspark.sql import functions as F
 
 from cartlens.operators.brands import combined_popularity
