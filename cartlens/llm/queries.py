@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, shards, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, search, shards, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +138,35 @@ counted AS (
 SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM counted
 """
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH parts AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sized AS (SELECT d, doc_id, len(terms) AS n FROM parts WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM sized),
+tfs AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM parts) GROUP BY 1, 2),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term),
+asked AS (
+  SELECT i, item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+scored AS (
+  SELECT i, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sized USING (d), totals GROUP BY i, d)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_training_shards": op1_training_shards,
     "op2_warc": op2_warc,
@@ -149,10 +178,12 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
+    "op11_ranked_search": op11_ranked_search,
 }
 
 SQL: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op3_ngram_jaccard": OP3_SQL,
     "op10_mix_sources": OP10_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
