@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, search, shards, toxicity, variants, warc
+from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, neardup, neighbours, search, shards, toxicity, variants, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +167,10 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
   FROM scored WHERE score > 0) WHERE rank <= 20
 """
 
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.group_spellings(_table(spark, folder, "documents"))
 
@@ -230,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
     "op11_ranked_search": op11_ranked_search,
+    "op12_nearest_vectors": op12_nearest_vectors,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
