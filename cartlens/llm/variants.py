@@ -9,9 +9,9 @@ In a task, the words' rests become two minimised acceptors with common states; a
 (state, edited or not, state) gives the accepted pairs as ranks of words, and stops at equal states, behind which
 every rest is common.
 
-A partition of more than ``MOST`` words is cut at the successors of its initial state: one for each next code point
-unedited, and one for each rest behind an edit just there. This is repeated while any is too large, so no task
-builds an acceptor of more words, and no pair is left out.
+A partition of more than ``MOST`` words is cut where its words part, at the successors of the state there: one for
+each next code point unedited, and one for each rest behind an edit just there. This is repeated while any is too
+large, so no task builds an acceptor of more words, and no pair is left out.
 
 Forms are followed to their roots by doubling: each round joins the words with the roots of their roots.
 
@@ -25,6 +25,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -242,16 +243,32 @@ def _entries(words: DataFrame, least_length: int) -> DataFrame:
 _GROUP = ("side", "m", "shared", "kind", "key")
 
 
+def _with_branch(large: DataFrame) -> DataFrame:
+    """The groups with ``branch``: how many code points all their texts (of which these have ``low`` and ``high``) share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = zip(batch.column("low").to_pylist(), batch.column("high").to_pylist(), strict=True)
+            branch = pa.array([len(commonprefix(x)) for x in ends], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in _GROUP), branch], names=[*_GROUP, "branch"])
+
+    find_package(large.sparkSession)
+    return large.mapInArrow(run, "side int, m int, shared int, kind int, key string, branch int")
+
+
 def _successors(hot: DataFrame) -> DataFrame:
-    """The partitions of the next states: one code point further, or (kinds 1, 2) behind a replaced or inserted one."""
-    after = F.expr("concat(key, '\u0000', substr(text, shared + 2))")
-    here = F.expr("concat(key, '\u0000', substr(text, shared + 1))")
+    """The partitions of the states behind the one where the texts part: one code point further, or (kinds 1, 2)
+    behind a replaced or inserted one."""
+    beginning = "substr(text, 1, branch)"
+    after = F.expr(f"concat({beginning}, '\u0000', substr(text, branch + 2))")
+    here = F.expr(f"concat({beginning}, '\u0000', substr(text, branch + 1))")
     short = F.char_length("text") == F.col("m")
-    further = F.struct((F.col("shared") + 1).alias("shared"), F.lit(0).alias("kind"), F.expr("substr(text, 1, shared + 1)").alias("key"))
-    replaced = F.struct("shared", F.lit(1).alias("kind"), after.alias("key"))
-    inserted = F.struct("shared", F.lit(2).alias("kind"), F.when(short, here).otherwise(after).alias("key"))
+    goes_on = F.col("branch") < F.char_length("text")
+    state = lambda shared, kind, key: F.struct(shared.alias("shared"), F.lit(kind).alias("kind"), key.alias("key"))
+    branch = F.col("branch")
+    further = state(branch + 1, 0, F.expr("substr(text, 1, branch + 1)"))
+    replaced, inserted = state(branch, 1, after), state(branch, 2, F.when(short, here).otherwise(after))
     # A word that ends here has no state behind it.
-    goes_on = F.col("shared") < F.char_length("text")
     next_ones = F.array(F.when(goes_on, further), F.when(short & goes_on, replaced), F.when(short | goes_on, inserted))
     rows = hot.select("side", "m", "text", "n", F.explode(F.filter(next_ones, lambda x: x.isNotNull())).alias("x"))
     return rows.select("side", "m", "x.shared", "x.kind", "text", "n", "x.key")
@@ -260,13 +277,16 @@ def _successors(hot: DataFrame) -> DataFrame:
 def _partitions(words: DataFrame, least_length: int, most: int) -> DataFrame:
     """Entries of partitions of at most so many words."""
     entries, parts = _entries(words, least_length), []
+    keys = list(_GROUP)
     while True:
-        hot = entries.where("kind = 0").groupBy(*_GROUP).count().where(F.col("count") > most).drop("count")
+        hot = entries.where("kind = 0").groupBy(*keys).count().where(F.col("count") > most).drop("count")
         hot = stored(hot, "large-partitions")
         if hot.isEmpty():
             break
-        parts.append(entries.join(hot, list(_GROUP), "left_anti").select(*entries.columns))
-        entries = stored(_successors(entries.join(hot, list(_GROUP), "left_semi")), "successors")
+        parts.append(entries.join(hot, keys, "left_anti").select(*entries.columns))
+        inside = entries.join(hot, keys, "left_semi")
+        ends = inside.groupBy(*keys).agg(F.min("text").alias("low"), F.max("text").alias("high"))
+        entries = stored(_successors(inside.join(_with_branch(ends), keys)), "successors")
     for part in parts:
         entries = entries.unionByName(part)
     return entries
