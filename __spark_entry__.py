@@ -6,6 +6,7 @@ Round-trip queries write the whole derived table to the shared folder and return
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from cartlens.functions import (
     parse_event_time,
 )
 from cartlens.operators import brands, events, funnel, labels, listings, sales, visits
-from cartlens.plans import views
+from cartlens.plans import once, views
 from cartlens.plans.published import publish_brand_points, total_index
 from cartlens.schema import CART, EVENT_COLUMNS, PURCHASE, VIEW
 from cartlens.session import shared_folder
@@ -251,6 +252,32 @@ def brand_points_published(spark: SparkSession, folder: str) -> DataFrame:
     return written.withColumns({c: F.col(c).cast("long") for c in written.columns if c != "brand"})
 
 
+def published_once(spark: SparkSession, folder: str) -> DataFrame:
+    """All ten tables from one scan, as rows of one shape: the table, the key and up to four measures."""
+    shapes = {
+        "category_revenue_rank": ("rank_category_name", "total_revenue"),
+        "daily_revenue_and_units_sold_02": ("event_date", "average_daily_revenue", "units_sold"),
+        "brand_units_sold_rank": ("rank_brand_name", "units_sold"),
+        "brand_revenue_rank": ("rank_brand_name", "total_revenue"),
+        "avg_site_visits_per_user": (None, "avg_site_visits_per_user"),
+        "avg_events_per_session_by_event_type": ("event_type", "avg_events_per_session"),
+        "avg_cart_purchase_count_diff": (None, "avg_cart_purchase_count_diff"),
+        "avg_hourly_product_views_08": ("event_hour", "avg_hourly_product_views"),
+        "electronics_brand_units_sold_rank_09": ("rank_brand_name", "units_sold"),
+        "long_term_brand_popularity_index_10": (
+            "brand", brands.INDEX, "view_events_count", "cart_events_count", "purchase_events_count",
+        ),
+    }
+    tables_now = once.tables_of(once.store_sums(views.click_events(spark, folder)))
+    parts = []
+    for name, (key, *measures) in shapes.items():
+        values = [F.round(F.col(m) + 1.3e-7, 4) for m in measures] + [F.lit(None).cast("double")] * (4 - len(measures))
+        named = [v.alias(n) for v, n in zip(values, ("first", "second", "third", "fourth"), strict=True)]
+        text = (F.col(key) if key else F.lit(None)).cast("string").alias("key")
+        parts.append(tables_now[name].select(F.lit(name).alias("table_name"), text, *named))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _stored_by_type(
     metric: Callable[[DataFrame], DataFrame],
     spark: SparkSession,
@@ -484,6 +511,7 @@ def queries() -> dict[str, Query]:
         "brand_event_count": on(brands.brand_event_count),
         "brand_event_count_merge": _merged_counts,
         "brand_points_published": brand_points_published,
+        "published_once": published_once,
         "brand_points": on(lambda c: brands.brand_points(brands.brand_event_count(c))),
         "views_by_brand": on(brands.views_by_brand, VIEW),
         "views_by_brand_top20": on(lambda c: brands.views_by_brand(c).limit(20), VIEW),
@@ -671,6 +699,16 @@ def oracle_sql() -> dict[str, str]:
     brand_counts = (
         "SELECT brand, event_type, count(*) AS event_count FROM clicks WHERE brand IS NOT NULL GROUP BY 1, 2"
     )
+    no_more = "CAST(NULL AS DOUBLE) AS {}"
+    measure = "round({} + 0.00000013, 4) AS {}"
+
+    def shaped(name: str, key: str, measures: Sequence[str], source: str) -> str:
+        """Rows of one published table in the shape of ``published_once``."""
+        names = ("first", "second", "third", "fourth")
+        values = [measure.format(m, n) for m, n in zip(measures, names, strict=False)]
+        values += [no_more.format(n) for n in names[len(measures) :]]
+        return f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key, {', '.join(values)} FROM {source}"
+
     by_type = "SELECT brand, count(*) AS n FROM clicks WHERE event_type = '{}' GROUP BY 1"
     units_once = "SELECT brand_name AS rank_brand_name, count(product_id) AS units_sold FROM bought GROUP BY 1"
     electronics = (
@@ -822,6 +860,52 @@ def oracle_sql() -> dict[str, str]:
         "event_counts_by_brand": clicks(
             "SELECT brand, count(*) AS view_events_count FROM clicks WHERE event_type = 'view' GROUP BY 1"
         ),
+        "published_once": popular(
+            " UNION ALL ".join(
+                (
+                    shaped("category_revenue_rank", "category_name", ["sum(price)"], "bought GROUP BY category_name"),
+                    shaped(
+                        "daily_revenue_and_units_sold_02",
+                        "CAST(event_time AS DATE)",
+                        ["avg(price)", "count(product_id)"],
+                        "bought WHERE event_time IS NOT NULL GROUP BY CAST(event_time AS DATE)",
+                    ),
+                    shaped("brand_units_sold_rank", "brand_name", ["count(product_id)"], "bought GROUP BY brand_name"),
+                    shaped("brand_revenue_rank", "brand_name", ["sum(price)"], "bought GROUP BY brand_name"),
+                    shaped("avg_site_visits_per_user", "NULL", ["avg(site_visit_count)"], f"({visits_by_user})"),
+                    shaped(
+                        "avg_events_per_session_by_event_type",
+                        "event_type",
+                        ["avg(events_count)"],
+                        f"({session_counts}) GROUP BY event_type",
+                    ),
+                    shaped("avg_cart_purchase_count_diff", "NULL", ["avg(cart_purchase_count_diff)"], f"({diffs})"),
+                    shaped(
+                        "avg_hourly_product_views_08",
+                        "event_hour",
+                        ["avg(hourly_product_views_count)"],
+                        f"({hourly}) GROUP BY event_hour",
+                    ),
+                    shaped(
+                        "electronics_brand_units_sold_rank_09",
+                        "brand_name",
+                        ["count(product_id)"],
+                        f"(SELECT * {electronics}) GROUP BY brand_name",
+                    ),
+                    shaped(
+                        "long_term_brand_popularity_index_10",
+                        "brand",
+                        [
+                            "long_term_brand_popularity_index",
+                            "view_events_count",
+                            "cart_events_count",
+                            "purchase_events_count",
+                        ],
+                        "popularity",
+                    ),
+                )
+            )
+        ),
         "brand_popularity_monthly": popular(
             "SELECT *, '2024-Jan' AS batch_processing, '2024-Jan' AS data_period FROM popularity"
         ),

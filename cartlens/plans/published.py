@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlens.operators import brands, funnel, sales, visits
+from cartlens.plans import once
 from cartlens.session import builder
 from cartlens.sinks.counts import keep_brand_event_counts, running_brand_event_counts
 from cartlens.sinks.files import stage_events, write_files
@@ -81,6 +82,21 @@ def publish(
         write_table(result, name, period, files=files, database=database, mode=mode)
 
 
+def publish_once(
+    events: DataFrame,
+    period: str,
+    *,
+    files: str | None = None,
+    database: JdbcTarget | None = None,
+    mode: str | None = None,
+) -> dict[str, DataFrame]:
+    """Write every table of one period from a single scan of its events. Returns the tables."""
+    results = once.tables_of(once.store_sums(events), period)
+    for name in TABLES:
+        write_table(results[name], name, period, files=files, database=database, mode=mode)
+    return results
+
+
 def keep_monthly_index(events: DataFrame, period: str, folder: str) -> None:
     """Keep one period's popularity index beside those of the other periods."""
     write_files(brands.brand_popularity(events, period=period), folder, mode="replace_period", periods=[period])
@@ -116,15 +132,14 @@ def run_period(
     mode: str | None = None,
     database: JdbcTarget | None = None,
 ) -> None:
-    """One period from its raw file to all published tables. The text is parsed once, and the popularity index
-    is computed once: it is kept first and published from there."""
+    """One period from its raw file to all published tables. The text is parsed once, the staged events are
+    scanned once, and all tables come from the sums of that scan."""
     stage_events(read_period(spark, raw, period), staged, period)
-    events = read_staged_events(spark, staged, period)
-    publish(events, period, files=out, database=database, mode=mode, tables=[t for t in TABLES if t != INDEX_TABLE])
+    results = publish_once(
+        read_staged_events(spark, staged, period), period, files=out, database=database, mode=mode
+    )
     monthly = f"{out.rstrip('/')}/{MONTHLY_INDEX}"
-    keep_monthly_index(events, period, monthly)
-    index = monthly_index(spark, monthly, period)
-    write_table(index, INDEX_TABLE, period, files=out, database=database, mode=mode)
+    write_files(results[INDEX_TABLE], monthly, mode="replace_period", periods=[period])
     publish_total(spark, monthly, files=out, database=database)
 
 

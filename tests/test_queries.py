@@ -52,7 +52,7 @@ WRITING = {
     "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan",
     "stream_archive", "incremental_since",
     "stream_brand_points", "stream_brand_points_by_position", "staged_rerun", "replace_period_empty", "brand_points_published",
-    "daily_metrics_join", "cart_purchase_diff_join", "brand_popularity_full_join",
+    "published_once", "daily_metrics_join", "cart_purchase_diff_join", "brand_popularity_full_join",
 }
 
 
