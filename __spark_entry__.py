@@ -26,11 +26,21 @@ from cartlens.schema import CART, EVENT_COLUMNS, PURCHASE, VIEW
 from cartlens.session import shared_folder
 from cartlens.sinks import files as sinks
 from cartlens.sinks.counts import keep_brand_event_counts, running_brand_event_counts
-from cartlens.sinks.marks import load_mark, save_mark
+from cartlens.sinks.ledger import FileTables, Ledger
+from cartlens.sinks.marks import load_mark, not_taken, save_mark, save_taken
 from cartlens.sources import files as sources
 from cartlens.sources import tables
 from cartlens.sources.comments import message_stream, read_archive
-from cartlens.streaming import archive_comments, parquet_points, stream_brand_points
+from cartlens.streaming import (
+    archive_comments,
+    compact_archive,
+    fold_live_total,
+    ledger_points,
+    live_total,
+    parquet_points,
+    read_compacted,
+    stream_brand_points,
+)
 
 try:
     import corpus_pipeline
@@ -105,6 +115,23 @@ def csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     return loaded
 
 
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth line is one field short and every tenth has a price in words; the rest is good. Returns the bad
+    lines with the reason, and a row with the number of good ones that each of two counts finds."""
+    raw = _raw_events(spark, folder).withColumn("price", F.col("price").cast("string"))
+    base = shared_folder(spark)
+    last = F.col("event_id") % 10
+    worded = raw.withColumn("price", F.when(last == 3, "cheap").otherwise(F.col("price")))
+    sinks.write_files(worded.where(last != 0).select(*EVENT_COLUMNS), f"{base}/whole", fmt="csv")
+    sinks.write_files(worded.where(last == 0).select(*EVENT_COLUMNS[:-1]), f"{base}/short", fmt="csv")
+    good, rejects = sources.route_event_csv(spark, [f"{base}/whole", f"{base}/short"], f"{base}/routed")
+    every = good.select(F.count("*").alias("n"), F.count_if(F.hash(*EVENT_COLUMNS).isNotNull()).alias("m"))
+    counts = every.select(
+        F.concat_ws(" ", F.col("n").cast("string"), F.col("m").cast("string")).alias("line"), F.lit("good").alias("reason")
+    )
+    return rejects.unionByName(counts)
+
+
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     sinks.write_files(views.click_events(spark, folder), path)
@@ -427,6 +454,94 @@ def _stream_points(spark: SparkSession, folder: str, **options) -> DataFrame:
     return brands.total_popularity(points.withColumnRenamed(brands.TOTAL_INDEX, brands.INDEX))
 
 
+def _some_messages(spark: SparkSession, folder: str, path: str, part: int, parts: int) -> None:
+    """Add one part of the messages to the files that a stream reads."""
+    some = F.pmod(F.hash("comment_id"), F.lit(parts)) == part
+    messages = views.messages(views.comments(spark, folder).where(some))
+    sinks.write_files(messages.repartition(2), path, fmt="text", mode="append")
+
+
+_ONE_FILE, _ONCE = {"maxFilesPerTrigger": "1"}, {"availableNow": True}
+
+
+def points_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Points appended by batch to a table that takes no updates: one batch fails between its rows and its commit, and
+    each batch runs again after all. The committed points, added up by brand."""
+    matcher = labels.prepare_matcher(labels.normalise_catalogue(views.catalogue(spark, folder)))
+    inbox, stored, mark = shared_folder(spark), shared_folder(spark), shared_folder(spark)
+    for part in (0, 1):
+        _some_messages(spark, folder, inbox, part, 2)
+    ledger = Ledger(FileTables(stored), "points", f"brand STRING, {brands.TOTAL_INDEX} BIGINT")
+    once = ledger_points(ledger)
+
+    def half(points: DataFrame, batch: int) -> None:
+        # As a writer that stops before the commit: rows of an attempt that nothing names.
+        if not ledger.is_committed(spark, batch):
+            lost = {"stream": F.lit(""), "batch": F.lit(batch).cast("long"), "attempt": F.lit("lost")}
+            ledger.tables.append(points.withColumns(lost), "points_staged")
+        once(points, batch)
+        once(points, batch)
+
+    arriving = message_stream(spark, "text", _ONE_FILE, inbox)
+    stream_brand_points(arriving, matcher, half, mark, trigger=_ONCE).awaitTermination()
+    points = ledger.rows(spark).withColumnRenamed(brands.TOTAL_INDEX, brands.INDEX)
+    return brands.total_popularity(points)
+
+
+def live_total_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Points of many batches, folded between two runs of the stream and after; the newest batch runs again."""
+    matcher = labels.prepare_matcher(labels.normalise_catalogue(views.catalogue(spark, folder)))
+    inbox, stored, mark, snapshots = (shared_folder(spark) for _ in range(4))
+    for part in (0, 1):
+        _some_messages(spark, folder, inbox, part, 2)
+        arriving = message_stream(spark, "text", _ONE_FILE, inbox)
+        stream_brand_points(arriving, matcher, parquet_points(stored), mark, trigger=_ONCE).awaitTermination()
+        fold_live_total(spark, stored, snapshots)
+    return live_total(spark, stored, snapshots)
+
+
+def stream_match_stateless(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream itself matched, without state; the catalogue's source is rewritten before the stream starts."""
+    source, found, mark = (shared_folder(spark) for _ in range(3))
+    sinks.write_files(labels.normalise_catalogue(views.catalogue(spark, folder)), source)
+    matcher = labels.prepare_matcher(spark.read.parquet(source), strategy="in_row")
+    sinks.write_files(spark.createDataFrame([("OF", "NOBODY")], "item_label_upper STRING, brand_upper STRING"), source)
+    arriving = message_stream(spark, "text", {}, _message_files(spark, folder))
+    matched = labels.match_stream(listings.parse_comments(arriving), matcher)
+    matched = matched.select("comment_id", "matched_item_label", "matched_brand")
+    writer = matched.writeStream.format("parquet").option("path", found).option("checkpointLocation", mark)
+    writer.trigger(**_ONCE).start().awaitTermination()
+    return spark.read.schema(matched.schema).parquet(found)
+
+
+def archive_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages archived in three runs, the closed folders rewritten after the second and the third."""
+    inbox, archive, mark, compacted = (shared_folder(spark) for _ in range(4))
+    for part in (0, 1, 2):
+        _some_messages(spark, folder, inbox, part, 3)
+        arriving = message_stream(spark, "text", _ONE_FILE, inbox)
+        archive_comments(arriving, archive, mark, trigger=_ONCE).awaitTermination()
+        if part:
+            compact_archive(spark, archive, compacted)
+    return read_compacted(spark, archive, compacted).drop("ingest_ts", "ingest_date", "ingest_time")
+
+
+def incremental_by_maximum(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs, of which the first comes in the middle of a second: which run took each comment."""
+    kept = shared_folder(spark)
+    every = _flattened(spark, folder)
+    made, there = F.col("created_utc"), F.col("comment_id").startswith("c")
+    seen = every.where((made < 1704070000) | ((made == 1704070000) & there))
+    parts = []
+    for run, comments in enumerate((seen, every), 1):
+        path = shared_folder(spark)
+        sinks.write_files(not_taken(comments, kept), path)
+        taken = spark.read.schema(every.schema).parquet(path)
+        save_taken(taken, kept)
+        parts.append(taken.withColumn("run", F.lit(run)))
+    return parts[0].unionByName(parts[1])
+
+
 def catalogue_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     sinks.write_files(views.catalogue(spark, folder), path, fmt="csv")
@@ -444,6 +559,7 @@ def queries() -> dict[str, Query]:
     return {
         "csv_roundtrip": csv_roundtrip,
         "csv_dropmalformed": csv_dropmalformed,
+        "csv_rejects": csv_rejects,
         "parquet_roundtrip": parquet_roundtrip,
         "convert_format": convert_format,
         "recursive_scan": recursive_scan,
@@ -544,6 +660,10 @@ def queries() -> dict[str, Query]:
         "ingest_partitions": _ingest,
         "catalogue_csv_scan": catalogue_csv_scan,
         "stream_archive": stream_archive,
+        "archive_compacted": archive_compacted,
+        "points_ledger": points_ledger,
+        "live_total_folded": live_total_folded,
+        "stream_match_stateless": stream_match_stateless,
         "stream_brand_points": _stream_points,
         "stream_brand_points_by_position": lambda spark, folder: _stream_points(spark, folder, strategy="by_position"),
         "catalog_normalise": lambda spark, folder: labels.normalise_catalogue(views.catalogue(spark, folder)),
@@ -557,6 +677,7 @@ def queries() -> dict[str, Query]:
         "combined_brand_popularity": _combined,
         "flatten_listing": _flattened,
         "incremental_since": _new_comments,
+        "incremental_by_maximum": incremental_by_maximum,
         **llm_queries(),
     }
 
@@ -738,6 +859,19 @@ def oracle_sql() -> dict[str, str]:
             "CAST(category_id AS VARCHAR) AS category_id, category_code, brand, CAST(price AS VARCHAR) AS price, "
             "CAST(user_id AS VARCHAR) AS user_id, user_session FROM clicks WHERE event_id % 10 <> 0"
         ),
+        "csv_rejects": clicks(
+            "SELECT " + " || ',' || ".join(
+                f"coalesce(CAST({c} AS VARCHAR), '')"
+                for c in (seconds, "event_type", "product_id", "category_id", "category_code", "brand")
+            )
+            + " || ',' || CASE WHEN event_id % 10 = 3 THEN 'cheap' ELSE coalesce(CAST(price AS VARCHAR), '') END || ',' "
+            "|| coalesce(CAST(user_id AS VARCHAR), '') || CASE WHEN event_id % 10 = 0 THEN '' "
+            "ELSE ',' || coalesce(user_session, '') END AS line, "
+            "CASE WHEN event_id % 10 = 0 THEN 'number of fields' ELSE 'unreadable value' END AS reason "
+            "FROM clicks WHERE event_id % 10 IN (0, 3) "
+            "UNION ALL SELECT CAST(count(*) AS VARCHAR) || ' ' || CAST(count(*) AS VARCHAR), 'good' FROM clicks "
+            "WHERE event_id % 10 NOT IN (0, 3)"
+        ),
         "parquet_roundtrip": clicks("SELECT * FROM clicks"),
         "convert_format": "SELECT * FROM events",
         "recursive_scan": clicks("SELECT * EXCLUDE (event_type) FROM clicks"),
@@ -957,6 +1091,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_archive": said(
             "SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc, TRUE AS filed_in_utc FROM comments"
         ),
+        "archive_compacted": said("SELECT post_id, comment_id, author, nullif(text, '') AS text, created_utc FROM comments"),
+        "points_ledger": streamed,
+        "live_total_folded": streamed,
+        "stream_match_stateless": match,
         "stream_brand_points": streamed,
         "stream_brand_points_by_position": streamed,
         "document_label_match": _DOCUMENT_MATCH,
@@ -984,5 +1122,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "flatten_listing": flat("SELECT * FROM flat"),
         "incremental_since": flat("SELECT * FROM flat WHERE created_utc > 1704070000"),
+        "incremental_by_maximum": flat(
+            "SELECT *, CASE WHEN created_utc < 1704070000 OR (created_utc = 1704070000 AND starts_with(comment_id, 'c')) "
+            "THEN 1 ELSE 2 END AS run FROM flat"
+        ),
         **(llm.SQL if llm else {}),
     }

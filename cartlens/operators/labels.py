@@ -14,7 +14,7 @@ first by name. Two plans give the same winner:
   ``BROADCAST_BYTES``; beyond that both sides are shuffled, with salted cuts.
 
 Both plans read the version of the catalogue that ``prepare_matcher`` stores, whatever becomes of its source, and
-both take the micro-batches of a stream (``foreachBatch``), not the stream itself.
+both take the micro-batches of a stream (``foreachBatch``). ``match_stream`` takes the stream itself, with ``in_row``.
 """
 
 from __future__ import annotations
@@ -174,6 +174,19 @@ def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -
     return _match_by_position(comments, matcher, text)
 
 
+def match_stream(comments: DataFrame, matcher: Matcher, *, text: str = "text") -> DataFrame:
+    """As ``match_labels``, for a stream as well: rows in, rows out, nothing kept between batches.
+
+    The catalogue travels inside the plan, so every batch of a running query meets the version that
+    ``prepare_matcher`` stored, whatever becomes of its source; a restart may bring another matcher. Only a catalogue
+    measured to fit the plan can do this: a larger one needs the texts grouped, which a stream would have to keep, and
+    is matched by micro-batch.
+    """
+    if matcher.strategy != "in_row":
+        raise ValueError("a catalogue of this size is matched by micro-batch, as stream_brand_points does")
+    return _match_in_row(comments, matcher, text)
+
+
 def _match_in_row(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
     # Looking ahead consumes nothing, so labels that overlap are all found: the longest at each place.
     found = F.regexp_extract_all(F.col("_searched"), F.lit(f"(?=({matcher.pattern}))"), F.lit(1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -48,3 +48,8 @@ def write_jdbc(
     if truncate:
         writer = writer.option("truncate", "true")
     writer.mode(mode).save()
+
+
+def read_jdbc(spark: SparkSession, table: str, target: JdbcTarget) -> DataFrame:
+    """A table of the database."""
+    return spark.read.format("jdbc").options(**target.options(table)).load()

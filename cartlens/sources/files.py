@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 from cartlens.functions import parse_event_time
 from cartlens.schema import RAW_EVENT_DDL, STAGED_EVENT_DDL, TEXT_EVENT_DDL
+from cartlens.sinks.files import write_files
+
+_LINE = "_line"
+GOOD, WRONG_FIELDS, WRONG_VALUE = "good", "number of fields", "unreadable value"
 
 
 def read_event_csv(spark: SparkSession, path: str, *, parse_time: bool = True) -> DataFrame:
@@ -16,6 +20,30 @@ def read_event_csv(spark: SparkSession, path: str, *, parse_time: bool = True) -
     return events.withColumn("event_time", parse_event_time(F.col("event_time"))) if parse_time else events
 
 
+def route_event_csv(spark: SparkSession, path: str | list[str], stored: str) -> tuple[DataFrame, DataFrame]:
+    """Parse once, and keep good rows and rejected lines apart under ``stored``. Returns both as they are kept.
+
+    Rejected are lines with a wrong number of fields and lines of which a field cannot be read as its type; a reject
+    is the whole line and the reason. Column pruning is off for the parse, and both results are read back from what
+    it stored, so neither rows nor counts depend on the columns asked for later. Times stay text here and are parsed
+    in the good rows, null where unreadable, as ``read_event_csv`` does.
+    """
+    parsed = (
+        spark.read.schema(f"{RAW_EVENT_DDL}, {_LINE} STRING")
+        .option("columnNameOfCorruptRecord", _LINE)
+        .option("columnPruning", False)
+        .csv(path, header=True, mode="PERMISSIVE")
+    )
+    # As text, every field can be read: what is still wrong then is their number.
+    as_text = F.from_csv(_LINE, f"{TEXT_EVENT_DDL}, _wrong STRING", {"columnNameOfCorruptRecord": "_wrong"})
+    reason = F.when(F.col(_LINE).isNull(), GOOD).when(as_text["_wrong"].isNotNull(), WRONG_FIELDS).otherwise(WRONG_VALUE)
+    write_files(parsed.withColumn("outcome", reason), stored, partition_by=["outcome"])
+    kept = spark.read.schema(f"{RAW_EVENT_DDL}, {_LINE} STRING, outcome STRING").parquet(stored)
+    good = kept.where(F.col("outcome") == GOOD).drop("outcome", _LINE)
+    rejects = kept.where(F.col("outcome") != GOOD).select(F.col(_LINE).alias("line"), F.col("outcome").alias("reason"))
+    return good.withColumn("event_time", parse_event_time(F.col("event_time"))), rejects
+
+
 def read_period(spark: SparkSession, raw_folder: str, period: str) -> DataFrame:
     """The raw file of one period, ``<folder>/<period>.csv``."""
     return read_event_csv(spark, f"{raw_folder.rstrip('/')}/{period}.csv")

@@ -52,7 +52,8 @@ WRITING = {
     "replace_period_roundtrip", "brand_event_count_merge", "brand_popularity_total", "catalogue_csv_scan",
     "stream_archive", "incremental_since",
     "stream_brand_points", "stream_brand_points_by_position", "staged_rerun", "replace_period_empty", "brand_points_published",
-    "published_once", "daily_metrics_join", "cart_purchase_diff_join", "brand_popularity_full_join",
+    "published_once", "csv_rejects", "points_ledger", "live_total_folded", "stream_match_stateless", "archive_compacted",
+    "incremental_by_maximum", "daily_metrics_join", "cart_purchase_diff_join", "brand_popularity_full_join",
 }
 
 
