@@ -671,6 +671,7 @@ def queries() -> dict[str, Query]:
         "comment_brand_match_by_position": _label_match(strategy="by_position"),
         "comment_brand_match_salted": _label_match(strategy="by_position", broadcast_bytes=0),
         "comment_brand_match_whole_words": _label_match(whole_words=True),
+        "comment_brand_match_by_words": _label_match(strategy="by_words", whole_words=True, broadcast_bytes=0),
         "document_label_match": document_label_match,
         "comment_brand_points": lambda spark, folder: labels.comment_points(_matched(spark, folder)),
         "comment_brand_points_total": lambda spark, folder: labels.comment_points_total(_matched(spark, folder)),
@@ -844,6 +845,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT matched_brand AS brand, 10 * count(*) AS total_long_term_brand_popularity_index FROM matched GROUP BY 1"
     )
     match = said("SELECT comment_id, matched_item_label, matched_brand FROM matched")
+    whole_words = said(
+        "SELECT comment_id, item_label_upper AS matched_item_label, brand_upper AS matched_brand FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY length(item_label_upper) DESC, "
+        "item_label_upper, brand_upper) AS place FROM comments JOIN catalogue ON contains("
+        "' ' || trim(regexp_replace(upper(text), '[^A-Z0-9]+', ' ', 'g')) || ' ', ' ' || item_label_upper || ' ')"
+        ") WHERE place = 1"
+    )
     pages = (
         "flat AS (SELECT post_id, comment_id, author, text, CAST(created_utc AS DOUBLE) AS created_utc FROM comments "
         "UNION ALL SELECT post_id, 'r' || comment_id, author, 'I agree', CAST(created_utc + 1 AS DOUBLE) FROM comments)"
@@ -1101,13 +1109,8 @@ def oracle_sql() -> dict[str, str]:
         "comment_brand_match": match,
         "comment_brand_match_by_position": match,
         "comment_brand_match_salted": match,
-        "comment_brand_match_whole_words": said(
-            "SELECT comment_id, item_label_upper AS matched_item_label, brand_upper AS matched_brand FROM ("
-            "SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY length(item_label_upper) DESC, "
-            "item_label_upper, brand_upper) AS place FROM comments JOIN catalogue ON contains("
-            "' ' || trim(regexp_replace(upper(text), '[^A-Z0-9]+', ' ', 'g')) || ' ', ' ' || item_label_upper || ' ')"
-            ") WHERE place = 1"
-        ),
+        "comment_brand_match_whole_words": whole_words,
+        "comment_brand_match_by_words": whole_words,
         "comment_brand_points": said(
             "SELECT matched_brand AS brand, CAST(10 AS BIGINT) AS total_long_term_brand_popularity_index FROM matched"
         ),

@@ -13,7 +13,14 @@ first by name. Two plans give the same winner:
   ones and is then looked for in the whole text. Labels are broadcast only when measured to be within
   ``BROADCAST_BYTES``; beyond that both sides are shuffled, with salted cuts.
 
-Both plans read the version of the catalogue that ``prepare_matcher`` stores, whatever becomes of its source, and
+A third plan is for labels that match whole words only, and is chosen by name:
+
+* ``by_words``: runs of words of each distinct text, as long as some label, meet the labels by a hash of the run in an
+  equi-join. Only hashes and text ids travel, 24 bytes for each run, whatever the labels' lengths. A label of more than
+  ``MOST_WORDS`` words meets a run by its first ones and is then looked for in the whole text. What wins is compared
+  with the text, so equal hashes of different runs match nothing.
+
+All plans read the version of the catalogue that ``prepare_matcher`` stores, whatever becomes of its source, and
 both take the micro-batches of a stream (``foreachBatch``). ``match_stream`` takes the stream itself, with ``in_row``.
 """
 
@@ -36,6 +43,7 @@ IN_ROW_LABELS = 10_000
 IN_ROW_BYTES = 1 << 20
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+MOST_WORDS = 32
 CUT = 64
 # Label starts are as long as they can be while there are no more than MOST_HEADS. The shortest size needs no
 # check: a clean label has 37 different characters, so there are at most 37 + 37**2 + 37**3 = 52,059 of it.
@@ -71,6 +79,8 @@ class Matcher:
     lengths: tuple[int, ...] = ()
     """The lengths of labels' cuts (at most ``CUT``), for a catalogue whose lengths by head are too many to
     broadcast."""
+    word_counts: tuple[int, ...] = ()
+    """How many words labels have (at most ``MOST_WORDS``), for ``by_words``."""
     like_labels: bool = False
     whole_words: bool = False
 
@@ -102,8 +112,10 @@ def prepare_matcher(
         .withColumn("label", F.concat(pad, "item_label_upper", pad))
     )
     options = {"like_labels": like_labels, "whole_words": whole_words}
-    if strategy not in (None, "in_row", "by_position"):
+    if strategy not in (None, "in_row", "by_position", "by_words"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "by_words" and not whole_words:
+        raise ValueError("by_words finds whole words only")
     version = shared_folder(labels.sparkSession)
     labels.write.parquet(version)
     labels = labels.sparkSession.read.schema(labels.schema).parquet(version)
@@ -115,6 +127,11 @@ def prepare_matcher(
         F.coalesce(F.min(length), F.lit(1)).alias("shortest"),
         F.coalesce(F.max(length), F.lit(1)).alias("longest"),
     ).first()
+    fits_broadcast = size["bytes"] + 64 * size["labels"] <= broadcast_bytes
+    if strategy == "by_words":
+        counts = labels.select(_word_count().alias("n")).distinct().collect()
+        counts = tuple(sorted(row["n"] for row in counts))
+        return Matcher(labels, strategy, "", broadcast_labels=fits_broadcast, word_counts=counts, **options)
     if strategy != "by_position":
         if size["labels"] <= in_row_labels and size["bytes"] <= in_row_bytes:
             rows = labels.collect()
@@ -146,7 +163,7 @@ def prepare_matcher(
         head_size=head_size,
         shortest=size["shortest"],
         longest=size["longest"],
-        broadcast_labels=size["bytes"] + 64 * size["labels"] <= broadcast_bytes,
+        broadcast_labels=fits_broadcast,
         lengths=lengths,
         **options,
     )
@@ -171,6 +188,8 @@ def match_labels(comments: DataFrame, matcher: Matcher, *, text: str = "text") -
         raise ValueError("match the micro-batches of a stream, as stream_brand_points does")
     if matcher.strategy == "in_row":
         return _match_in_row(comments, matcher, text)
+    if matcher.strategy == "by_words":
+        return _match_by_words(comments, matcher, text)
     return _match_by_position(comments, matcher, text)
 
 
@@ -294,6 +313,58 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
     return keyed.join(winners, "_key").drop("_key")
 
 
+def _words(text: Column) -> Column:
+    return F.split(F.trim(text), " ")
+
+
+def _word_count() -> Column:
+    return F.least(F.size(_words(F.col("label"))), F.lit(MOST_WORDS))
+
+
+def _run_hash(words: Column, start: Column | int, length: Column) -> Column:
+    return F.xxhash64(F.array_join(F.slice(words, start, length), " "))
+
+
+def _match_by_words(comments: DataFrame, matcher: Matcher, text: str) -> DataFrame:
+    searched = matcher.searched_text(F.col(text))
+    candidates = comments.withColumn("_searched", searched).where(F.trim("_searched") != "")
+    identity = F.unhex(F.md5("_searched"))
+    # Equal texts are searched once, or a much repeated one would be a hot key of the join.
+    texts = candidates.select("_searched").distinct().select(identity.alias("_text_id"), _words(F.col("_searched")).alias("words"))
+    runs = texts.withColumn("length", F.explode(F.array(*map(F.lit, matcher.word_counts)).cast("array<int>")))
+    runs = runs.where(F.size("words") >= F.col("length"))
+    places = F.sequence(F.lit(1), F.size("words") - F.col("length") + 1)
+    hashes = F.transform(places, lambda at: _run_hash(F.col("words"), at, F.col("length")))
+    found = runs.select("_text_id", F.explode(F.array_distinct(hashes)).alias("run"))
+    labels = matcher.labels.withColumn("run", _run_hash(_words(F.col("label")), 1, _word_count()))
+    keys = ["run"]
+    if matcher.broadcast_labels:
+        labels = F.broadcast(labels)
+    else:
+        # As by position: a label that many texts name is split over tasks.
+        keys.append("salt")
+        found = found.withColumn("salt", F.pmod(F.xxhash64("_text_id"), F.lit(SALTS)).cast("int"))
+        labels = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = found.join(labels, keys).select("_text_id", "label", "item_label_upper", "brand_upper")
+    if matcher.word_counts and matcher.word_counts[-1] == MOST_WORDS:
+        once = candidates.select(identity.alias("_text_id"), "_searched").distinct()
+        long = F.size(_words(F.col("label"))) > MOST_WORDS
+        whole = found.where(long).distinct().join(once, "_text_id").where(F.contains("_searched", "label"))
+        found = found.where(~long).unionByName(whole.drop("_searched"))
+    preference = F.struct((-F.length("label")).alias("shorter"), "label", "item_label_upper", "brand_upper")
+    winners = found.groupBy("_text_id").agg(F.min(preference).alias("best"))
+    # Another spelling of the key, as by position, so that AQE can split a much repeated text.
+    winners = winners.select(F.hex("_text_id").alias("_key"), "best")
+    keyed = candidates.withColumn("_key", F.hex(identity))
+    return (
+        keyed.join(winners, "_key")
+        .where(F.contains("_searched", "best.label"))
+        .withColumn("matched_item_label", F.col("best.item_label_upper"))
+        .withColumn("matched_brand", F.col("best.brand_upper"))
+        .drop("_key", "_searched", "best")
+    )
+
+
 def comment_points(matched: DataFrame) -> DataFrame:
     """One row of points for each matched comment."""
     return matched.select(
