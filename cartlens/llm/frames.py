@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -44,6 +45,21 @@ def find_package(spark: SparkSession) -> None:
         environment.setdefault(name, value)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> Iterator[None]:
+    """Jobs that run inside hand rows to Python in batches of at most so many bytes, or one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def map_batches(
     frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:

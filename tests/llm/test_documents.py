@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -425,7 +426,7 @@ def test_the_attention_model_counts_all_texts_and_sees_pieces_of_long_ones(docum
     made, size = tokens.encoder(vocabulary), vocabulary.size + 1
     rows = [(i, prose(i, 20, "abcdef") + f" only{i}", "en", "s") for i in range(40)]
     rows += [(50, prose(7, 20000, "ghij"), "en", "s"), (51, None), (52, "")]
-    model = lm.fit(documents(rows), vocabulary, sample=4)
+    model = lm.fit(documents(rows), vocabulary)
     texts = [[*made.inner.encode_ordinary(r[1] or ""), made.end] for r in rows]
     seen = np.bincount(np.concatenate(texts).astype(int), minlength=size) + attention._SMOOTHING
     assert np.allclose(model.in_class, seen / np.bincount(model.of_class, seen)[model.of_class])
@@ -438,6 +439,40 @@ def test_the_attention_model_counts_all_texts_and_sees_pieces_of_long_ones(docum
     assert np.abs(long.out).max() > 0  # the gradient steps saw it
 
 
+def test_scores_equal_a_slow_version_and_attention_helps(spark, documents, prose):
+    from cartlens.llm import attention
+
+    vocabulary = tokens.Vocabulary.read(lm.VOCABULARY)
+    draw = random.Random(9)
+    words = prose(3, 60, "abcdefgh").split()
+    # What comes next depends on a word some places before.
+    text = lambda: " ".join(w for _ in range(25) for k in [draw.randrange(30)] for w in (words[k], "so", words[59 - k]))
+    model = lm.fit(documents([(i, text()) for i in range(150)]), vocabulary)
+    made = tokens.encoder(vocabulary)
+    held = [np.array([*made.inner.encode_ordinary(t), made.end]) for t in [text() for _ in range(20)] + ["", "a b"]]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in held])])
+    got = attention.text_scores(model, np.concatenate(held), first)
+
+    def slow(ids):
+        total, shown = 0.0, np.array([model.end, *ids[:-1]])
+        begin = 0
+        for at in range(len(ids)):
+            if at - begin >= attention.WINDOW:
+                begin += attention.WINDOW - attention.OVERLAP
+            seen = shown[begin : at + 1]
+            weight = model.query[shown[at]].astype(float) @ model.key[seen].T + model.distance[at - np.arange(begin, at + 1)]
+            weight = np.exp(weight - weight.max())
+            score = weight / weight.sum() @ model.value[seen] @ model.out + model.alone[shown[at]]
+            share = np.exp(score - score.max())
+            share /= share.sum()
+            total += math.log10(share[model.of_class[ids[at]]]) + model.log_in_class(shown[at : at + 1], ids[at : at + 1])[0]
+        return total
+
+    assert np.allclose(got, [slow(t) for t in held], rtol=1e-4, atol=1e-4)
+    without = attention.text_scores(model._replace(out=np.zeros_like(model.out)), np.concatenate(held), first)
+    assert got[:20].sum() > without[:20].sum() + 0.02 * first[20]
+
+
 def test_attention_scores_add_up_to_one_and_windows_score_each_id_once():
     from cartlens.llm import attention
 
