@@ -1,20 +1,22 @@
 """Licence notices in documents, by a positional index of rare licence words.
 
 The index holds each word of the licence templates with the templates and places where it stands. Its words
-are weighed by their inverse document frequency over all documents. Looked up are those that at most
-``RARE_SHARE`` of the documents have, and of each template at least the ``LOOKUPS`` words of highest weight that
-any document has. For
-each file, the places of its rare licence words are looked up, and a template's postings meet by relative
-position (place in the file minus place in the template): where two different rare words agree, the template's
-mandatory key phrase must stand, word for word, within ``SLACK`` words of where it should. How much of the
-template stands there, word by word, is the notice's score. Where a key phrase stands without two such words, its
-place is found by an exact look for all key phrases, so a label doesn't depend on how common a notice is.
+are weighed by their inverse document frequency over all documents. A file can only hold a template's notice if
+it has all words of the template's mandatory key phrase. For such a template the file looks up, of the template's
+words that it has, its own ``LOOKUPS`` of highest weight, and its two of highest weight in the key phrase. Their
+postings meet by relative position (place in the file minus place in the template): where two different words
+agree, the key phrase must stand, word for word, at that position. How much of the template stands there, word by
+word, is the notice's score. Two words of a phrase that stands always agree on its position, so each notice is
+found, however common it is, and phrases are compared only where postings meet.
 
 Beside that, all places of the three base phrases are counted. Words are runs of letters and digits with A-Z
-in lower case. Two passes over whole texts; only one row for each licence word and task is shuffled.
+in lower case. Two passes over whole texts; only one row for each licence word and task is shuffled. Texts are
+taken in blocks, so very long ones take memory for their words only.
 
 Defined results: null and empty texts have no words and no labels (empty strings, null places, score 0). A base
-phrase without a notice scores ``BASE_SCORE``. Rows are answered each, whatever their ids.
+phrase without a notice scores ``BASE_SCORE``. Repeated rows are answered each, whatever their ids, and words of
+equal weight are looked up in the order of their hashes; an empty table has an empty result. Other columns are
+never read.
 """
 
 from __future__ import annotations
@@ -29,9 +31,7 @@ from pyspark.sql import functions as F
 from cartlens.llm.frames import map_batches
 from cartlens.llm.words import NOT_ALPHANUMERIC, Words, slices, words
 
-SLACK = 3
-RARE_SHARE = 0.05
-LOOKUPS = 4
+LOOKUPS = 4  # words of a template that a file looks up, beside two of the key phrase
 BASE_SCORE = 0.5
 
 # The base phrases and their labels.
@@ -105,12 +105,11 @@ def _template(label: str, text: str, key: str) -> Template:
 
 
 class LicenceIndex:
-    """Postings of the licence words, and the words that are looked up."""
+    """Postings of the licence words, and each template's words by weight."""
 
     def __init__(self, templates: tuple[tuple[str, str, str], ...] = TEMPLATES) -> None:
         self.templates = [_template(*t) for t in templates]
         self.vocabulary = np.unique(np.concatenate([t.words for t in self.templates]))
-        self.rare = np.ones(len(self.vocabulary), bool)
         posting = sorted(
             (int(np.searchsorted(self.vocabulary, h)), t, i)
             for t, template in enumerate(self.templates)
@@ -118,6 +117,7 @@ class LicenceIndex:
         )
         self.word, self.template, self.place = np.array(posting).T
         self.first = np.searchsorted(self.word, np.arange(len(self.vocabulary) + 1))
+        self.weigh(np.zeros(len(self.vocabulary), np.int64), 0)
 
     def numbers(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where licence words stand, and their numbers."""
@@ -127,13 +127,25 @@ class LicenceIndex:
         return where, at[where]
 
     def weigh(self, documents: np.ndarray, total: int) -> None:
-        """Choose the words to look up, from the number of documents that have each and of all documents."""
+        """Order each template's words and its key phrase's by weight, from the number of documents that have
+        each and of all documents."""
         idf = np.log((1 + total) / (1 + documents))
-        self.rare = documents <= RARE_SHARE * total
-        for template in self.templates:
-            own = np.unique(np.searchsorted(self.vocabulary, template.words))
-            own = own[documents[own] > 0]  # the others stand nowhere
-            self.rare[own[np.argsort(-idf[own], kind="stable")[:LOOKUPS]]] = True
+
+        def heaviest_first(hashed: np.ndarray) -> np.ndarray:
+            own = np.unique(np.searchsorted(self.vocabulary, hashed))
+            return own[np.argsort(-idf[own], kind="stable")]
+
+        self.by_weight = [(heaviest_first(t.words), heaviest_first(t.key)) for t in self.templates]
+
+    def lookups(self, has: np.ndarray) -> np.ndarray:
+        """Which words each file looks up for each template (file, template, word), from those that it has."""
+        out = np.zeros((len(has), len(self.templates), has.shape[1]), bool)
+        for t, (whole, key) in enumerate(self.by_weight):
+            possible = np.flatnonzero(has[:, key].all(axis=1))
+            for own, most in ((whole, LOOKUPS), (key, 2)):
+                present = has[np.ix_(possible, own)]
+                out[np.ix_(possible, [t], own)] |= (present & (present.cumsum(axis=1) <= most))[:, None, :]
+        return out
 
 
 def _frequencies(texts: DataFrame, index: LicenceIndex) -> tuple[np.ndarray, int]:
@@ -171,39 +183,38 @@ def _phrase_places(found: Words, phrase: np.ndarray) -> tuple[np.ndarray, np.nda
     return text[whole], at[whole] - found.first[text[whole]]
 
 
+def _stands(own: np.ndarray, phrase: np.ndarray, at: int) -> bool:
+    """Whether the phrase's words stand in a row at this place of a file's words."""
+    return at >= 0 and np.array_equal(own[at : at + len(phrase)], phrase)
+
+
 def notices(found: Words, index: LicenceIndex) -> list[tuple[int, int, int, float]]:
-    """(text, template, first word, score) of each notice: the key phrase stands, whether or not rare words agree."""
+    """(text, template, first word, score) of each notice: words looked up agree, and the key phrase stands."""
     where, number = index.numbers(found.hash)
-    use = index.rare[number]
-    where, number = where[use], number[use]
     text = np.searchsorted(found.first, where, "right") - 1
+    some, file = np.unique(text, return_inverse=True)  # files that have a licence word
+    has = np.zeros((len(some), len(index.vocabulary)), bool)
+    has[file, number] = True
+    looked_up = index.lookups(has)
+    use = looked_up.any(axis=1)[file, number]
+    where, number, text, file = where[use], number[use], text[use], file[use]
     postings = index.first[number + 1] - index.first[number]
     ends = np.cumsum(postings)
     row = np.arange(ends[-1] if len(ends) else 0) + np.repeat(index.first[number] - (ends - postings), postings)
-    shift = np.repeat(where - found.first[text], postings) - index.place[row]
-    meet = np.stack([np.repeat(text, postings), index.template[row], shift, np.repeat(number, postings)], axis=1)
-    meet = np.unique(meet, axis=0)
+    each = np.repeat(np.arange(len(number)), postings)
+    own = looked_up[file[each], index.template[row], number[each]]
+    row, each = row[own], each[own]
+    shift = (where - found.first[text])[each] - index.place[row]
+    meet = np.unique(np.stack([text[each], index.template[row], shift, number[each]], axis=1), axis=0)
     groups, agree = np.unique(meet[:, :3], axis=0, return_counts=True)
-    out = set()
-
-    def add(t: int, k: int, start: int) -> None:
+    out = []
+    for t, k, start in groups[agree >= 2].tolist():
         template, own = index.templates[k], found.hash[found.first[t] : found.first[t + 1]]
-        a, b = max(0, -start), min(len(template.words), len(own) - start)
-        equal = int((own[start + a : start + b] == template.words[a:b]).sum())
-        out.add((t, k, max(0, start), equal / len(template.words)))
-
-    for t, k, at in groups[agree >= 2].tolist():
-        template = index.templates[k]
-        own = found.hash[found.first[t] : found.first[t + 1]]
-        for slip in sorted(range(-SLACK, SLACK + 1), key=abs):
-            low = at + slip + template.key_place
-            if low >= 0 and np.array_equal(own[low : low + len(template.key)], template.key):
-                add(t, k, at + slip)
-                break
-    for k, template in enumerate(index.templates):
-        for t, place in zip(*(x.tolist() for x in _phrase_places(found, template.key)), strict=True):
-            add(t, k, place - template.key_place)
-    return sorted(out)
+        if _stands(own, template.key, start + template.key_place):
+            a, b = max(0, -start), min(len(template.words), len(own) - start)
+            equal = int((own[start + a : start + b] == template.words[a:b]).sum())
+            out.append((t, k, max(0, start), equal / len(template.words)))
+    return out
 
 
 _DDL = (
