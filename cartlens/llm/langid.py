@@ -1,8 +1,8 @@
 """Language of documents and of the spans of mixed-language text.
 
 Each word is scored for each language by its letter trigrams (with its bounds), as learned from labelled
-documents. The script of its first letter narrows the candidates to languages that use this script; a word in
-a script that none uses belongs to no language. Viterbi's algorithm over a text's words, with a penalty for
+documents. The script of its first letter narrows the candidates to languages that use this script, and no other
+can label it; a word in a script that none uses belongs to no language. Viterbi's algorithm over a text's words, with a penalty for
 each switch, labels its words; runs of one label are spans. The document's language is the one with the
 most letters; its score is its share of all letters times its probability on its own words.
 
@@ -12,7 +12,9 @@ each word and language.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; if nothing can be learned, all
 are. A text in an unknown script goes to the language learned from most documents, with score 0. Ties go to
-the language with the higher score on the whole text, then to the one learned from more documents.
+the language with the higher score on the whole text (a word that it can't label costs ``OUTSIDE``), then to the
+one learned from more documents. Very long texts are scored in blocks, whole. Repeated rows are labelled each, and
+count each when learned from; an empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from cartlens.llm.words import slices
 UNDETERMINED = "und"
 SAMPLE = 2000  # documents learned from, for each language
 SWITCH = 12.0  # what a switch between two words costs, in nats
+OUTSIDE = 24.0  # nats that a word outside a language's scripts costs it, among languages with as many letters
 USES_SCRIPT = 0.01  # share of a language's letters from which it uses a script
 MIN_SHARE = 0.3  # of a text's letters, held by learned languages together
 BITS = 16
@@ -236,9 +239,10 @@ def _label(model: LanguageModel, texts: pa.Array, penalty: float) -> _Labelled:
             done = to
         candidates = model.allowed[found.script]
         some = candidates.any(axis=1)
-        score -= score.max(axis=1, keepdims=True, initial=-np.inf) if len(score) else 0
-        score[~candidates] -= 2 * SWITCH
+        candidates[~some] = True
         score[~some] = 0
+        score[~candidates] = -np.inf
+        score -= score.max(axis=1, keepdims=True)
         starts.append(found.start - found.offset[found.text])
         ends.append(found.end - found.offset[found.text])
         numbers.append(found.text + low)
@@ -252,7 +256,7 @@ def _label(model: LanguageModel, texts: pa.Array, penalty: float) -> _Labelled:
     label = viterbi(score, np.searchsorted(text, np.arange(n + 1)), penalty)
     label[~some] = -1
     letters = np.bincount(text[some] * k + label[some], (end - start)[some], n * k).reshape(n, k)
-    whole = np.stack([np.bincount(text, score[:, i], n) for i in range(k)], axis=1)
+    whole = np.stack([np.bincount(text, np.maximum(score[:, i], -OUTSIDE), n) for i in range(k)], axis=1)
     best = letters == letters.max(axis=1, keepdims=True)
     predicted = np.where(best, whole, -np.inf).argmax(axis=1)
     own = some & (label == predicted[text])
