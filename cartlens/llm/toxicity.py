@@ -6,13 +6,16 @@ its sentences', ``1 - prod(1 - score)``. Only documents have labels, so the weig
 through the noisy-or, and the sentence scores that come with them locate what is offending. Sentences end at
 ``. ! ?`` or a line's end.
 
-Weights are fitted to at most ``SAMPLE`` documents of either label, drawn by a hash of the id, over what at
+Weights are fitted to about ``SAMPLE`` documents of either label, drawn by a hash of the id, over what at
 least ``MIN_DOCUMENTS`` of them have and toxic ones clearly have more often (a likelihood ratio of ``MIN_RATIO``),
-so chance words of few documents learn nothing. Scoring is one pass over whole texts without a shuffle.
+so chance words of few documents learn nothing. The tasks read the drawn texts, whole and however long; the driver
+receives how many documents have each feature, then, of each document, its number of sentences and which of them
+have a feature that counts, in the order of the ids. Scoring is one pass over whole texts without a shuffle.
 
 Defined results: null texts and texts without words score 0; with labels of one kind only, or none, every text
 with a word scores the share of toxic labels (0 without labels). Documents with several labels are toxic if
-one says so; null labels say nothing.
+one says so; null labels and null ids say nothing. Of several texts with one id, the first in code point order is
+learned from; each is scored. An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.frames import find_package, hash_share, map_batches, remainder
+from cartlens.llm.frames import find_package, hash_share, map_batches, remainder, small_batches, stored
 from cartlens.llm.words import LOWER, NOT_ALPHANUMERIC, Words, mix, slices, words
 
 SAMPLE = 2500  # documents learned from, of either label
-SAMPLE_CHARACTERS = 1 << 16  # longer texts aren't drawn
 MIN_DOCUMENTS = 4
 MIN_RATIO = 20.0  # twice the log likelihood ratio of a feature and the label
 PARTS = range(4, 9)  # bytes of the beginnings and ends
@@ -93,77 +95,131 @@ def _useful(seen: np.ndarray, of: np.ndarray) -> np.ndarray:
     return more & (both >= MIN_DOCUMENTS) & (ratio >= MIN_RATIO)
 
 
-def fit(texts: list[str], toxic: np.ndarray, importance: np.ndarray) -> ToxicityModel:
-    """Maximise the likelihood of the documents' labels by Adam, on all of these texts at once."""
-    base = float((toxic * importance).sum() / importance.sum()) if len(toxic) else 0.0
-    flat = ToxicityModel(np.zeros(NONE + 1, np.float32), 0.0, base)
-    if base in (0.0, 1.0):
-        return flat
-    whole = pa.array(texts, pa.large_string())
-    seen = np.zeros((2, NONE + 1))  # documents of either label that have a feature
-    for low, high in slices(whole):
-        found = words(whole.slice(low, high - low), NOT_ALPHANUMERIC)
-        text, marks = found.of_text(), toxic[low:high]
-        for column in _features(found):
-            pairs = np.unique(text * (NONE + 1) + column)
-            for mark in (0, 1):
-                of_mark = pairs[marks[pairs // (NONE + 1)] == mark] % (NONE + 1)
-                seen[mark] += np.bincount(of_mark, minlength=NONE + 1)
-    useful = _useful(seen, np.array([(toxic == 0).sum(), (toxic == 1).sum()]))
-    useful[NONE] = False
-    if not useful.any():
-        return flat
-    n = int(useful.sum())
-    number = np.cumsum(useful) - 1
-    hits, sentence_texts, sentences = [], [], 0
-    for low, high in slices(whole):
-        found = words(whole.slice(low, high - low), NOT_ALPHANUMERIC)
-        begin = _sentences(found)
-        sentence = np.repeat(np.arange(len(begin) - 1), np.diff(begin)) + sentences
-        # A feature counts once in a sentence.
-        each = [sentence[useful[c]] * n + number[c[useful[c]]] for c in _features(found)]
-        hits.append(np.unique(np.concatenate(each)))
-        sentence_texts.append(np.searchsorted(found.first, begin[:-1], "right") - 1 + low)
-        sentences += len(begin) - 1
-    sentence_text = np.concatenate(sentence_texts)
-    row, column = np.concatenate(hits) // n, np.concatenate(hits) % n
-    weight, bias = np.zeros(n), -4.0
-    moments = [np.zeros(n + 1), np.zeros(n + 1)]
+def _counted(drawn: DataFrame, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features that enough documents have and toxic ones more often, and how many of either label have them."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        marks = batch.column("mark").to_numpy()
+        seen = np.zeros((2, NONE + 1), np.int64)
+        for low, high in slices(batch.column("text")):
+            found = words(batch.column("text").slice(low, high - low), NOT_ALPHANUMERIC)
+            text = found.of_text()
+            for column in _features(found):
+                pairs = np.unique(text * (NONE + 1) + column)
+                for mark in (0, 1):
+                    of_mark = pairs[marks[low:high][pairs // (NONE + 1)] == mark] % (NONE + 1)
+                    seen[mark] += np.bincount(of_mark, minlength=NONE + 1)
+        at = np.flatnonzero(seen[:, :NONE].any(axis=0))
+        columns = [pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])]
+        return pa.RecordBatch.from_arrays(columns, names=["feature", "clean", "toxic"])
+
+    counts = map_batches(drawn.select("text", "mark"), count, "feature long, clean long, toxic long")
+    counts = counts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = counts.where(F.col("clean") + F.col("toxic") >= MIN_DOCUMENTS)
+    counts = counts.where(F.col("toxic") * int(of[0]) > F.col("clean") * int(of[1]))
+    rows = counts.toArrow().sort_by("feature")  # at most 2**BITS rows of three numbers
+    return rows["feature"].to_numpy(), np.stack([rows["clean"].to_numpy(), rows["toxic"].to_numpy()])
+
+
+class _Hits(NamedTuple):
+    """The drawn documents, in the order of their ids, and their sentences that have a useful feature."""
+
+    toxic: np.ndarray
+    plain: np.ndarray  # sentences of each document without a useful feature
+    document: np.ndarray  # of each sentence that has one
+    sentence: np.ndarray  # of each hit
+    column: np.ndarray  # the number of its feature
+
+
+def _hits(drawn: DataFrame, useful: np.ndarray) -> _Hits:
+    def find(batch: pa.RecordBatch) -> pa.RecordBatch:
+        number = np.full(NONE + 1, -1, np.int32)
+        number[useful] = np.arange(len(useful))
+        out = []
+        for low, high in slices(batch.column("text")):
+            found = words(batch.column("text").slice(low, high - low), NOT_ALPHANUMERIC)
+            begin = _sentences(found)
+            text = np.searchsorted(found.first, begin[:-1], "right") - 1
+            totals = np.bincount(text, minlength=high - low)
+            out.append((np.arange(low, high), np.full(high - low, -1), totals))
+            sentence = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+            # A feature counts once in a sentence.
+            each = [(sentence * len(useful) + number[c])[number[c] >= 0] for c in _features(found)]
+            each = np.unique(np.concatenate(each))
+            of = each // max(1, len(useful))
+            out.append((text[of] + low, of, each % max(1, len(useful))))
+        text, sentence, column = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+        rows = pa.array(text)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(rows), batch.column("mark").take(rows), pa.array(sentence), pa.array(column)],
+            names=["doc_id", "mark", "sentence", "n"],
+        )
+
+    rows = map_batches(drawn, find, "doc_id long, mark int, sentence long, n long").toArrow()
+    doc, mark, sentence, n = (rows[c].to_numpy() for c in ("doc_id", "mark", "sentence", "n"))
+    order = np.lexsort((n, sentence, doc))
+    doc, mark, sentence, n = doc[order], mark[order], sentence[order], n[order]
+    total = sentence == -1  # a document's own row, which comes first
+    ids = doc[total]
+    of = np.searchsorted(ids, doc[~total])
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (sentence[~total][1:] != sentence[~total][:-1])
+    document = of[new]
+    plain = n[total] - np.bincount(document, minlength=len(ids))
+    return _Hits(mark[total].astype(float), plain, document, np.cumsum(new) - 1, n[~total])
+
+
+def fit(hits: _Hits, importance: np.ndarray, features: int) -> tuple[np.ndarray, float]:
+    """The weights of the features and the bias that maximise the likelihood of the documents' labels, by Adam
+    on all of these documents at once."""
+    weight, bias = np.zeros(features), -4.0
+    moments = [np.zeros(features + 1), np.zeros(features + 1)]
     importance = importance / importance.sum()
     for step in range(1, ROUNDS + 1):
-        z = np.bincount(row, weight[column], sentences) + bias
-        chance = 1 / (1 + np.exp(-z))
-        log_clean = np.bincount(sentence_text, -np.logaddexp(0, z), len(toxic))
+        z = np.bincount(hits.sentence, weight[hits.column], len(hits.document)) + bias
+        log_clean = np.bincount(hits.document, -np.logaddexp(0, z), len(hits.toxic))
+        log_clean -= hits.plain * np.logaddexp(0, bias)
         clean = np.exp(np.minimum(log_clean, -1e-9))
-        up = toxic * clean / (1 - clean) - (1 - toxic)
-        slope = chance * (up * importance)[sentence_text]
-        gradient = np.append(np.bincount(column, slope[row], n) - PENALTY * weight, slope.sum())
+        up = (hits.toxic * clean / (1 - clean) - (1 - hits.toxic)) * importance
+        slope = up[hits.document] / (1 + np.exp(-z))
+        of_bias = slope.sum() + (hits.plain * up).sum() / (1 + np.exp(-bias))
+        gradient = np.append(np.bincount(hits.column, slope[hits.sentence], features) - PENALTY * weight, of_bias)
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.99 * moments[1] + 0.01 * gradient**2
         move = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
         weight += move[:-1]
         bias += move[-1]
-    full = np.zeros(NONE + 1, np.float32)
-    full[useful] = weight
-    return ToxicityModel(full, float(bias), None)
+    return weight, float(bias)
 
 
 def learn(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicityModel:
     """Fit the model to a bounded sample of the labelled documents."""
-    marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
-    marks = marks.agg(F.max(F.col("toxic").cast("int")).alias("mark"))
+    marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    marks = marks.agg(F.max((F.col("toxic").cast("int") != 0).cast("int")).alias("mark"))
     number = {row["mark"]: row["count"] for row in marks.groupBy("mark").count().collect()}
     chosen = [marks.where(F.col("mark") == mark).where(hash_share(n, sample, "doc_id")) for mark, n in number.items()]
+    flat = np.zeros(NONE + 1, np.float32)
     if not chosen:
-        return fit([], np.zeros(0), np.zeros(0))
+        return ToxicityModel(flat, 0.0, 0.0)
     few = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
-    texts = documents.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARACTERS)
-    # At most about 2 * sample ids are sent to the tasks, and as many texts fetched (never more than twice that).
-    rows = texts.join(F.broadcast(few), "doc_id").select("text", "mark").limit(4 * sample).toArrow()
-    toxic = rows["mark"].to_numpy().astype(float)
-    drawn = {mark: max(1, int((toxic == mark).sum())) for mark in number}
-    importance = np.array([number[int(m)] / drawn[int(m)] for m in toxic])
-    return fit(rows["text"].to_pylist(), toxic, importance)
+    texts = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # At most about 2 * sample ids are sent to the tasks, and as many texts stored.
+    drawn = texts.join(F.broadcast(few), "doc_id").groupBy("doc_id", "mark").agg(F.min("text").alias("text"))
+    drawn = stored(drawn, "toxicity")
+    of = {row["mark"]: row["count"] for row in drawn.groupBy("mark").count().collect()}
+    if not of.get(0) or not of.get(1):
+        return ToxicityModel(flat, 0.0, float(bool(of.get(1))))
+    of = np.array([of[0], of[1]])
+    with small_batches(documents.sparkSession):
+        features, seen = _counted(drawn, of)
+        useful = features[_useful(seen, of)]
+        if not len(useful):
+            return ToxicityModel(flat, 0.0, number[1] / (number[0] + number[1]))
+        hits = _hits(drawn, useful)
+    importance = np.where(hits.toxic == 1, number[1] / of[1], number[0] / of[0])
+    weight, bias = fit(hits, importance, len(useful))
+    flat[useful] = weight
+    return ToxicityModel(flat, bias, None)
 
 
 def _scores(model: ToxicityModel, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
