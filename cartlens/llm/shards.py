@@ -5,6 +5,8 @@ through all partitions, and a Feistel network with a secret key permutes the num
 range is permuted again until it is inside, so every sequence gets a slot of its own below their number. A
 shard holds ``shard_records`` slots in order; each record has the same length, so slot s is found at record
 ``s % shard_records`` of shard ``s // shard_records``, and reading can go on from any slot without the rest.
+Sequences are shuffled by ranges of slots: a task gets the slots of ``shards_per_task`` shards, sorts them and
+writes its shards one after another. As slots are a permutation, the ranges are known and equally full.
 
 A record is the document's id, the sequence's number in its text, the number of its ids, the ids, padding, and a
 line break (Spark writes each shard as text). Numbers are big-endian; ids take 16 bits where the vocabulary
@@ -14,7 +16,8 @@ The texts are encoded twice, once to count and once to write, rather than stored
 read the same partitions, so the documents must come from files (store them first where they don't).
 
 Defined results: null and empty texts are one sequence with the end id only; a null id is the smallest 64-bit
-number in the record and null when read. Rows that share an id have their sequences each.
+number in the record and null when read. Rows that share an id have their sequences each. A text of any length
+is encoded in blocks and spread over its sequences' slots. An empty table has no shards and reads as no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from cartlens.llm.words import mix
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 256  # ids of a sequence
 SHARD_RECORDS = 1 << 14
+SHARDS_PER_TASK = 8  # some 70 MB of records
 KEY = 20240601
 ROUNDS = 6
 _HEAD = np.dtype([("doc", ">i8"), ("part", ">i4"), ("n", ">i4")])
@@ -109,6 +113,7 @@ def write_shards(
     vocabulary_path: str = VOCABULARY,
     length: int = LENGTH,
     shard_records: int = SHARD_RECORDS,
+    shards_per_task: int = SHARDS_PER_TASK,
     key: int = KEY,
 ) -> Layout:
     """Write the documents' sequences (doc_id, text) in training order and return where they lie."""
@@ -154,9 +159,11 @@ def write_shards(
             raise RuntimeError("the documents' partitions have changed between the passes; store them first")
 
     rows = texts.mapInArrow(run, "shard long, slot long, record binary")
-    shards = max(1, -(-total // shard_records))
+    of_task = shard_records * shards_per_task
+    ranges = max(1, -(-total // of_task))
     padded = F.rpad("record", F.lit(layout.stride - 1), F.lit(b"\x00"))
-    ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    in_range = (F.col("slot") / F.lit(of_task)).cast("int")
+    ordered = rows.repartitionById(ranges, in_range).sortWithinPartitions("shard", "slot")
     ordered.select("shard", padded.cast("string").alias("record")).write.partitionBy("shard").text(path)
     return layout
 
