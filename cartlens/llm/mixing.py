@@ -11,9 +11,15 @@ Only sizes are stored and moved: words are counted once, thresholds are found by
 repetitions follow from its own id and its source's row. The threshold is searched in 1,024 ranges of the
 drawn numbers, of which only the one it falls in is sorted, so a hot source isn't sorted in one task.
 
-Defined results: a null text has size 0; null is a source of its own; a source without words has target 0 and
-takes each document 0 times; rows with the same source and id share their fate (a null id is one id); no row
-is repeated more than ``max_epochs`` times, if that is whole. Other columns don't matter and are kept by
+A document's number is drawn from its id; one without an id draws from its text. Rows with the same source, id and
+text are summed and stand together. If the threshold falls among them, so many of them are taken once more as come
+nearest to the target; which of them, is a matter of their place in the table, and as they are equal, reruns agree.
+Their places are counted by partition first, so a third of all rows may be equal. ``repeat_documents`` reads the
+table twice and expects the same places, so its documents should come from files.
+
+Defined results: a null text has size 0, as has an empty one; very long texts are counted whole; null is a source of
+its own; a source without words has target 0 and takes each document 0 times; no row is repeated more than
+``max_epochs`` times, if that is whole; an empty table has an empty mix. Other columns don't matter and are kept by
 ``repeat_documents``.
 """
 
@@ -34,19 +40,30 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def drawn(column: str, seed: str = SEED) -> Column:
-    """A number below 2**32 drawn for an id."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(column).cast("string"), F.lit("")))
+def drawn(doc_id: str, text: str, seed: str = SEED) -> Column:
+    """A number below 2**32 drawn for an id, or for the text where that is null."""
+    own = F.concat(F.lit("text:"), F.coalesce(F.col(text), F.lit("")))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), own))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
 
 
+def _digest(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
 def _range(u: Column) -> Column:
     return F.shiftright(u, 32 - _RANGE_BITS).cast("int")
 
 
+_KEY = ("u", "doc_id", "digest")  # equal rows of a source have these in common, and their size
+
+
 def sized_documents(documents: DataFrame, seed: str = SEED) -> DataFrame:
-    """Id, source, size and drawn number of each document, stored."""
-    sized = documents.select("doc_id", "source", word_count("text").alias("size"), drawn("doc_id", seed).alias("u"))
+    """Id, source, size, drawn number, digest of the text and place of each document, stored."""
+    sized = documents.select(
+        "doc_id", "source", word_count("text").alias("size"), drawn("doc_id", "text", seed).alias("u"),
+        _digest("text").alias("digest"), F.monotonically_increasing_id().alias("place"),
+    )
     return stored(sized, "sizes")
 
 
@@ -103,20 +120,50 @@ def source_plan(
     rows = sized.withColumn("in_range", _range(F.col("u"))).join(
         crossing, F.col("source").eqNullSafe(F.col("named")) & (F.col("in_range") == F.col("range"))
     )
-    rows = rows.groupBy("named", "range", "from", "need", "u", "doc_id").agg(F.sum("size").alias("words"))
-    by_draw = Window.partitionBy("named", "range").orderBy("u", "doc_id")
+    rows = rows.groupBy("named", "range", "from", "need", *_KEY).agg(
+        F.sum("size").alias("words"), F.max("size").alias("size"), F.count("*").alias("rows")
+    )
+    by_draw = Window.partitionBy("named", "range").orderBy(*_KEY)
     rows = rows.withColumn("until", F.col("from") + F.sum("words").over(by_draw))
-    over, under = F.col("until") - F.col("need"), F.col("need") - (F.col("until") - F.col("words"))
-    last = F.max(F.when((under > 0) & (over <= under), F.struct("u", "doc_id")))
-    ends = rows.groupBy("named", "range").agg(last.alias("last"))
+    under = F.col("need") - (F.col("until") - F.col("words"))
+    crossed = rows.where((F.col("until") >= F.col("need")) & (under > 0))
+    again = F.floor(under / F.col("size") + 0.5).cast("long").alias("again")
+    ends = stored(crossed.select("named", "range", F.struct(*_KEY).alias("last"), again, "rows"), "ends")
     plan = targets.join(ends, F.col("source").eqNullSafe(F.col("named")), "left")
-    return stored(plan.select("source", "source_size", "target", "whole", "range", "last"), "plan")
+    plan = plan.join(_last_places(sized, ends), F.col("source").eqNullSafe(F.col("placed")), "left")
+    last_place = F.when(F.col("again") >= F.col("rows"), F.lit(_ALL)).otherwise(F.coalesce("last_place", F.lit(-1)))
+    return stored(
+        plan.select("source", "source_size", "target", "whole", "range", "last", last_place.alias("last_place")), "plan"
+    )
+
+
+_ALL = (1 << 63) - 1
+_IN_PARTITION = 33  # bits of a place that number the rows of one partition
+
+
+def _last_places(sized: DataFrame, ends: DataFrame) -> DataFrame:
+    """For each source whose threshold falls among equal rows, the place of the last that is taken once more."""
+    among = ends.where((F.col("again") > 0) & (F.col("again") < F.col("rows"))).select("named", "last", "again")
+    same = F.struct(*_KEY).eqNullSafe(F.col("last")) & F.col("source").eqNullSafe(F.col("named"))
+    part = F.shiftright("place", _IN_PARTITION).alias("part")
+    equal = sized.join(among, same).select("named", "again", "place", part)
+    counts = equal.groupBy("named", "again", "part").agg(F.count("*").alias("n"))  # a row for each partition
+    counts = counts.withColumn("until", F.sum("n").over(Window.partitionBy("named").orderBy("part")))
+    left = (F.col("again") - F.col("until") + F.col("n")).alias("left")
+    crossed = counts.where((F.col("until") >= F.col("again")) & (F.col("until") - F.col("n") < F.col("again")))
+    crossed = crossed.select(F.col("named").alias("placed"), F.col("part").alias("in_part"), left)
+    rows = equal.join(crossed, F.col("named").eqNullSafe(F.col("placed")) & (F.col("part") == F.col("in_part")))
+    number = F.row_number().over(Window.partitionBy("placed").orderBy("place"))
+    rows = rows.withColumn("number", number).where(F.col("number") == F.col("left"))
+    return rows.select("placed", F.col("place").alias("last_place"))
 
 
-def _copies(u: Column, doc_id: Column) -> Column:
+def _copies(u: Column, doc_id: Column, digest: Column, place: Column) -> Column:
     """Repetitions of a document, beside its source's row of the plan."""
-    last = F.coalesce(F.struct(u.alias("u"), doc_id.alias("doc_id")) <= F.col("last"), F.lit(False))
-    again = F.coalesce((_range(u) < F.col("range")) | ((_range(u) == F.col("range")) & last), F.lit(False))
+    key = F.struct(u.alias("u"), doc_id.alias("doc_id"), digest.alias("digest"))
+    taken = (key < F.col("last")) | (key.eqNullSafe(F.col("last")) & (place <= F.col("last_place")))
+    inside = (_range(u) == F.col("range")) & F.coalesce(taken, F.lit(False))
+    again = F.coalesce((_range(u) < F.col("range")) | inside, F.lit(False))
     return F.col("whole") + again.cast("long")
 
 
@@ -129,7 +176,7 @@ def mix_sources(
     """For each document: doc_id, its size, its source's size and target, copies, and the words it gives the mix."""
     sized = sized_documents(documents, seed)
     plan = source_plan(sized, weights, max_epochs).withColumnRenamed("source", "named")
-    copies = _copies(F.col("u"), F.col("doc_id"))
+    copies = _copies(*map(F.col, (*_KEY, "place")))
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col("named"))).withColumn("copies", copies)
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return joined.select("doc_id", "size", "source_size", "target", "copies", taken)
@@ -145,8 +192,11 @@ def repeat_documents(
     plan = source_plan(sized_documents(documents, seed), weights, max_epochs)
     names = documents.columns
     row = documents.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
-    row = row.withColumns({"u": drawn("row.doc_id", seed), "id": F.col("row.doc_id")})
+    row = row.withColumns({
+        "u": drawn("row.doc_id", "row.text", seed), "id": F.col("row.doc_id"), "digest": _digest("row.text"),
+        "place": F.monotonically_increasing_id(),
+    })
     joined = row.join(plan, F.col("row.source").eqNullSafe(F.col("source")))
-    copies = _copies(F.col("u"), F.col("id")).cast("int")
+    copies = _copies(*map(F.col, ("u", "id", "digest", "place"))).cast("int")
     repeated = joined.select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"))
     return repeated.select("row.*")

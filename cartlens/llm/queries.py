@@ -102,7 +102,9 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 OP10_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS u
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 8)
+              AS BIGINT) AS u,
+         md5(coalesce(text, '')) AS digest, row_number() OVER () AS place
   FROM documents),
 sums AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS cap,
@@ -128,11 +130,10 @@ targets AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM shared),
 placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS need,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id NULLS FIRST) AS until,
-         sum(d.size) OVER (PARTITION BY d.source, d.u, d.doc_id) AS words
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id NULLS FIRST, d.digest, d.place) AS until
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 counted AS (
-  SELECT *, CAST(whole AS BIGINT) + CASE WHEN until - words < need AND until - need <= need - (until - words)
+  SELECT *, CAST(whole AS BIGINT) + CASE WHEN until - size < need AND until - need <= need - (until - size)
                                    THEN 1 ELSE 0 END AS copies
   FROM placed)
 SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM counted
