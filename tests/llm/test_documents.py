@@ -8,12 +8,15 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, shards, tokens, toxicity
+from cartlens.llm import decontamination, jaccard, langid, licences, lm, mixing, queries, shards, tokens, toxicity
 from cartlens.llm.graph import components
+from cartlens.llm.words import NOT_ALPHANUMERIC, words
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -160,6 +163,41 @@ def test_mix_follows_the_water_level(varied):
     assert copies == Counter({i: sum(r.copies for r in mixed if r.doc_id == i) for i in source if copies[i]})
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_rows_without_ids_are_drawn_one_by_one(documents, prose, same):
+    rows = [(None if i % 2 else i, "five words in each text" if same else prose(i, 5), "en", "a") for i in range(500)]
+    rows += [(None, "five words in each text", "en", "b") for i in range(500)] + [(7, prose(i, 5), "en", "c") for i in range(90)]
+    frame = documents(rows).repartition(7)
+    mixed = mixing.mix_sources(frame)
+    sums = mixed.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    got = mixed.collect()
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    assert sum(r.taken for r in sums) > 0 and all(r.target > 0 for r in sums)
+    of_one_target = [r for r in sums if r.source_size == 450]
+    assert abs(of_one_target[0].taken - of_one_target[0].target) <= 2.5
+    both = {r.target: r.taken for r in sums if r.source_size == 2500}
+    assert len(both) == 2 and all(abs(taken - target) <= 2.5 for target, taken in both.items())
+    assert in_order(mixing.mix_sources(frame.coalesce(2)).collect()) == in_order(got)
+    stored = mixing.stored(frame, "mixed-test")
+    copies = Counter((r.doc_id, r.source) for r in mixing.repeat_documents(stored).collect())
+    taken = Counter()
+    for r in mixing.repeat_documents(stored).collect():
+        taken[r.source] += 5
+    assert sum(taken.values()) == sum(r.taken for r in got) == 5 * sum(copies.values())
+    assert sorted(taken.values()) == sorted(r.taken for r in sums)
+
+
+def test_mix_equals_its_sql(spark, documents, prose):
+    rows = [(None if i % 3 == 0 else i // 4, prose(i % 50, 3 + i % 9), "en", f"s{i % 5}" if i % 7 else None) for i in range(600)]
+    rows += [(None, "one two three", "en", "s1") for _ in range(200)] + [(900, None), (None, ""), (None, None)]
+    frame = documents(rows)
+    con = duckdb.connect()
+    con.register("documents", frame.toArrow())
+    names = ["doc_id", "size", "source_size", "copies", "taken"]
+    wanted = con.execute(f"SELECT {', '.join(names)} FROM ({queries.OP10_SQL})").fetchall()
+    assert in_order(mixing.mix_sources(frame).select(names).collect()) == in_order(wanted)
+
+
 def test_mix_is_native(varied):
     plan = mixing.repeat_documents(varied.coalesce(1))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
@@ -311,6 +349,56 @@ def test_a_notice_is_found_however_common_it_is(documents, prose):
     assert {(r.labels, r.n_notices) for r in licences.scan(documents(rows)).collect()} == {("mit", 1)}
 
 
+def plain_notices(texts):
+    """(row, template, first word, score) wherever a template's key phrase stands."""
+    out = []
+    for i, text in enumerate(texts):
+        own = words_of(text)
+        for k, (_, whole, key) in enumerate(licences.TEMPLATES):
+            whole, key = words_of(whole), words_of(key)
+            place = next(j for j in range(len(whole)) if whole[j : j + len(key)] == key)
+            for at in (j - place for j in range(len(own)) if own[j : j + len(key)] == key):
+                equal = sum(0 <= at + j < len(own) and own[at + j] == word for j, word in enumerate(whole))
+                out.append((i, k, max(0, at), equal / len(whole)))
+    return sorted(out)
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+@pytest.mark.parametrize("common", ["none", "all", "tails"])
+def test_the_index_finds_what_a_plain_search_finds(common, monkeypatch):
+    draw = random.Random(5)
+    vocabulary = sorted({w for _, whole, _ in licences.TEMPLATES for w in words_of(whole)}) + ["other", "words"]
+    texts = [None, "", "mit", " ".join(draw.choices(vocabulary, k=30000))]
+    for i in range(300):
+        parts = [" ".join(draw.choices(vocabulary, k=draw.randint(0, 20))) for _ in range(4)]
+        for part in range(3):
+            own = words_of(draw.choice(licences.TEMPLATES)[draw.choice((1, 1, 2))])
+            if draw.random() < 0.5:  # damaged notices
+                at = draw.randrange(len(own))
+                own[at : at + draw.randint(0, 2)] = draw.choices(vocabulary, k=draw.randint(0, 2))
+            parts[part] += " " + " ".join(own)
+        texts.append(" ".join(parts))
+    index = licences.LicenceIndex()
+    heads = {w for _, _, key in licences.TEMPLATES for w in words_of(key)}
+    have = {licences._hashes(w)[0]: {"none": 0, "all": 300, "tails": 250 * (w in heads)}[common] for w in vocabulary}
+    index.weigh(np.array([have[h] for h in index.vocabulary]), 300)
+    places = []
+    whole = licences._stands
+    monkeypatch.setattr(licences, "_stands", lambda *a: places.append(1) or whole(*a))
+    found = words(pa.array(texts, pa.string()), NOT_ALPHANUMERIC)
+    got = licences.notices(found, index)
+    assert [x[:3] for x in got] == [x[:3] for x in plain_notices(texts)] and len(got) > 300
+    assert np.allclose([x[3] for x in got], [x[3] for x in plain_notices(texts)])
+    assert len(got) <= len(places) < sum(map(len, map(words_of, texts)))  # phrases are compared where postings meet
+    assert index.lookups(np.ones((1, len(index.vocabulary)), bool)).sum(axis=2).max() <= licences.LOOKUPS + 2
+    places.clear()
+    licences.notices(words(pa.array(["granted any person the of to in"] * 50), NOT_ALPHANUMERIC), index)
+    assert not places
+
+
 SCRIPTED = {"en": "abcdefgh", "fr": "ijklmnop", "ru": "абвгдежз"}
 
 
@@ -354,6 +442,74 @@ def test_every_labelled_language_is_learned_and_even_mixtures_stay(documents, pr
     assert 100 in kept and 101 not in kept
 
 
+def test_no_language_labels_words_outside_its_scripts(documents, prose):
+    """A little learned language gives unseen trigrams more than one with much text."""
+    rows = [(3 * i, prose(i, 400, "абвгдежз"), "large", "s") for i in range(60)] + [(1000, "abc cab bca", "small", "s")]
+    model = langid.learn(documents(rows))
+    assert sorted(model.languages) == ["large", "small"]
+    texts = documents([(1, "юэщ ъыь чцх"), (2, "xyz zzy"), (3, "юэщъыь xyz"), (4, "юэщ xyz юэщ xyz"), (5, "xyz абв 漢字")])
+    got = {r.doc_id: r for r in langid.predict(texts, model).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["large", "small", "large"]
+    assert got[1].score == got[2].score == 1 and math.isclose(got[3].score, 6 / 9) and math.isclose(got[4].score, 0.5)
+    spans = langid.language_spans(texts, model).where("doc_id = 4").orderBy("span").collect()
+    assert [r.lang for r in spans] == ["large", "small"] * 2
+    spans = langid.language_spans(texts, model).where("doc_id = 5").orderBy("span").collect()
+    assert [r.lang for r in spans] == ["small", "large", "und"]
+
+
+def slow_identify(model, text):
+    """Label, score and each word's label, word by word over all paths' best ends."""
+    lower = lambda c: c.lower() if len(c.lower()) == 1 else c
+    runs = re.findall(r"[^\W\d_]+", text or "")
+    script = {c: n for n, r in enumerate(langid.SCRIPTS.values(), 1) for low, high in r for c in range(low, high + 1)}
+    k = len(model.languages)
+    scores, known = [], []
+    for run in runs:
+        found = langid._letters([run])
+        own = [float(sum(np.float64(model.weight[e, i]) for e in found.event)) for i in range(k)]
+        assert len(found.event) == len(run) + 1 and [lower(c) for c in run]
+        allowed = [bool(model.allowed[script.get(ord(run[0]), 0), i]) for i in range(k)]
+        known.append(any(allowed))
+        own = [x if a else -math.inf for x, a in zip(own, allowed, strict=True)] if any(allowed) else [0.0] * k
+        scores.append([x - max(own) for x in own])
+    best = [(0.0, [])] * 0
+    for i, own in enumerate(scores):
+        if i == 0:
+            best = [(own[x], [x]) for x in range(k)]
+        else:
+            best = [
+                max(((v - langid.SWITCH * (p[-1] != x) + own[x], [*p, x]) for v, p in best), key=lambda t: t[0])
+                for x in range(k)
+            ]
+    if not runs:
+        return "und", 0.0, []
+    path = max(best, key=lambda t: t[0])[1]
+    label = [x if a else -1 for x, a in zip(path, known, strict=True)]
+    letters = [sum(len(r) for r, x in zip(runs, label, strict=True) if x == i) for i in range(k)]
+    whole = [sum(max(s[i], -langid.OUTSIDE) for s in scores) for i in range(k)]
+    top = max(range(k), key=lambda i: (letters[i], whole[i], -i))
+    of_own = [sum(s[i] for s, x in zip(scores, label, strict=True) if x == top) for i in range(k)]
+    probability = math.exp(of_own[top]) / sum(math.exp(x) for x in of_own)
+    return model.languages[top], letters[top] / sum(map(len, runs)) * probability, label
+
+
+def test_identify_equals_a_slow_version(documents, prose):
+    alphabet = {"en": "abcdefgh", "fr": "efghijkl", "ru": "абвгдежз", "mk": "дежзиклм"}
+    rows = [(i, prose(i, 12 + i % 9, alphabet[x]), x, "s") for i, x in enumerate(list(alphabet) * 30)]
+    frame = documents(rows)
+    model = langid.learn(frame)
+    draw = random.Random(8)
+    texts = [None, "", "12", "漢字 漢字", "漢字 abc", "Ünïcode ЖЗИ", "a", "abcабв", *(r[1] for r in rows[:20])]
+    for i in range(80):
+        parts = [prose(1000 + 9 * i + j, draw.randint(1, 6), alphabet[draw.choice(list(alphabet))]) for j in range(4)]
+        texts.append(" ".join([*parts, "漢字"][: draw.randint(1, 5)]))
+    got = langid.predict(documents(list(enumerate(texts))), model).orderBy("doc_id").collect()
+    for row, text in zip(got, texts, strict=True):
+        label, score, _ = slow_identify(model, text)
+        assert math.isclose(row.score, score, rel_tol=1e-4, abs_tol=1e-9), text  # weights are summed in single precision
+        assert row.lang_pred == label or (score == 0 and not re.search(r"[^\W\d_]", text or "")), text
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(2)
     score = draw.normal(size=(23, 3))
@@ -395,6 +551,46 @@ def test_toxic_sentences_are_found_from_document_labels(spark, documents, prose)
     assert none == 0
 
 
+def test_long_texts_teach_and_rows_in_any_order_learn_the_same(spark, documents, prose):
+    rows = [(i, prose(i, 20000) + (". some vileword here" if i % 2 else ""), "en", "s") for i in range(24)]
+    assert min(len(r[1]) for r in rows) > 65536
+    rows += [(100 + i, prose(500 + i, 30), "en", "s") for i in range(30)]
+    rows += [(1, prose(77, 30), "en", "s"), (None, "vileword"), (200, None)]
+    labels = [(i, 0, int(i < 24 and i % 2 == 1)) for i in range(130) if i != 1] + [(1, 0, 1), (1, 0, 0), (200, 0, 1)]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    frame = documents(rows)
+    model = toxicity.learn(frame, marks)
+    again = toxicity.learn(frame.repartition(5), marks.repartition(3))
+    assert np.array_equal(model.weight, again.weight) and model.bias == again.bias
+    asked = documents([(1, "calm words. a vileword stands here."), (2, prose(4, 30)), (3, prose(8, 20000) + ". a vileword")])
+    assert [r.predicted for r in toxicity.score(asked, model).orderBy("doc_id").collect()] == [1, 0, 1]
+
+
+def test_weights_are_those_of_a_fit_sentence_by_sentence():
+    """The same fit with every sentence written out, also those without a useful feature."""
+    draw = np.random.default_rng(6)
+    of = np.repeat(np.arange(30), draw.integers(1, 6, 30))
+    has = draw.random((len(of), 4)) < 0.2
+    toxic = np.zeros(30)
+    toxic[np.unique(of[has[:, 0]])] = 1
+    some = has.any(axis=1)
+    sentence, column = np.nonzero(has[some])
+    plain = np.bincount(of[~some], minlength=30)
+    importance = draw.random(30) + 0.5
+    weight, bias = toxicity.fit(toxicity._Hits(toxic, plain, of[some], sentence, column), importance, 4)
+    w, b, m, v = np.zeros(4), -4.0, np.zeros(5), np.zeros(5)
+    share = importance / importance.sum()
+    for step in range(1, toxicity.ROUNDS + 1):
+        p = 1 / (1 + np.exp(-(has @ w + b)))
+        clean = np.array([np.prod(1 - p[of == d]) for d in range(30)])
+        up = np.where(toxic == 1, clean / (1 - clean), -1.0) * share
+        g = np.append(has.T.astype(float) @ (p * up[of]) - toxicity.PENALTY * w, (p * up[of]).sum())
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g**2
+        move = toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        w, b = w + move[:-1], b + move[-1]
+    assert np.allclose(weight, w, atol=1e-4) and math.isclose(bias, b, abs_tol=1e-4)
+
+
 def test_base_scores_and_model_scores(documents, prose):
     rows = [(i, prose(i % 30, 30 + i % 7, "abc"), "en", "s") for i in range(60)]
     rows += [(100, None), (101, ""), (102, "never seen"), (103, prose(8, 20000)), (None, "a b a"), (5, "a B")]
