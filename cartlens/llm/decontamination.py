@@ -8,10 +8,13 @@ word, two off for another. A stretch counts when it has ``min_words`` equal word
 the best one doesn't count, the stretch with the most equal words among all with at most ``OTHERS`` other words is
 taken, so that early or clustered substitutions don't cut a passage that the masks find.
 
-The benchmark is read in blocks of about a fixed number of words (an item is never cut); a block's seeds are sent
-to the tasks, which look every word of every text up. A benchmark of one block is one lazy scan without a shuffle.
-Of a larger one, each block is one scan, whose overlaps are stored before the next block is read, so driver and
-tasks hold one block at any time; contaminated texts are then left out by a join on their digest.
+The seeds of texts and items are joined. A benchmark measured to have no more than about ``BLOCK_WORDS`` words is
+sent to the tasks, which look every word of every text up: one lazy scan without a shuffle. A larger one never
+reaches the driver: its seeds are a table; a filter of fixed size, made of them by an aggregation, leaves few of the
+texts' seeds, which are shuffled and joined with the table, each distinct text once. Hits become diagonals; the texts
+that have one are read again, the words each diagonal covers are cut out and joined with the item's own. So the
+documents are read twice, however large the benchmark is. Contaminated texts are left out by a join on their digest.
+Both ways find the same overlaps.
 
 Defined results: null and empty texts and items without words match nothing; items of fewer than ``SHORTEST``
 words match nothing; items shorter than the longest mask are looked for as a whole, word for word. Equal items
@@ -21,26 +24,29 @@ Columns other than the id and the text don't matter.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.frames import map_batches, stored
+from cartlens.llm.frames import find_package, map_batches, stored
 from cartlens.llm.words import NOT_ALPHANUMERIC, mix, slices, words
 
 MASKS = ("1110011001", "1001001111", "11001010101", "10111011", "111100011")
 MIN_WORDS = 10
 SHORTEST = 5
 OTHERS = 3  # substitutions that the masks find
-BLOCK_WORDS = 200_000  # words of the benchmark in one pass over the documents
+BLOCK_WORDS = 200_000  # words of a benchmark that is sent to the tasks
+SLOT_BITS = 26  # of the filter of seeds, and of that of texts: 8 MB each, whatever they hold
+DIAGONALS = 4096  # of one text that are handled as a row
 _LONGEST = max(map(len, MASKS))
 _AT_ONCE = 1 << 20  # hits looked at together
 _FILTER_BITS = 22
 
+_ALL_MASKS = (*MASKS, *("1" * n for n in range(SHORTEST, _LONGEST)))
+
 _ODD = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 OVERLAP_DDL = "doc_id long, item_id long, matched_words int, overlap_words int, doc_word long, item_word int"
@@ -117,20 +123,22 @@ class SeedIndex:
     @staticmethod
     def _best(text: np.ndarray, item: np.ndarray, shift: int, min_words: int) -> tuple[int, ...] | None:
         low, high = max(0, -shift), min(len(item), len(text) - shift)
-        equal = text[low + shift : high + shift] == item[low:high]
-        need = min(min_words, len(item))
-        if equal.sum() < need:
-            return None
-        score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-        lowest = np.minimum.accumulate(score)
-        end = int(np.argmax(score - lowest))
-        start = int(np.flatnonzero(score[: end + 1] == lowest[end])[-1])
-        if equal[start:end].sum() < need:
-            start, end = _most_equal(equal)
-        matched = int(equal[start:end].sum())
-        if matched < need:
-            return None
-        return matched, end - start, low + start + shift, low + start
+        best = _stretch(text[low + shift : high + shift] == item[low:high], min(min_words, len(item)))
+        return best and (best[0], best[1], low + best[2] + shift, low + best[2])
+
+
+def _stretch(equal: np.ndarray, need: int) -> tuple[int, int, int] | None:
+    """Equal words, words and beginning of a diagonal's best stretch, if it has as many equal words as needed."""
+    if equal.sum() < need:
+        return None
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
+    lowest = np.minimum.accumulate(score)
+    end = int(np.argmax(score - lowest))
+    start = int(np.flatnonzero(score[: end + 1] == lowest[end])[-1])
+    if equal[start:end].sum() < need:
+        start, end = _most_equal(equal)
+    matched = int(equal[start:end].sum())
+    return (matched, end - start, start) if matched >= need else None
 
 
 def _most_equal(equal: np.ndarray) -> tuple[int, int]:
@@ -147,27 +155,185 @@ def _most_equal(equal: np.ndarray) -> tuple[int, int]:
     return int(at[first[best]]), int(at[behind[best] - 1]) + 1
 
 
-def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> list[DataFrame]:
-    """The benchmark's items, in blocks of about ``BLOCK_WORDS`` words."""
+def _items(benchmark: DataFrame, item_column: str, text_column: str) -> tuple[DataFrame, bool]:
+    """The benchmark's items that have a text, and whether they are few enough to be sent to the tasks."""
     items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.col(text_column).alias("text"))
     items = items.where("text IS NOT NULL")
     size = items.agg(F.sum(F.length("text"))).head()[0] or 0
-    number = 1 + size // (BLOCK_WORDS * 6)
-    return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(number)) == block) for block in range(number)]
+    return items, size < BLOCK_WORDS * 6
 
 
-def _index(block: DataFrame) -> SeedIndex:
-    rows = sorted(block.collect(), key=lambda r: (r.item is not None, r.item or 0, r.text))
+def _index(items: DataFrame) -> SeedIndex:
+    rows = sorted(items.collect(), key=lambda r: (r.item is not None, r.item or 0, r.text))
     return SeedIndex([r.item for r in rows], [r.text for r in rows])
 
 
-def _by_block(blocks: list[DataFrame], scan: Callable[[SeedIndex], DataFrame]) -> DataFrame:
-    """What the scans of all blocks find; each block is released before the next is read."""
-    found = None
-    for block in blocks:
-        part = scan(_index(block)) if len(blocks) == 1 else stored(scan(_index(block)), "overlaps")
-        found = part if found is None else found.unionByName(part)
-    return found
+# --- a benchmark of any size -------------------------------------------------------------------------------
+
+
+def _filter(values: DataFrame) -> np.ndarray:
+    """Two bits for each value of the column ``value``, in words of 32."""
+    slots = F.array(
+        F.shiftrightunsigned("value", 64 - SLOT_BITS), F.col("value").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+    )
+    masks = values.select(F.explode(slots).alias("slot")).groupBy(F.expr("shiftright(slot, 5)").alias("word"))
+    found = masks.agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 31 AS int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (SLOT_BITS - 5), np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def _passing(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Places of the values that the filter lets through."""
+    size = np.uint64(len(bits) * 32)
+    top = np.uint64(65 - int(size).bit_length())  # its first bits, then its last ones
+    at = np.arange(len(value))
+    for slot_of in (lambda v: v >> top, lambda v: v & (size - np.uint64(1))):
+        slot = slot_of(value[at])
+        at = at[(bits[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)]
+    return at
+
+
+def _item_words(items: DataFrame) -> DataFrame:
+    """Each distinct item with its words' hashes. Items whose keys clash are told apart by their words."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = words(batch.column("text"), NOT_ALPHANUMERIC)
+        packed = [found.hash[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("item"), pa.array(np.diff(found.first)), pa.array(packed, pa.binary())],
+            names=["item_key", "item_id", "n", "words"],
+        )
+
+    keyed = items.distinct().select(F.xxhash64("item", "text").alias("key"), "item", "text")
+    return map_batches(keyed, run, "item_key long, item_id long, n long, words binary")
+
+
+def _item_seeds(items: DataFrame) -> DataFrame:
+    """The seeds of each item: by all masks, or of a short item as a whole."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, lengths = batch.column("item_key").to_numpy(), batch.column("n").to_numpy()
+        parts = [(np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4)))]
+        for key, n, packed in zip(keys, lengths, batch.column("words"), strict=True):
+            hashed = np.frombuffer(packed.as_buffer(), np.uint64)
+            for number, mask in enumerate(_ALL_MASKS):
+                if (n >= _LONGEST and mask in MASKS) or (n < _LONGEST and mask == "1" * n):
+                    seed = _seeds(hashed, mask)
+                    parts.append((seed, *(np.full(len(seed), v) for v in (key, n, number)), np.arange(len(seed))))
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        columns[0] = columns[0].view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], names=["seed", "item_key", "n", "mask", "item_place"]
+        )
+
+    return map_batches(
+        items.select("item_key", "n", "words"), run, "seed long, item_key long, n long, mask long, item_place long"
+    )
+
+
+def _text_seeds(texts: DataFrame, masks: list[str], bits: np.ndarray) -> DataFrame:
+    """The seeds of each text, by its key, that the filter lets through."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = batch.column("key").to_numpy()
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for low, high in slices(batch.column("text")):
+            found = words(batch.column("text").slice(low, high - low), NOT_ALPHANUMERIC)
+            for mask in masks:
+                seed = _seeds(found.hash, mask)
+                at = _passing(bits, seed)
+                text = np.searchsorted(found.first, at, "right") - 1
+                keep = at + len(mask) <= found.first[text + 1]  # a seed doesn't reach into the next text
+                at, text = at[keep], text[keep]
+                parts.append((keys[low + text], seed[at], at - found.first[text]))
+        key, seed, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(seed.view(np.int64)), pa.array(place)], names=["key", "seed", "place"]
+        )
+
+    return map_batches(texts.select("key", "text"), run, "key long, seed long, place long")
+
+
+def _suspects(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """The texts whose keys the filter lets through."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.take(pa.array(_passing(bits, batch.column("key").to_numpy().view(np.uint64))))
+
+    return map_batches(texts, run, texts.schema)
+
+
+def _covered(texts: DataFrame, id_type: str) -> DataFrame:
+    """For each diagonal of each text, the hashes of the words it covers and where these begin."""
+    schema = pa.schema([(c, pa.int64()) for c in ("item_key", "n", "doc_word", "item_word")] + [("part", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in slices(batch.column("text")):
+                found = words(batch.column("text").slice(low, high - low), NOT_ALPHANUMERIC)
+                lists = batch.column("diagonals").slice(low, high - low)
+                row = np.repeat(np.arange(high - low), np.diff(lists.offsets.to_numpy()))
+                flat = lists.flatten()
+                item, n, shift = (flat.field(flat.type.get_field_index(c)).to_numpy() for c in ("item_key", "n", "shift"))
+                first = found.first[row]
+                begin = np.maximum(0, -shift)
+                end = np.minimum(n, found.first[row + 1] - first - shift)
+                parts = [
+                    found.hash[a:b].tobytes() for a, b in zip(first + shift + begin, first + shift + end, strict=True)
+                ]
+                columns = [pa.array(c, pa.int64()) for c in (item, n, begin + shift, begin)]
+                ids = batch.column("id").slice(low, high - low).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *columns, pa.array(parts, pa.binary())], names=["id", *schema.names]
+                )
+
+    find_package(texts.sparkSession)
+    ddl = f"id {id_type}, item_key long, n long, doc_word long, item_word long, part binary"
+    return texts.select("id", "text", "diagonals").mapInArrow(run, ddl)
+
+
+def _joined_overlaps(texts: DataFrame, items: DataFrame, min_words: int) -> DataFrame:
+    """Overlaps of texts (``id, text``) and items, a row for each diagonal that has one."""
+    items = stored(_item_words(items), "items")
+    seeds = stored(_item_seeds(items), "seeds")
+    masks = [_ALL_MASKS[r.mask] for r in seeds.select("mask").distinct().orderBy("mask").collect()]
+    texts = texts.where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    # Copies of a text are one here. Texts whose keys clash share their diagonals, which their own words then decide.
+    asked = _text_seeds(texts, masks, _filter(seeds.select(F.col("seed").alias("value")))).distinct()
+    shift = (F.col("place") - F.col("item_place")).alias("shift")
+    found = stored(asked.join(seeds, "seed").select("key", "item_key", "n", shift).distinct(), "diagonals")
+    per_text = found.groupBy("key").agg(F.count("*").alias("rows"))
+    parts = 1 + (per_text.agg(F.max("rows")).head()[0] or 0) // DIAGONALS
+    part = F.pmod(F.xxhash64("item_key", "shift"), F.lit(parts)).alias("part")
+    lists = found.groupBy("key", part).agg(F.collect_list(F.struct("item_key", "n", "shift")).alias("diagonals"))
+    suspects = _suspects(texts, _filter(found.select(F.col("key").alias("value"))))
+    id_type = texts.schema["id"].dataType.simpleString()
+    pairs = _covered(suspects.join(lists, "key"), id_type).join(items, ["item_key", "n"])
+    columns = ["id", "item_id", "matched_words", "overlap_words", "doc_word", "item_word"]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, matched, size, start = [], [], [], []
+        starts = batch.column("item_word").to_numpy()
+        for row, (part, whole) in enumerate(zip(batch.column("part"), batch.column("words"), strict=True)):
+            text, item = (np.frombuffer(v.as_buffer(), np.uint64) for v in (part, whole))
+            best = _stretch(text == item[starts[row] : starts[row] + len(text)], min(min_words, len(item)))
+            if best:
+                for values, value in zip((rows, matched, size, start), (row, *best), strict=True):
+                    values.append(value)
+        at = np.array(rows, np.int64)
+        begin = np.array(start, np.int64)
+        places = [pa.array(batch.column(c).to_numpy()[at] + begin) for c in ("doc_word", "item_word")]
+        places[1] = places[1].cast(pa.int32())
+        counts = [pa.array(c, pa.int32()) for c in (matched, size)]
+        ids = [batch.column(c).take(pa.array(at)) for c in ("id", "item_id")]
+        return pa.RecordBatch.from_arrays([*ids, *counts, *places], names=columns)
+
+    ddl = f"id {id_type}, item_id long, matched_words int, overlap_words int, doc_word long, item_word int"
+    return map_batches(pairs.select("id", "item_id", "item_word", "doc_word", "part", "words"), run, ddl)
+
+
+# --- the operator ------------------------------------------------------------------------------------------
 
 
 def find_overlaps(
@@ -200,7 +366,12 @@ def find_overlaps(
 
         return map_batches(texts, run, OVERLAP_DDL)
 
-    found = _by_block(_blocks(benchmark, item_column, text_column), scan)
+    items, few = _items(benchmark, item_column, text_column)
+    if few:
+        found = scan(_index(items))
+    else:
+        found = _joined_overlaps(texts.withColumnRenamed("doc_id", "id"), items, min_words)
+        found = found.withColumnRenamed("id", "doc_id")
     best = F.struct(
         F.col("matched_words"), (-F.col("overlap_words")).alias("a"), (-F.col("doc_word")).alias("b"),
         (-F.col("item_word")).alias("c"),
@@ -218,33 +389,23 @@ def find_overlaps(
 def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, *, text_column: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """The documents without an overlap, with all their columns; with a benchmark of one block nothing is shuffled."""
-
-    def dirty(index: SeedIndex, texts: pa.Array) -> np.ndarray:
-        out = np.zeros(len(texts), bool)
+    """The documents without an overlap, with all their columns; a benchmark that is sent to the tasks needs no
+    shuffle."""
+    items, few = _items(benchmark, "item_id", "text")
+    if not few:
+        digest = F.sha2(F.col(text_column), 256)
+        texts = documents.select(digest.alias("id"), F.col(text_column).alias("text"))
+        found = stored(_joined_overlaps(texts, items, min_words).select("id").distinct(), "contaminated")
+        return documents.join(found, F.sha2(documents[text_column], 256) == found["id"], "left_anti")
+    index = _index(items)
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(text_column)
+        keep = np.ones(len(texts), bool)
         for low, high in slices(texts):
             found = words(texts.slice(low, high - low), NOT_ALPHANUMERIC)
             for text, *_ in index.overlaps(found.hash, found.first, min_words):
-                out[low + text] = True
-        return out
-
-    blocks = _blocks(benchmark, "item_id", "text")
-    if len(blocks) == 1:
-        index = _index(blocks[0])
-
-        def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array(~dirty(index, batch.column(text_column))))
-
-        return map_batches(documents, clean, documents.schema)
-
-    def scan(index: SeedIndex) -> DataFrame:
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(0)
-            texts = texts.filter(pa.array(dirty(index, texts))).to_pylist()
-            digests = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
-            return pa.RecordBatch.from_arrays([pa.array(digests, pa.string())], names=["digest"])
-
-        return map_batches(documents.select(F.col(text_column)), run, "digest string")
+                keep[low + text] = False
+        return batch.filter(pa.array(keep))
 
-    found = _by_block(blocks, scan).distinct()
-    return documents.join(found, F.sha2(documents[text_column], 256) == found["digest"], "left_anti")
+    return map_batches(documents, clean, documents.schema)

@@ -279,33 +279,37 @@ def test_every_placement_of_the_substitutions_is_verified(length, most):
         )
 
 
-def test_one_block_of_the_benchmark_is_held_at_a_time(documents, benchmark, prose, monkeypatch):
-    import gc
-    import weakref
-
+@pytest.mark.parametrize(("diagonals", "slot_bits"), [(4096, 26), (2, 26), (4096, 8)])
+def test_a_joined_benchmark_gives_what_a_sent_one_gives(documents, benchmark, prose, monkeypatch, diagonals, slot_bits):
     items = {r.item_id: r.text for r in benchmark.collect()}
     rows = [(i, f"{prose(i, 30)} {items[i]} {prose(i + 50, 30)}", "en", "s") for i in range(12)]
     rows += [(20 + i, prose(90 + i, 60), "en", "s") for i in range(3)] + [(30, None), (3, rows[3][1]), (None, items[4])]
+    rows += [(31, ""), (32, " . "), (33, items[5][:-9]), (34, " ".join(items[i] for i in range(6))), (35, rows[1][1])]
+    rows += [(36, " ".join([items[2]] * 3)), (37, substituted(items[7], [3, 9])), (38, prose(7, 20000) + items[8])]
     frame = documents(rows)
     whole = in_order(decontamination.find_overlaps(frame, benchmark).collect())
     clean = in_order(decontamination.drop_contaminated(frame, benchmark).collect())
-    held, made = [], []
-
-    build = decontamination.SeedIndex.__init__
+    assert len(whole) > 20 and 3 < len(clean) < 12
 
-    def watched(self, *args):
-        gc.collect()
-        made.append(weakref.ref(self))
-        held.append(sum(r() is not None for r in made))
-        build(self, *args)
+    def never(*_):
+        raise AssertionError("the benchmark reached the driver")
 
-    monkeypatch.setattr(decontamination.SeedIndex, "__init__", watched)
+    monkeypatch.setattr(decontamination, "_index", never)
     monkeypatch.setattr(decontamination, "BLOCK_WORDS", 50)
+    monkeypatch.setattr(decontamination, "DIAGONALS", diagonals)
+    monkeypatch.setattr(decontamination, "SLOT_BITS", slot_bits)
     assert in_order(decontamination.find_overlaps(frame, benchmark).collect()) == whole
-    assert len(held) > 3 and max(held) == 1
     kept = decontamination.drop_contaminated(frame, benchmark)
     assert kept.columns == frame.columns and in_order(kept.collect()) == clean
-    assert max(held) == 1
+
+
+def test_a_joined_benchmark_without_seeds_finds_nothing(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 0)
+    short = spark.createDataFrame([(1, "one two"), (2, None), (None, "")], "item_id long, text string")
+    frame = documents([(1, "one two three"), (2, None), (3, "")])
+    assert decontamination.find_overlaps(frame, short).count() == 0
+    assert in_order(decontamination.drop_contaminated(frame, short).collect()) == in_order(frame.collect())
+    assert decontamination.find_overlaps(documents([]), short).count() == 0
 
 
 def test_stretches_without_enough_equal_words_are_none():
