@@ -673,6 +673,80 @@ def test_scores_equal_a_slow_version_and_attention_helps(spark, documents, prose
     assert got[:20].sum() > without[:20].sum() + 0.02 * first[20]
 
 
+def test_the_gradient_steps_see_every_window_of_all_training_texts(documents, prose, monkeypatch):
+    from cartlens.llm import attention
+
+    vocabulary = tokens.Vocabulary.read(lm.VOCABULARY)
+    made = tokens.encoder(vocabulary)
+    rows = [(i, prose(i, 10 + 37 * i, "abcdef"), "en", "s") for i in range(40)] + [(50, None), (51, "")]
+    windows = sum(-(-(len(made.inner.encode_ordinary(r[1] or "")) + 1) // attention.WINDOW) for r in rows)
+    seen, averaged = [], lm._averaged
+
+    def noted(blocks, parameters):
+        seen.append(blocks.where("block = 0").agg(F.sum("weight")).head()[0] or 0)
+        return averaged(blocks, parameters)
+
+    monkeypatch.setattr(lm, "_averaged", noted)
+    monkeypatch.setattr(lm, "LANE", 16)
+    for least, passes in ((1, 1), (2 * windows + 1, 3)):
+        monkeypatch.setattr(lm, "LEAST_WINDOWS", least)
+        seen.clear()
+        lm.fit(documents(rows).repartition(3), vocabulary)
+        assert sum(seen) == passes * windows
+
+
+@pytest.mark.parametrize("passes", [1, 3, 4, 9])
+def test_turns_share_out_the_windows_and_every_id_is_told(passes):
+    draw = np.random.default_rng(3)
+    texts = [np.append(draw.integers(0, 900, n), 900) for n in (0, 1, 62, 63, 64, 700, 5)]
+    ids, first = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    mark = draw.integers(-(2**63), 2**63 - 1, len(texts))
+    told, behind = Counter(), Counter()
+    for turn in range(lm.TURNS):
+        shown, told_ids, inside = lm._windows(ids, first, mark, 900, turn, passes)
+        for x, y, n in zip(shown, told_ids, inside, strict=True):
+            told.update(y[:n].tolist())
+            behind.update(zip(x[:n].tolist(), y[:n].tolist(), strict=True))
+    pairs = Counter((int(a), int(b)) for t in texts for a, b in zip([900, *t[:-1]], t, strict=True))
+    assert told == Counter({k: passes * n for k, n in Counter(ids.tolist()).items()})
+    assert behind == Counter({k: passes * n for k, n in pairs.items()})
+
+
+def test_a_gradient_step_goes_against_the_numeric_gradient():
+    from cartlens.llm import attention
+
+    draw = np.random.default_rng(4)
+    ids, first = np.append(draw.integers(0, 9, 199), 9), np.array([0, 200])
+    made = attention.tables(attention.count(ids, first, 10, draw))
+    start = attention.initial(10)
+    start[4] = draw.normal(0, 0.5, start[4].shape).astype(np.float32)
+    start[5] = draw.normal(0, 0.5, start[5].shape).astype(np.float32)
+    x, target, inside = draw.integers(0, 10, (3, 64)), draw.integers(0, 10, (3, 64)), np.arange(64) < np.array([[64], [40], [1]])
+
+    def loss(parameters):
+        embedding, *joins, out, distance = (p.astype(float) for p in parameters)
+        total = 0.0
+        for shown, told, use in zip(x, target, inside, strict=True):
+            q, k, v = (embedding[shown] @ j for j in joins)
+            for at in np.flatnonzero(use):
+                weight = k[: at + 1] @ q[at] / 4 + distance[at - np.arange(at + 1)]
+                weight = np.exp(weight - weight.max())
+                score = weight / weight.sum() @ v[: at + 1] @ out + made.alone[shown[at]]
+                total += np.log(np.exp(score).sum()) - score[made.of_class[told[at]]]
+        return total / inside.sum()
+
+    learner = attention.Learner(start, made)
+    learner.step(x, target, inside, 0.0)
+    for i, place in [(0, (3, 2)), (0, (7, 11)), (1, (0, 5)), (2, (9, 1)), (3, (4, 4)), (4, (6, 3)), (5, (0,)), (5, (7,))]:
+        apart = []
+        for sign in (1, -1):
+            moved = [p.astype(float) for p in start]
+            moved[i][place] += sign * 1e-4
+            apart.append(loss(moved))
+        gradient = learner.moments[i][0][place] / 0.1
+        assert math.isclose(gradient, (apart[0] - apart[1]) / 2e-4, rel_tol=1e-2, abs_tol=1e-5)
+
+
 def test_attention_scores_add_up_to_one_and_windows_score_each_id_once():
     from cartlens.llm import attention
 
