@@ -10,7 +10,8 @@ first by name. Two plans give the same winner:
 * ``by_position``: any catalogue. A regular expression of the first few characters of the labels, of which
   there is a bounded number, cuts each distinct text at the places where some label could start, and the cuts
   meet the labels in an equi-join. A cut has at most ``CUT`` characters; a longer label meets it with its first
-  ones and is then looked for in the whole text. Labels are broadcast only when measured to be within
+  ones and is then looked for in the whole text; where there are such labels, the rows with a text in which some label
+  could start are stored in the shared folder first. Labels are broadcast only when measured to be within
   ``BROADCAST_BYTES``; beyond that both sides are shuffled, with salted cuts.
 
 A third plan is for labels that match whole words only, and is chosen by name:
@@ -268,6 +269,11 @@ def _match_by_position(comments: DataFrame, matcher: Matcher, text: str) -> Data
     every = comments.withColumn("_searched", searched)
     # Texts in which no label can start are not worth a shuffle.
     candidates = every.where(F.col("_searched").rlike(matcher.pattern))
+    if matcher.longest > CUT:
+        # Long labels are looked for in whole texts, which are read three times then: clean and search them once.
+        path = shared_folder(comments.sparkSession)
+        candidates.write.parquet(path)
+        every = candidates = comments.sparkSession.read.schema(candidates.schema).parquet(path)
     if matcher.broadcast_labels:
         texts = every.select("_searched")
     else:

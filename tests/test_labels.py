@@ -163,3 +163,16 @@ def test_labels_longer_than_a_cut_are_compared_whole(spark, plan):
     texts = comments_of(spark, f"x {long} y", f"x{other}", start, long[:-1], "q", "x")
     got = matched(spark, clean, texts, **PLANS[plan])
     assert {i: brand for i, (_, brand) in got.items()} == {0: "A", 1: "B", 2: "C", 3: "C", 4: "D"}
+
+
+@pytest.mark.parametrize("plan", ["broadcast", "short_heads", "salted"])
+def test_texts_are_cleaned_and_searched_once_for_long_labels(spark, plan, tmp_path):
+    long = "W" * (labels.CUT + 9)
+    clean = catalogue_of(spark, (long, "a"), ("ring", "b"))
+    texts = [f"x {long}", f"x {long}", "a ring", None, "", long[:-1], "other"]
+    comments_of(spark, *texts).write.parquet(str(tmp_path / "comments"))
+    comments = spark.read.parquet(str(tmp_path / "comments"))
+    found = match_labels(comments, prepare_matcher(clean, **PLANS[plan]))
+    assert {row["id"]: row["matched_brand"] for row in found.collect()} == {0: "A", 1: "A", 2: "B"}
+    assert found.columns == ["id", "text", "matched_item_label", "matched_brand"]
+    assert not any(str(tmp_path) in file for file in found.inputFiles())  # the source isn't read, cleaned and searched again
