@@ -747,6 +747,49 @@ def test_a_gradient_step_goes_against_the_numeric_gradient():
         assert math.isclose(gradient, (apart[0] - apart[1]) / 2e-4, rel_tol=1e-2, abs_tol=1e-5)
 
 
+@pytest.mark.parametrize(("near", "large"), [(1, 0.5), (14, 30)])
+def test_a_step_is_the_same_in_parts_of_any_size(monkeypatch, near, large):
+    from cartlens.llm import attention
+
+    draw = np.random.default_rng(6)
+    ids, first = np.append(draw.integers(0, 9, 199), 9), np.array([0, 200])
+    made = attention.tables(attention.count(ids, first, 10, draw))
+    start = attention.initial(10)
+    start[1:3] = (p * np.float32(near) for p in start[1:3])
+    start[4] = draw.normal(0, large, start[4].shape).astype(np.float32)
+    x, target = draw.integers(0, 10, (2, 21, 64))
+    inside = np.arange(64) < draw.integers(1, 65, 21)[:, None]
+    came = []
+    for part in (1, 8, 21):
+        monkeypatch.setattr(attention, "PART", part)
+        learner = attention.Learner(start, made)
+        learner.step(x, target, inside, 0.01)
+        came.append([m for m, _ in learner.moments])
+    assert all(np.isfinite(p).all() for p in came[0])
+    for other in came[1:]:
+        assert all(np.allclose(p, q, rtol=1e-3, atol=1e-4 * np.abs(p).max()) for p, q in zip(came[0], other, strict=True))
+
+
+def test_a_models_bounds_are_found_once_for_all_texts(monkeypatch):
+    from cartlens.llm import attention
+
+    draw = np.random.default_rng(7)
+    ids, first = np.append(draw.integers(0, 20, 99), 20), np.array([0, 100])
+    model = attention.train(ids, first, 21, steps=5)
+    want, bounds = attention.text_scores(model, ids, first), attention.bounds(model)
+    monkeypatch.setattr(attention, "_below_most", None)
+    assert attention.text_scores(model, ids, first, bounds) == want
+
+
+def test_words_are_looked_up_each_where_it_stands():
+    draw = np.random.default_rng(8)
+    known = np.unique(draw.integers(0, 2**64, 50, dtype=np.uint64))
+    asked = np.concatenate([draw.choice(known, 200), draw.integers(0, 2**64, 50, dtype=np.uint64)])
+    at, hit = lm._looked_up(known, asked)
+    assert hit.tolist() == np.isin(asked, known).tolist() and (known[at[hit]] == asked[hit]).all()
+    assert not lm._looked_up(known[:0], asked)[1].any() and not len(lm._looked_up(known, asked[:0])[1])
+
+
 def test_attention_scores_add_up_to_one_and_windows_score_each_id_once():
     from cartlens.llm import attention
 
